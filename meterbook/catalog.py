@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterbook.plans import growth
+from meterbook.functions import json_field
+from meterbook.scenarios import SCENARIOS
 from meterbook.session import apply_settings
-from meterbook.sources.bindings import SUBSCRIPTION_AS_OF, Bindings
+from meterbook.sources.bindings import Bindings
 
 MODELS = (
     "stg_organizations", "stg_users", "stg_subscriptions", "stg_invoices", "stg_product_events", "stg_api_usage",
@@ -20,8 +21,8 @@ MODELS = (
     "int_customer_lifecycle",
     "dim_date", "dim_organizations", "dim_plans", "dim_users",
     "fact_subscriptions", "fact_invoices", "fact_product_usage", "fact_api_usage",
-    "mart_daily_growth", "mart_trial_conversion", "mart_acquisition_channels", "mart_feature_adoption",
-    "mart_enterprise_growth",
+    "mart_daily_growth", "mart_trial_conversion", "mart_acquisition_channels", "mart_retention_cohorts",
+    "mart_feature_adoption", "mart_enterprise_growth",
     "mart_mrr", "mart_arr", "mart_arpu", "mart_customer_churn", "mart_revenue_churn", "mart_customer_ltv",
     "mart_api_usage",
 )
@@ -31,15 +32,17 @@ def _model(name: str) -> Callable[[Bindings], DataFrame]:
     return lambda bindings: bindings.warehouse().table(name)
 
 
-def _retention(bindings: Bindings) -> DataFrame:
-    return growth.retention_cohorts(
-        bindings.warehouse().stg_users, bindings.order_activity(), SUBSCRIPTION_AS_OF
-    )
+def _event_properties(bindings: Bindings) -> DataFrame:
+    """FN-28: one key read out of the JSON documents."""
+    events = bindings.warehouse().stg_product_events
+    k = json_field(F.col("properties"), "k").cast("bigint").alias("k")
+    return events.groupBy("event_name", k).agg(F.count("*").alias("rows"))
 
 
 QUERIES: dict[str, Callable[[Bindings], DataFrame]] = {
     **{name: _model(name) for name in MODELS},
-    "mart_retention_cohorts": _retention,
+    "event_properties": _event_properties,
+    **SCENARIOS,
 }
 
 _SIX_DIGITS = ("_rate", "_pct", "_cost", "_hours")

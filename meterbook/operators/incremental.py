@@ -40,6 +40,35 @@ def affected_days(
     return fresh.select(F.to_date(event_time).alias("_day")).filter(F.col("_day").isNotNull()).distinct()
 
 
+def stale_days(
+    target: DataFrame,
+    rows: DataFrame,
+    event_time: str,
+    count_column: str,
+    mark: datetime,
+    target_day: str = "date_day",
+    ingested_at: str = "_ingested_at",
+    lookback_days: int = LOOKBACK_DAYS,
+) -> DataFrame:
+    """INC-02 for stored facts: the affected days, and the days whose row count no longer agrees.
+
+    A row that is delivered again with another event day leaves its old day one row short. Watching
+    arrivals alone misses that day; comparing counts finds it. ``vanished`` marks days that lost
+    all their rows. Both sides are one row per day when they meet.
+    """
+    source = (
+        rows.groupBy(F.to_date(event_time).alias("_day"))
+        .agg(F.count("*").alias("_rows"), F.max(ingested_at).alias("_newest"))
+        .filter(F.col("_day").isNotNull())
+    )
+    held = target.groupBy(F.col(target_day).alias("_day")).agg(F.sum(count_column).alias("_held"))
+    both = source.join(held, "_day", "full_outer")
+    fresh = ingested_after("_newest", mark, lookback_days)
+    return both.filter(fresh | ~F.col("_rows").eqNullSafe(F.col("_held"))).select(
+        "_day", F.col("_rows").isNull().alias("vanished")
+    )
+
+
 def refresh_days(
     target: DataFrame,
     rows: DataFrame,

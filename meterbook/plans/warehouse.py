@@ -11,9 +11,19 @@ from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from meterbook.plans import dimensions, facts, growth, intermediate, revenue, staging
 
+DAILY_PRODUCT_COLUMNS = (
+    "user_id", "organization_id", "event_name", "event_count", "distinct_session_count", "first_event_at",
+    "last_event_at",
+)
+DAILY_API_COLUMNS = (
+    "organization_id", "is_organization_unknown", "request_count", "successful_request_count", "error_request_count",
+    "error_rate", "total_input_units", "total_output_units", "total_estimated_cost", "avg_latency_ms",
+)
+
 
 class Warehouse:
     def __init__(
@@ -24,20 +34,34 @@ class Warehouse:
         window_days: int = growth.USAGE_WINDOW_DAYS,
         unique_raw: bool = False,
         stored: Mapping[str, DataFrame] | None = None,
+        activity: DataFrame | None = None,
     ):
         self._raw = raw
         self.as_of = as_of
         self.usage_as_of = usage_as_of or as_of
         self.window_days = window_days
         self._unique = unique_raw
+        self._activity = activity  # what retention counts as activity, product usage by default
         # Tables already written win over the plans that would compute them.
-        for name, frame in (stored or {}).items():
-            self.__dict__[name] = frame
+        self._stored = dict(stored or {})
+        self.__dict__.update(self._stored)
 
     def raw(self, source: str) -> DataFrame:
         frame = self._raw[source]
         return frame() if callable(frame) else frame
 
+    def with_stored(self, stored: Mapping[str, DataFrame]) -> Warehouse:
+        """The same warehouse over more stored tables."""
+        return Warehouse(
+            self._raw,
+            self.as_of,
+            self.usage_as_of,
+            self.window_days,
+            self._unique,
+            {**self._stored, **stored},
+            self._activity,
+        )
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
@@ -93,10 +117,16 @@ class Warehouse:
 
     @cached_property
     def int_daily_product_usage(self):
+        fact = self._stored.get("fact_product_usage")
+        if fact is not None:  # the stored fact has the same rows, already aggregated
+            return fact.select(F.col("date_day").alias("event_date"), *DAILY_PRODUCT_COLUMNS)
         return intermediate.daily_product_usage(self.stg_product_events)
 
     @cached_property
     def int_api_usage_by_customer(self):
+        fact = self._stored.get("fact_api_usage")
+        if fact is not None:
+            return fact.select(F.col("date_day").alias("usage_date"), *DAILY_API_COLUMNS)
         return intermediate.api_usage_by_customer(self.stg_api_usage)
 
     @cached_property
@@ -175,7 +205,8 @@ class Warehouse:
 
     @cached_property
     def mart_retention_cohorts(self):
-        return growth.retention_cohorts(self.stg_users, self.int_daily_product_usage, self.as_of)
+        activity = self.int_daily_product_usage if self._activity is None else self._activity
+        return growth.retention_cohorts(self.stg_users, activity, self.as_of)
 
     @cached_property
     def mart_feature_adoption(self):

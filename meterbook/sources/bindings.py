@@ -62,11 +62,11 @@ def _currency(bucket: Column) -> Column:
 
 class Bindings:
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark = spark
-        self._folder = folder
+        self.spark = spark
+        self.folder = folder
 
     def _read(self, table: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
     def raw(self) -> dict[str, Callable[[], DataFrame]]:
         return {
@@ -81,7 +81,7 @@ class Bindings:
         }
 
     def warehouse(self, as_of: datetime = SUBSCRIPTION_AS_OF) -> Warehouse:
-        return Warehouse(self.raw(), as_of, EVENT_AS_OF, EVENT_WINDOW_DAYS)
+        return Warehouse(self.raw(), as_of, EVENT_AS_OF, EVENT_WINDOW_DAYS, activity=self.order_activity())
 
     def _first_orders(self) -> DataFrame:
         return self._read("orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 
+from oracle import scenarios, tables
 from oracle.results import RESULTS
-from oracle.tables import TABLES
+
+TABLES = {**tables.TABLES, **scenarios.TABLES}
 
 # Columns of any query by how they are shown: whole numbers, and decimals with their digits.
 # Everything else is shown as it is.
@@ -21,7 +23,8 @@ WHOLE = set(
     day_of_week_number observed_subscription_count new_user_signups new_organizations cumulative_user_signups
     cumulative_organizations signup_count trial_start_count paid_conversion_count failed_rows total_rows rows
     violations product_events api_requests total_matching
-    rows_received rows_inserted rows_updated rows_rejected raw_row_count duplicate_keys null_keys versions
+    times_run times_failed times_warned total_checks passed_checks warned_checks failed_checks previous_rows
+    current_rows k rows_received rows_inserted rows_updated rows_rejected raw_row_count duplicate_keys null_keys versions
     """.split()
 )
 DIGITS = {"estimated_ltv": 2}
@@ -31,7 +34,7 @@ FOUR_DIGITS = set(
     subscription_amount subtotal_amount tax_amount total_amount billed_amount paid_amount outstanding_amount
     monthly_equivalent_amount typical_monthly_equivalent_amount mrr arr arpu current_arpu realized_ltv_to_date
     opening_recurring_revenue churned_recurring_revenue current_monthly_equivalent_revenue avg_latency_ms
-    active_monthly_recurring_revenue
+    active_monthly_recurring_revenue left_total right_total
     """.split()
 )
 
@@ -42,7 +45,9 @@ def digits_of(column: str) -> int:
     return 6 if column.endswith(SIX_DIGITS) else 4
 
 
-def _shown(column: str) -> str:
+def _shown(column: str, as_text: bool) -> str:
+    if as_text:
+        return column
     if column in WHOLE:
         return f"CAST({column} AS BIGINT) AS {column}"
     if column in FOUR_DIGITS or column in DIGITS or column.endswith(SIX_DIGITS):
@@ -52,19 +57,24 @@ def _shown(column: str) -> str:
 
 def _needed(sql: str, order: list[str]) -> None:
     for name in TABLES:
-        if name not in order and re.search(rf"\b{name}\b", sql):
+        # A name is a table where it stands behind FROM, JOIN or a comma of such a list.
+        if name not in order and re.search(rf"\b(FROM|JOIN)\s+{name}\b", sql):
             _needed(TABLES[name], order)
             if name not in order:
                 order.append(name)
 
 
-def compose(columns: str, body: str) -> str:
+# Landed rows are text, whatever their columns are called.
+TEXT_RESULTS = ("ingest_landed_accounts", "ingest_landed_events", "ingest_landed_requests", "ingest_upserted_accounts")
+
+
+def compose(name: str, columns: str, body: str) -> str:
     order: list[str] = []
     _needed(body, order)
     ctes = ",\n".join(f"{name} AS ({TABLES[name]})" for name in [*order])
     head = f"WITH {ctes}\n" if ctes else ""
-    return f"{head}SELECT {', '.join(_shown(c) for c in columns.split())}\nFROM ({body}) AS answer"
+    return f"{head}SELECT {', '.join(_shown(c, name in TEXT_RESULTS) for c in columns.split())}\nFROM ({body}) AS answer"
 
 
 def oracle_queries() -> dict[str, str]:
-    return {name: compose(columns, body) for name, (columns, body) in RESULTS.items()}
+    return {name: compose(name, columns, body) for name, (columns, body) in RESULTS.items()}

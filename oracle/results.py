@@ -1,5 +1,7 @@
 """The checked queries: their columns, and the SQL over ``oracle.tables``."""
 
+from oracle import scenarios
+
 _LINEAGE = "_ingested_at _source_file _run_id"
 
 MODEL_COLUMNS = {
@@ -92,5 +94,6 @@ MODEL_COLUMNS = {
 }
 
 RESULTS: dict[str, tuple[str, str]] = {
-    name: (columns, f"SELECT * FROM {name}") for name, columns in MODEL_COLUMNS.items()
+    **{name: (columns, f"SELECT * FROM {name}") for name, columns in MODEL_COLUMNS.items()},
+    **scenarios.results(MODEL_COLUMNS),
 }
