@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterbook.plans.warehouse import Warehouse
@@ -20,44 +20,43 @@ SUBSCRIPTION_AS_OF = datetime(2001, 6, 1)
 EVENT_AS_OF = datetime(2024, 1, 20)
 EVENT_WINDOW_DAYS = 10
 
-DAY_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-MICRO_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+SPREAD_FROM, SPREAD_BELOW = 256 << 10, 64 << 20
 
 
-def _text(moment: Column, pattern: str = DAY_TEXT) -> Column:
-    return F.date_format(moment, pattern)
+# SQL fragments. Each table is one projection of expressions over a driver table.
 
 
-def _id(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
+def _day_text(moment: str) -> str:
+    return f"date_format({moment}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 
 
-def _pick(index: Column, words: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (index + 1).cast("int"))
+def _micro_text(moment: str) -> str:
+    return f"date_format({moment}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 
-def _half(number: Column) -> Column:
-    return F.shiftright(number, 1)
+def _pick(index: str, *words: str) -> str:
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"element_at(array({listed}), cast({index} + 1 as int))"
 
 
-def _after(moment: Column, days: Column) -> Column:
-    return moment + F.make_dt_interval(days=days.cast("int"))
+def _after(moment: str, days: str) -> str:
+    return f"({moment} + make_dt_interval(cast({days} as int)))"
 
 
-def _lineage(ingested_at: Column, file: str) -> list[Column]:
+def _lineage(ingested_at: str, file: str) -> list[str]:
     return [
-        ingested_at.cast("timestamp").alias("_ingested_at"),
-        F.lit(file).alias("_source_file"),
-        F.lit("run_bound").alias("_run_id"),
+        f"cast({ingested_at} as timestamp) as _ingested_at",
+        f"'{file}' as _source_file",
+        "'run_bound' as _run_id",
     ]
 
 
-def _countries(nation: Column) -> Column:
-    return _pick(nation % 6, ["USA", " us", "UK", "DE", "fr", "ZZ"])
+def _country(nation: str) -> str:
+    return _pick(f"{nation} % 6", "USA", " us", "UK", "DE", "fr", "ZZ")
 
 
-def _currency(bucket: Column) -> Column:
-    return F.when(bucket < 7, "USD").when(bucket < 9, "EUR").otherwise("GBP")
+def _currency(bucket: str) -> str:
+    return f"case when {bucket} < 7 then 'USD' when {bucket} < 9 then 'EUR' else 'GBP' end"
 
 
 class Bindings:
@@ -66,7 +65,18 @@ class Bindings:
         self.folder = folder
 
     def _read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        """A table; one that is a single small file is spread over the cores.
+
+        A file below one split is read by one task, which would then also format and parse all of
+        its text. Larger tables come in many splits already and are never shuffled here.
+        """
+        path = f"{self.folder}/{table}.parquet"
+        rows = self.spark.read.parquet(path)
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        size = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+        if SPREAD_FROM <= size < SPREAD_BELOW:
+            return rows.repartition(self.spark.sparkContext.defaultParallelism)
+        return rows
 
     def raw(self) -> dict[str, Callable[[], DataFrame]]:
         return {
@@ -83,223 +93,197 @@ class Bindings:
     def warehouse(self, as_of: datetime = SUBSCRIPTION_AS_OF) -> Warehouse:
         return Warehouse(self.raw(), as_of, EVENT_AS_OF, EVENT_WINDOW_DAYS, activity=self.order_activity())
 
-    def _first_orders(self) -> DataFrame:
-        return self._read("orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
+    def _customers(self) -> DataFrame:
+        first_orders = self._read("orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
+        customers = self._read("customer").withColumnRenamed("c_custkey", "n")
+        return customers.join(first_orders, customers["n"] == first_orders["o_custkey"], "left")
 
     def organizations(self) -> DataFrame:
-        customers = self._read("customer").join(
-            self._first_orders(), F.col("c_custkey") == F.col("o_custkey"), "left"
+        grouped = (
+            self._customers()
+            .groupBy(F.expr("shiftright(n, 1) as org"))
+            .agg(F.expr("min_by(c_nationkey, n) as nation"), F.expr("min(first_order) as first_order"))
+            .selectExpr("org", "nation", "first_order - interval 60 days as created")
         )
-        grouped = customers.groupBy(_half(F.col("c_custkey")).alias("n")).agg(
-            F.min_by("c_nationkey", "c_custkey").alias("nation"), F.min("first_order").alias("first_order")
-        )
-        n, created = F.col("n"), F.col("first_order") - F.make_dt_interval(days=F.lit(60))
-        kind = F.when(n % 97 == 96, "partner").otherwise(
-            _pick(n % 4, ["individual", " Startup", "BUSINESS ", "enterprise"])
-        )
-        return grouped.select(
-            _id("org_", n).alias("organization_id"),
-            F.concat(F.lit("  Organization "), n.cast("string"), F.lit(" ")).alias("organization_name"),
-            F.concat(F.lit("ORG"), n.cast("string"), F.lit(".Example.com")).alias("domain"),
-            _countries(F.col("nation")).alias("country_code"),
-            kind.alias("organization_type"),
-            _text(created).alias("created_at"),
-            _text(_after(created, F.lit(10))).alias("updated_at"),
-            *_lineage(_after(created, n % 5), "organizations.csv"),
+        kind = _pick("org % 4", "individual", " Startup", "BUSINESS ", "enterprise")
+        return grouped.selectExpr(
+            "concat('org_', org) as organization_id",
+            "concat('  Organization ', org, ' ') as organization_name",
+            "concat('ORG', org, '.Example.com') as domain",
+            f"{_country('nation')} as country_code",
+            f"if(org % 97 = 96, 'partner', {kind}) as organization_type",
+            f"{_day_text('created')} as created_at",
+            f"{_day_text(_after('created', '10'))} as updated_at",
+            *_lineage(_after("created", "org % 5"), "organizations.csv"),
         )
 
     def users(self) -> DataFrame:
-        customers = self._read("customer").join(
-            self._first_orders(), F.col("c_custkey") == F.col("o_custkey"), "left"
-        )
-        n = F.col("c_custkey")
-        signup = F.col("first_order") - F.make_dt_interval(days=(n % 21).cast("int"))
-        at = F.when(n % 67 == 0, " at ").otherwise("@")
-        return customers.select(
-            _id("usr_", n).alias("user_id"),
-            F.when(n % 167 == 0, _id("org_missing_", n)).otherwise(_id("org_", _half(n))).alias("organization_id"),
-            F.concat(F.lit(" "), F.replace(F.col("c_name"), F.lit("#"), F.lit(".")), at, F.col("c_mktsegment"),
-                     F.lit(".Example ")).alias("email"),
-            _countries(F.col("c_nationkey")).alias("country_code"),
-            _text(signup).alias("signup_at"),
-            F.concat(F.lit(" "), F.col("c_mktsegment")).alias("acquisition_channel"),
-            _pick(n % 4, ["active", " Churned", "TRIAL", "paused"]).alias("status"),
-            _text(signup).alias("created_at"),
-            _text(_after(signup, F.lit(5))).alias("updated_at"),
-            *_lineage(_after(signup, n % 5), "users.csv"),
+        people = self._customers().selectExpr("*", f"{_after('first_order', '-(n % 21)')} as signup")
+        return people.selectExpr(
+            "concat('usr_', n) as user_id",
+            "if(n % 167 = 0, concat('org_missing_', n), concat('org_', shiftright(n, 1))) as organization_id",
+            "concat(' ', replace(c_name, '#', '.'), if(n % 67 = 0, ' at ', '@'), c_mktsegment, '.Example ') as email",
+            f"{_country('c_nationkey')} as country_code",
+            f"{_day_text('signup')} as signup_at",
+            "concat(' ', c_mktsegment) as acquisition_channel",
+            f"{_pick('n % 4', 'active', ' Churned', 'TRIAL', 'paused')} as status",
+            f"{_day_text('signup')} as created_at",
+            f"{_day_text(_after('signup', '5'))} as updated_at",
+            *_lineage(_after("signup", "n % 5"), "users.csv"),
         )
 
     def subscriptions(self) -> DataFrame:
-        n, owner, start = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
-        priority = F.substring("o_orderpriority", 1, 1)
-        plan = (
-            F.when(priority == "1", "enterprise")
-            .when(priority == "2", "business")
-            .when(priority == "3", " Pro ")
-            .when(priority == "5", "free")
+        orders = self._read("orders").selectExpr(
+            "o_orderkey as n",
+            "o_custkey as owner",
+            "o_orderdate as t",
+            "o_orderstatus as s",
+            "o_totalprice as price",
+            "substring(o_orderpriority, 1, 1) as priority",
+            "o_orderkey % 5 < 3 and o_orderpriority not like '5%' as on_trial",
+            f"{_currency('(o_custkey % 10)')} as money",
         )
-        status = (
-            F.when(n % 331 == 0, "paused")
-            .when(F.col("o_orderstatus") == "O", "active")
-            .when(F.col("o_orderstatus") == "F", " Canceled")
-            .when(n % 2 == 0, "trialing")
-            .otherwise("PAST_DUE")
-        )
-        annual = n % 10 < 3
-        currency = _currency(owner % 10)
-        on_trial = (n % 5 < 3) & (priority != "5")
-        cancelled = F.when(F.col("o_orderstatus") == "F", _after(start, 7 + n % 393))
-        return self._read("orders").select(
-            _id("sub_", n).alias("subscription_id"),
-            F.when(n % 167 == 0, _id("usr_missing_", n)).otherwise(_id("usr_", owner)).alias("user_id"),
-            F.when(owner % 167 == 0, _id("org_missing_", owner)).otherwise(_id("org_", _half(owner))).alias(
-                "organization_id"
-            ),
-            plan.alias("plan_name"),
-            F.when(annual, "annual").otherwise("Monthly ").alias("billing_interval"),
-            status.alias("status"),
-            F.when(n % 17 == 0, F.lower(currency)).otherwise(currency).alias("currency"),
-            F.when(n % 457 == 0, "n/a")
-            .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
-            .alias("amount"),
-            _text(start).alias("started_at"),
-            _text(F.when(on_trial, _after(start, F.lit(-14)))).alias("trial_started_at"),
-            _text(F.when(on_trial, start)).alias("trial_ended_at"),
-            _text(cancelled).alias("cancelled_at"),
-            _text(start).alias("current_period_start"),
-            _text(_after(start, F.when(annual, 365).otherwise(30))).alias("current_period_end"),
-            _text(_after(start, F.lit(30))).alias("updated_at"),
-            *_lineage(_after(start, n % 5), "subscriptions.csv"),
+        return orders.selectExpr(
+            "concat('sub_', n) as subscription_id",
+            "if(n % 167 = 0, concat('usr_missing_', n), concat('usr_', owner)) as user_id",
+            "if(owner % 167 = 0, concat('org_missing_', owner), concat('org_', shiftright(owner, 1))) "
+            "as organization_id",
+            "case priority when '1' then 'enterprise' when '2' then 'business' when '3' then ' Pro ' "
+            "when '5' then 'free' end as plan_name",
+            "if(n % 10 < 3, 'annual', 'Monthly ') as billing_interval",
+            "case when n % 331 = 0 then 'paused' when s = 'O' then 'active' when s = 'F' then ' Canceled' "
+            "when n % 2 = 0 then 'trialing' else 'PAST_DUE' end as status",
+            "if(n % 17 = 0, lower(money), money) as currency",
+            "if(n % 457 = 0, 'n/a', cast(cast(price as decimal(18,2)) as string)) as amount",
+            f"{_day_text('t')} as started_at",
+            f"if(on_trial, {_day_text(_after('t', '-14'))}, null) as trial_started_at",
+            f"if(on_trial, {_day_text('t')}, null) as trial_ended_at",
+            f"if(s = 'F', {_day_text(_after('t', '7 + n % 393'))}, null) as cancelled_at",
+            f"{_day_text('t')} as current_period_start",
+            f"{_day_text(_after('t', 'if(n % 10 < 3, 365, 30)'))} as current_period_end",
+            f"{_day_text(_after('t', '30'))} as updated_at",
+            *_lineage(_after("t", "n % 5"), "subscriptions.csv"),
         )
 
     def invoices(self) -> DataFrame:
-        n, line, issued = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_shipdate")
-        flag = F.col("l_returnflag")
-        subtotal = F.col("l_extendedprice").cast("decimal(18,2)")
-        total = (subtotal * (1 + F.col("l_tax").cast("decimal(4,2)"))).cast("decimal(18,2)")
-        currency = _currency(n % 10)
-        status = (
-            F.when((n % 331 == 0) & (line == 1), "refunded")
-            .when(line == 7, "Void")
-            .when(flag == "N", "paid")
-            .when(flag == "A", " OPEN")
-            .otherwise("failed")
+        lines = (
+            self._read("lineitem")
+            .selectExpr(
+                "l_orderkey as n",
+                "l_linenumber as line",
+                "l_returnflag as flag",
+                "l_suppkey as supplier",
+                "l_shipdate as t",
+                "cast(l_extendedprice as decimal(18,2)) as net",
+                "cast(l_tax as decimal(4,2)) as rate",
+                f"{_currency('(l_orderkey % 10)')} as money",
+            )
+            .selectExpr("*", "cast(net * (1 + rate) as decimal(18,2)) as gross")
         )
-        paid = F.when((flag == "N") & (line != 7) & (n % 101 != 0), _after(issued, line))
-        return self._read("lineitem").select(
-            F.concat_ws("_", F.lit("inv"), n.cast("string"), line.cast("string")).alias("invoice_id"),
-            F.when(n % 163 == 0, _id("sub_missing_", n)).otherwise(_id("sub_", n)).alias("subscription_id"),
-            _id("org_", _half(F.col("l_suppkey"))).alias("customer_id"),
-            F.when(n % 499 == 7, F.lit(None))
-            .when(n % 331 == 0, "XXX")
-            .when(n % 17 == 0, F.concat(F.lit(" "), F.lower(currency)))
-            .otherwise(currency)
-            .alias("currency"),
-            subtotal.cast("string").alias("subtotal"),
-            F.when(n % 457 == 0, "n/a").otherwise((total - subtotal).cast("string")).alias("tax"),
-            total.cast("string").alias("total"),
-            status.alias("status"),
-            _text(issued).alias("issued_at"),
-            _text(paid).alias("paid_at"),
-            *_lineage(_after(issued, n % 5), "invoices.csv"),
+        paid = "flag = 'N' and line <> 7 and n % 101 <> 0"
+        return lines.selectExpr(
+            "concat('inv_', n, '_', line) as invoice_id",
+            "concat(if(n % 163 = 0, 'sub_missing_', 'sub_'), n) as subscription_id",
+            "concat('org_', shiftright(supplier, 1)) as customer_id",
+            "case when n % 499 = 7 then null when n % 331 = 0 then 'XXX' "
+            "when n % 17 = 0 then concat(' ', lower(money)) else money end as currency",
+            "cast(net as string) as subtotal",
+            "if(n % 457 = 0, 'n/a', cast(gross - net as string)) as tax",
+            "cast(gross as string) as total",
+            "case when n % 331 = 0 and line = 1 then 'refunded' when line = 7 then 'Void' when flag = 'N' then 'paid' "
+            "when flag = 'A' then ' OPEN' else 'failed' end as status",
+            f"{_day_text('t')} as issued_at",
+            f"if({paid}, {_day_text(_after('t', 'line'))}, null) as paid_at",
+            *_lineage(_after("t", "n % 5"), "invoices.csv"),
         )
 
     def product_events(self) -> DataFrame:
-        n, user, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-        return self._read("events").select(
-            _id("evt_", n).alias("event_id"),
-            F.when(n % 167 == 0, _id("usr_missing_", n)).otherwise(_id("usr_", user)).alias("user_id"),
-            F.when(n % 53 != 0, _id("org_", _half(user))).alias("organization_id"),
-            F.concat(F.upper("event_type"), F.lit(" ")).alias("event_name"),
-            F.when(n % 499 != 0, _text(ts, MICRO_TEXT)).alias("event_timestamp"),
-            F.concat_ws("-", user.cast("string"), F.date_format(ts, "yyyyMMddHH")).alias("session_id"),
-            F.col("props").alias("properties"),
-            *_lineage(_after(ts, n % 5), "product_events.jsonl"),
+        return self._read("events").selectExpr(
+            "concat('evt_', event_id) as event_id",
+            "if(event_id % 167 = 0, concat('usr_missing_', event_id), concat('usr_', user_id)) as user_id",
+            "if(event_id % 53 <> 0, concat('org_', shiftright(user_id, 1)), null) as organization_id",
+            "concat(upper(event_type), ' ') as event_name",
+            f"if(event_id % 499 <> 0, {_micro_text('ts')}, null) as event_timestamp",
+            "concat(user_id, '-', date_format(ts, 'yyyyMMddHH')) as session_id",
+            "props as properties",
+            *_lineage(_after("ts", "event_id % 5"), "product_events.jsonl"),
         )
 
     def api_usage(self) -> DataFrame:
-        n, user, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-        cents = F.round(F.col("value") * 100).cast("bigint")
-        return self._read("events").select(
-            _id("req_", n).alias("request_id"),
-            _id("usr_", user).alias("user_id"),
-            F.when(n % 53 != 0, _id("org_", _half(user))).alias("organization_id"),
-            F.concat(F.lit("/V1/"), F.col("event_type")).alias("endpoint"),
-            _pick(n % 4, ["Small", " medium", "LARGE", "embed"]).alias("model_family"),
-            _text(ts, MICRO_TEXT).alias("request_timestamp"),
-            F.floor(cents / 10).cast("string").alias("latency_ms"),
-            (cents % 1000).cast("string").alias("input_units"),
-            F.when(n % 97 == 0, "n/a").when(n % 89 == 0, "3.7").otherwise((cents % 777).cast("string")).alias(
-                "output_units"
-            ),
-            F.when(n % 101 != 0, F.when(F.col("event_type") == "error", "500").otherwise("200")).alias("status_code"),
-            (cents.cast("decimal(12,0)") * F.lit("0.00001").cast("decimal(6,5)"))
-            .cast("decimal(18,6)")
-            .cast("string")
-            .alias("estimated_cost"),
-            *_lineage(_after(ts, n % 5), "api_usage.parquet"),
+        events = self._read("events").selectExpr("*", "cast(round(value * 100) as bigint) as cents")
+        return events.selectExpr(
+            "concat('req_', event_id) as request_id",
+            "concat('usr_', user_id) as user_id",
+            "if(event_id % 53 <> 0, concat('org_', shiftright(user_id, 1)), null) as organization_id",
+            "concat('/V1/', event_type) as endpoint",
+            f"{_pick('event_id % 4', 'Small', ' medium', 'LARGE', 'embed')} as model_family",
+            f"{_micro_text('ts')} as request_timestamp",
+            "cast(cents div 10 as string) as latency_ms",
+            "cast(cents % 1000 as string) as input_units",
+            "case when event_id % 97 = 0 then 'n/a' when event_id % 89 = 0 then '3.7' "
+            "else cast(cents % 777 as string) end as output_units",
+            "if(event_id % 101 <> 0, if(event_type = 'error', '500', '200'), null) as status_code",
+            "cast(cast(cast(cents as decimal(12,0)) * 0.00001 as decimal(18,6)) as string) as estimated_cost",
+            *_lineage(_after("ts", "event_id % 5"), "api_usage.parquet"),
         )
 
+    def _accounts(self, updated_at: str, ingested_at: str, status: str) -> list[str]:
+        return [
+            "concat('crm_', n) as crm_account_id",
+            "concat(if(n % 41 = 0, 'org_missing_', 'org_'), n) as organization_id",
+            f"{status} as account_status",
+            f"{_pick('n % 4', 'smb', 'Mid_Market', 'ENTERPRISE', 'other')} as segment",
+            f"{_pick('n % 2', ' Sales', 'success')} as owner_team",
+            f"{_pick('n % 3', 'Web', ' ', 'referral')} as lead_source",
+            "'1999-01-01T00:00:00Z' as created_at",
+            f"{_day_text(updated_at)} as updated_at",
+            *_lineage(ingested_at, "crm_accounts.csv"),
+        ]
+
+    def _suppliers(self) -> DataFrame:
+        updated = _after("timestamp_ntz'1999-01-01 00:00:00'", "1 + s_suppkey % 300")
+        return self._read("supplier").selectExpr(
+            "s_suppkey as n", "s_acctbal as balance", f"{updated} as updated",
+            "if(s_nationkey % 2 = 0, ' Prospect', 'active') as state",
+        )
+
     def crm_first_delivery(self) -> DataFrame:
-        n, nation = F.col("s_suppkey"), F.col("s_nationkey")
-        created = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
-        updated = _after(created, 1 + n % 300)
-        return self._read("supplier").select(
-            _id("crm_", n).alias("crm_account_id"),
-            F.when(n % 41 == 0, _id("org_missing_", n)).otherwise(_id("org_", n)).alias("organization_id"),
-            F.when(nation % 2 == 0, " Prospect").otherwise("active").alias("account_status"),
-            _pick(n % 4, ["smb", "Mid_Market", "ENTERPRISE", "other"]).alias("segment"),
-            _pick(n % 2, [" Sales", "success"]).alias("owner_team"),
-            _pick(n % 3, ["Web", " ", "referral"]).alias("lead_source"),
-            _text(created).alias("created_at"),
-            _text(updated).alias("updated_at"),
-            *_lineage(_after(updated, n % 5), "crm_accounts.csv"),
-        )
+        return self._suppliers().selectExpr(*self._accounts("updated", _after("updated", "n % 5"), "state"))
 
     def crm_second_delivery(self) -> DataFrame:
         """Accounts in debt turn ``at_risk`` a year later; accounts above 9,000 left."""
-        first = self.crm_first_delivery().withColumn("_balance", F.lit(None).cast("double"))
-        balances = self._read("supplier").select(
-            _id("crm_", F.col("s_suppkey")).alias("crm_account_id"), F.col("s_acctbal").alias("_balance")
+        stayed = self._suppliers().filter("balance <= 9000")
+        return stayed.selectExpr(
+            *self._accounts(
+                f"if(balance < 0, {_after('updated', '365')}, updated)",
+                _after("updated", "n % 5 + 400"),
+                "if(balance < 0, 'at_risk', state)",
+            )
         )
-        moved = first.drop("_balance").join(balances, "crm_account_id").filter(F.col("_balance") <= 9000)
-        in_debt = F.col("_balance") < 0
-        later = _text(_after(F.col("updated_at").cast("timestamp"), F.lit(365)))
-        return moved.withColumns(
-            {
-                "account_status": F.when(in_debt, "at_risk").otherwise(F.col("account_status")),
-                "updated_at": F.when(in_debt, later).otherwise(F.col("updated_at")),
-                "_ingested_at": _after(F.col("_ingested_at"), F.lit(400)),
-            }
-        ).drop("_balance")
 
     def crm_accounts(self) -> DataFrame:
         """Both deliveries as they arrived; staging keeps the newer version of each account."""
         return self.crm_first_delivery().unionByName(self.crm_second_delivery())
 
     def marketing_events(self) -> DataFrame:
-        n, user, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-        kinds = {"view": "impression", "click": "CLICK", "signup": " signup_complete"}
-        kind = F.when(F.col("event_type") == "view", kinds["view"]).when(
-            F.col("event_type") == "click", kinds["click"]
-        ).otherwise(kinds["signup"])
-        campaign = F.when(n % 7 == 0, "  ").otherwise(F.concat(F.lit("cmp_"), F.get_json_object("props", "$.k")))
-        return self._read("events").filter(F.col("event_type").isin(*kinds)).select(
-            _id("mkt_", n).alias("marketing_event_id"),
-            F.when(n % 20 >= 7, _id("usr_", user)).alias("user_id"),
-            _id("anon_", user).alias("anonymous_id"),
-            campaign.alias("campaign_id"),
-            _pick(n % 3, ["Search", "SOCIAL ", "email"]).alias("channel"),
-            kind.alias("event_type"),
-            _text(ts, MICRO_TEXT).alias("event_timestamp"),
-            _pick(n % 3, ["Google", "facebook", " Newsletter"]).alias("utm_source"),
-            _pick(n % 2, ["CPC", "organic"]).alias("utm_medium"),
-            F.when(n % 11 == 0, "").otherwise(_id("wave_", n % 5)).alias("utm_campaign"),
-            *_lineage(_after(ts, n % 5), "marketing_events.csv"),
+        touches = self._read("events").filter("event_type in ('view', 'click', 'signup')")
+        return touches.selectExpr(
+            "concat('mkt_', event_id) as marketing_event_id",
+            "if(event_id % 20 >= 7, concat('usr_', user_id), null) as user_id",
+            "concat('anon_', user_id) as anonymous_id",
+            "if(event_id % 7 = 0, '  ', concat('cmp_', get_json_object(props, '$.k'))) as campaign_id",
+            f"{_pick('event_id % 3', 'Search', 'SOCIAL ', 'email')} as channel",
+            "case event_type when 'view' then 'impression' when 'click' then 'CLICK' else ' signup_complete' end "
+            "as event_type",
+            f"{_micro_text('ts')} as event_timestamp",
+            f"{_pick('event_id % 3', 'Google', 'facebook', ' Newsletter')} as utm_source",
+            f"{_pick('event_id % 2', 'CPC', 'organic')} as utm_medium",
+            "if(event_id % 11 = 0, '', concat('wave_', event_id % 5)) as utm_campaign",
+            *_lineage(_after("ts", "event_id % 5"), "marketing_events.csv"),
         )
 
     def order_activity(self) -> DataFrame:
         """Activity over years, which the one month of events cannot show: a user's order days."""
-        return self._read("orders").select(
-            _id("usr_", F.col("o_custkey")).alias("user_id"), F.to_date("o_orderdate").alias("event_date")
+        return self._read("orders").selectExpr(
+            "concat('usr_', o_custkey) as user_id", "to_date(o_orderdate) as event_date"
         )
