@@ -27,21 +27,18 @@ def latest_per_key(
     return first_per_key(df, keys, order)
 
 
-def mark_newest(df: DataFrame, key: str, version: str | None, position: str, flag: str) -> DataFrame:
+def mark_newest(
+    df: DataFrame, key: str, version: str | None, position: Sequence[str], row_id: Sequence[str], flag: str
+) -> DataFrame:
     """VAL-06: flag the row that wins its key and keep the others, which become rejects.
 
     The winner is the greatest ``version`` text, the later ``position`` on a tie (or just the later
     position if there is no version). Winners come from an aggregate, which combines before the
-    shuffle, and go back to the rows by their unique position, so no task ever holds all the
+    shuffle, and go back to the rows by ``row_id``, which is unique, so no task ever holds all the
     copies of a hot key.
     """
-    rank = F.struct(
-        F.coalesce(F.col(version), F.lit("")).alias("version") if version else F.lit("").alias("version"),
-        F.col(position).alias("position"),
-    )
-    winners = (
-        df.groupBy(key)
-        .agg(F.max(rank).alias("_best"))
-        .select(F.col("_best.position").alias(position), F.lit(True).alias("_won"))
-    )
-    return df.join(winners, position, "left").withColumn(flag, F.coalesce("_won", F.lit(False))).drop("_won")
+    newest = F.coalesce(F.col(version), F.lit("")) if version else F.lit("")
+    rank = F.struct(newest.alias("_version"), *dict.fromkeys([*position, *row_id]))
+    best = df.groupBy(key).agg(F.max(rank).alias("_best"))
+    winners = best.select(*[F.col(f"_best.{c}").alias(c) for c in row_id], F.lit(True).alias("_won"))
+    return df.join(winners, list(row_id), "left").withColumn(flag, F.coalesce("_won", F.lit(False))).drop("_won")

@@ -14,7 +14,7 @@ from meterbook.functions import month_start
 from meterbook.operators import history, incremental
 from meterbook.plans import facts, intermediate
 from meterbook.plans.warehouse import Warehouse
-from meterbook.session import durable
+from meterbook.session import durable_copy
 from meterbook.sources.registry import SOURCES
 from meterbook.sources.store import Store
 
@@ -78,25 +78,29 @@ def refresh_invoices(
     target = store.read(ANALYTICS, table)
     mark = incremental.read_watermark(target)
     touched = invoices.filter(incremental.ingested_after("_ingested_at", mark))
-    rebuilt = durable(with_month(rebuild(touched)))
+    with durable_copy(with_month(rebuild(touched))) as rebuilt:
+        _replace_invoices(store, table, target, rebuilt)
+    return store.read(ANALYTICS, table).drop(MONTH)
+
+
+def _replace_invoices(store: Store, table: str, target: DataFrame, rebuilt: DataFrame) -> None:
     keys = rebuilt.select("invoice_id")
     held = target.join(keys, "invoice_id", "left_semi").select(MONTH).distinct()
     months = [r[MONTH] for r in held.union(rebuilt.select(MONTH)).distinct().collect()]
     if not months:
-        return target.drop(MONTH)
+        return
     # A missing month is a partition of its own and needs the NULL-safe test.
     in_months = F.col(MONTH).isin([m for m in months if m is not None])
     if None in months:
         in_months = F.coalesce(in_months, F.lit(False)) | F.col(MONTH).isNull()
     kept = target.filter(in_months).join(keys, "invoice_id", "left_anti")
-    content = durable(kept.unionByName(rebuilt.select(*kept.columns)))
-    if content.select(MONTH).distinct().count() == len(months):
-        store.replace_partitions(content, ANALYTICS, table, [MONTH])
-    else:
-        # A month lost its last invoice; replacing partitions would leave its old files behind.
-        untouched = target.filter(~F.coalesce(in_months, F.lit(False)))
-        store.replace(untouched.unionByName(content), ANALYTICS, table, [MONTH])
-    return store.read(ANALYTICS, table).drop(MONTH)
+    with durable_copy(kept.unionByName(rebuilt.select(*kept.columns))) as content:
+        if content.select(MONTH).distinct().count() == len(months):
+            store.replace_partitions(content, ANALYTICS, table, [MONTH])
+        else:
+            # A month lost its last invoice; replacing partitions would leave its old files behind.
+            untouched = target.filter(~F.coalesce(in_months, F.lit(False)))
+            store.replace(untouched.unionByName(content), ANALYTICS, table, [MONTH])
 
 
 def refresh_history(store: Store, table: str, source: DataFrame, key: str, run_at: datetime) -> DataFrame:
@@ -110,10 +114,10 @@ def refresh_history(store: Store, table: str, source: DataFrame, key: str, run_a
     if not version:
         store.replace(history.first_history(source), SNAPSHOTS, current)
         return read_history(store, table)
-    merged = durable(history.merge_current(store.read(SNAPSHOTS, current), source, key, run_at))
-    closed = merged.filter(F.col(history.TO).isNotNull())
-    closed.write.mode("overwrite").parquet(_closed_part(store, table, version + 1))
-    store.replace(history.current_versions(merged), SNAPSHOTS, current)
+    with durable_copy(history.merge_current(store.read(SNAPSHOTS, current), source, key, run_at)) as merged:
+        closed = merged.filter(F.col(history.TO).isNotNull())
+        closed.write.mode("overwrite").parquet(_closed_part(store, table, version + 1))
+        store.replace(history.current_versions(merged), SNAPSHOTS, current)
     return read_history(store, table)
 
 

@@ -22,33 +22,48 @@ def _found_key(key: str, matched: str) -> Column:
     return F.when(F.col(matched), fn.surrogate_key(F.col(key)))
 
 
+def subscription_terms(subscriptions: DataFrame, as_of: datetime) -> DataFrame:
+    """FN-11, FN-12: what each subscription pays, and whether it does now. Nothing is looked up, so
+    a mart that needs only this never joins."""
+    return subscriptions.withColumns(
+        {
+            "is_recurring_active_now": fn.recurring_active(F.col("status"), F.col("cancelled_at"), as_of),
+            "monthly_equivalent_amount": fn.monthly_amount(F.col("subscription_amount"), F.col("billing_interval")),
+        }
+    )
+
+
+def with_organization_key(rows: DataFrame, organizations: DataFrame, key: str = "organization_id") -> DataFrame:
+    """JN-08..11: the key of an organization that exists, and a flag for one that does not."""
+    joined = lookup(rows, organizations, {key: "organization_id"}, matched="_has_organization")
+    return joined.withColumns(
+        {
+            "organization_key": _found_key(key, "_has_organization"),
+            "is_organization_unmatched": orphaned(key, "_has_organization"),
+        }
+    ).drop("_has_organization")
+
+
 def fact_subscriptions(history: DataFrame, organizations: DataFrame, as_of: datetime) -> DataFrame:
     """FCT-01, JN-08: one row per subscription; whether its user exists is known from ``history``."""
-    joined = lookup(
-        history, organizations, {"organization_id": "organization_id"}, matched="_has_organization"
-    )
-    status, cancelled_at = F.col("status"), F.col("cancelled_at")
-    return joined.select(
+    known_user = F.col("user_id").isNotNull() & ~F.col("is_user_orphaned")
+    return with_organization_key(subscription_terms(history, as_of), organizations).select(
         "subscription_id",
-        F.when(F.col("user_id").isNotNull() & ~F.col("is_user_orphaned"), fn.surrogate_key(F.col("user_id"))).alias(
-            "user_key"
-        ),
+        F.when(known_user, fn.surrogate_key(F.col("user_id"))).alias("user_key"),
         "is_user_orphaned",
-        _found_key("organization_id", "_has_organization").alias("organization_key"),
-        orphaned("organization_id", "_has_organization").alias("is_organization_unmatched"),
+        "organization_key",
+        "is_organization_unmatched",
         plan_key().alias("plan_key"),
         "plan_name",
         "is_plan_missing",
         "billing_interval",
         "status",
         "is_status_unknown",
-        fn.recurring_active(status, cancelled_at, as_of).alias("is_recurring_active_now"),
+        "is_recurring_active_now",
         "currency",
         "is_currency_recognized",
         "subscription_amount",
-        fn.monthly_amount(F.col("subscription_amount"), F.col("billing_interval")).alias(
-            "monthly_equivalent_amount"
-        ),
+        "monthly_equivalent_amount",
         "started_at",
         "trial_started_at",
         "trial_ended_at",
@@ -61,13 +76,12 @@ def fact_subscriptions(history: DataFrame, organizations: DataFrame, as_of: date
 
 def fact_invoices(revenue: DataFrame, organizations: DataFrame) -> DataFrame:
     """FCT-02, JN-09: one row per invoice, with its ingest time as the next watermark."""
-    joined = lookup(revenue, organizations, {"customer_id": "organization_id"}, matched="_has_organization")
-    return joined.select(
+    return with_organization_key(revenue, organizations, "customer_id").select(
         "invoice_id",
         "subscription_id",
         "is_subscription_orphaned",
-        _found_key("customer_id", "_has_organization").alias("organization_key"),
-        orphaned("customer_id", "_has_organization").alias("is_organization_unmatched"),
+        "organization_key",
+        "is_organization_unmatched",
         plan_key().alias("plan_key"),
         "user_id",
         "currency",
@@ -91,8 +105,7 @@ def fact_product_usage(events: DataFrame, users: DataFrame, organizations: DataF
     """FCT-03, JN-10: daily usage. Events are aggregated before the lookups, so they join as groups."""
     daily = daily_product_usage(events, day="date_day", with_ingest_time=True)
     joined = lookup(daily, users, {"user_id": "user_id"}, matched="_has_user")
-    joined = lookup(joined, organizations, {"organization_id": "organization_id"}, matched="_has_organization")
-    return joined.select(
+    return with_organization_key(joined, organizations).select(
         # INC-04: blank stands for a missing key, since NULL never equals NULL when rows are replaced.
         fn.surrogate_key(
             F.col("date_day"),
@@ -105,8 +118,8 @@ def fact_product_usage(events: DataFrame, users: DataFrame, organizations: DataF
         _found_key("user_id", "_has_user").alias("user_key"),
         orphaned("user_id", "_has_user").alias("is_user_unmatched"),
         "organization_id",
-        _found_key("organization_id", "_has_organization").alias("organization_key"),
-        orphaned("organization_id", "_has_organization").alias("is_organization_unmatched"),
+        "organization_key",
+        "is_organization_unmatched",
         "event_name",
         "event_count",
         "distinct_session_count",
@@ -119,14 +132,13 @@ def fact_product_usage(events: DataFrame, users: DataFrame, organizations: DataF
 def fact_api_usage(usage: DataFrame, organizations: DataFrame) -> DataFrame:
     """FCT-04, JN-11: daily API usage per organization."""
     daily = api_usage_by_customer(usage, day="date_day", with_ingest_time=True)
-    joined = lookup(daily, organizations, {"organization_id": "organization_id"}, matched="_has_organization")
-    return joined.select(
+    return with_organization_key(daily, organizations).select(
         fn.surrogate_key(F.col("date_day"), F.coalesce("organization_id", F.lit(""))).alias("usage_grain_key"),
         "date_day",
         "organization_id",
-        _found_key("organization_id", "_has_organization").alias("organization_key"),
+        "organization_key",
         "is_organization_unknown",
-        orphaned("organization_id", "_has_organization").alias("is_organization_unmatched"),
+        "is_organization_unmatched",
         "request_count",
         "successful_request_count",
         "error_request_count",

@@ -64,7 +64,7 @@ def churn_period(as_of: datetime, days: int = CHURN_PERIOD_DAYS) -> tuple[date,
 
 
 def customer_churn(
-    history: DataFrame, organizations: DataFrame, as_of: datetime, days: int = CHURN_PERIOD_DAYS
+    subscriptions: DataFrame, organizations: DataFrame, as_of: datetime, days: int = CHURN_PERIOD_DAYS
 ) -> DataFrame:
     """REV-04: organizations lost in the period, by type and over all.
 
@@ -77,7 +77,7 @@ def customer_churn(
     began = fn.active_at(F.col("started_at"), F.col("cancelled_at"), fn.date_literal(start).cast("timestamp"))
     stays = fn.recurring_active(F.col("status"), F.col("cancelled_at"), as_of)
     opening = (
-        history.filter(F.col("organization_id").isNotNull())
+        subscriptions.filter(F.col("organization_id").isNotNull())
         .groupBy("organization_id")
         .agg(F.bool_or(began).alias("_began"), F.bool_or(stays).alias("_stays"))
         .filter("_began")

@@ -178,6 +178,17 @@ class Warehouse:
     def fact_subscriptions(self):
         return facts.fact_subscriptions(self.int_user_subscription_history, self.stg_organizations, self.as_of)
 
+    # What the revenue marts read of a subscription: the stored fact, or just the lookups they need.
+    @cached_property
+    def _terms(self):
+        fact = self._stored.get("fact_subscriptions")
+        return facts.subscription_terms(self.stg_subscriptions, self.as_of) if fact is None else fact
+
+    @cached_property
+    def _terms_by_organization(self):
+        fact = self._stored.get("fact_subscriptions")
+        return facts.with_organization_key(self._terms, self.stg_organizations) if fact is None else fact
+
     @cached_property
     def fact_invoices(self):
         return facts.fact_invoices(self._revenue, self.stg_organizations)
@@ -216,7 +227,7 @@ class Warehouse:
     def mart_enterprise_growth(self):
         return growth.enterprise_growth(
             self.dim_organizations,
-            self.fact_subscriptions,
+            self._terms_by_organization,
             self.fact_product_usage,
             self.fact_api_usage,
             self.as_of,
@@ -227,23 +238,23 @@ class Warehouse:
     # revenue marts
     @cached_property
     def mart_mrr(self):
-        return revenue.mrr(self.fact_subscriptions, self.as_of)
+        return revenue.mrr(self._terms, self.as_of)
 
     @cached_property
     def mart_arr(self):
-        return revenue.arr(self.fact_subscriptions, self.as_of)
+        return revenue.arr(self._terms, self.as_of)
 
     @cached_property
     def mart_arpu(self):
-        return revenue.arpu(self.fact_subscriptions, self.as_of)
+        return revenue.arpu(self._terms_by_organization, self.as_of)
 
     @cached_property
     def mart_customer_churn(self):
-        return revenue.customer_churn(self.int_user_subscription_history, self.stg_organizations, self.as_of)
+        return revenue.customer_churn(self.stg_subscriptions, self.stg_organizations, self.as_of)
 
     @cached_property
     def mart_revenue_churn(self):
-        return revenue.revenue_churn(self.fact_subscriptions, self.as_of)
+        return revenue.revenue_churn(self._terms, self.as_of)
 
     @cached_property
     def mart_customer_ltv(self):

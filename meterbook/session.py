@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,3 +69,15 @@ def durable(df: DataFrame) -> DataFrame:
     path = scratch_folder(df.sparkSession, "durable")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def durable_copy(df: DataFrame) -> Iterator[DataFrame]:
+    """A durable copy that goes away when the work that shares it is done."""
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession, "durable")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -12,9 +12,9 @@ from meterbook.functions import time_literal
 from meterbook.operators import validate
 from meterbook.operators.dedup import mark_newest
 from meterbook.operators.upsert import upsert, upsert_counts
-from meterbook.session import durable
+from meterbook.session import durable_copy
 from meterbook.sources import audit
-from meterbook.sources.readers import read_source
+from meterbook.sources.readers import POSITION, ROW_ID, read_source
 from meterbook.sources.registry import INGESTION_ORDER, SOURCES, SourceSpec
 from meterbook.sources.store import Store
 
@@ -40,7 +40,7 @@ def settled(checked: DataFrame, spec: SourceSpec) -> DataFrame:
     """
     good = checked.filter(F.col("_reason").isNull())
     bad = checked.filter(F.col("_reason").isNotNull()).withColumn("_kept", F.lit(False))
-    marked = mark_newest(good, spec.key, spec.version, "_position", "_kept")
+    marked = mark_newest(good, spec.key, spec.version, POSITION, ROW_ID, "_kept")
     marked = marked.withColumn("_reason", F.when(~F.col("_kept"), validate.DUPLICATE))
     return marked.unionByName(bad)
 
@@ -68,26 +68,26 @@ def ingest_source(store: Store, spec: SourceSpec, folder: str, now: datetime) ->
 
 def _load(store: Store, spec: SourceSpec, path: str, run: audit.Run, now: datetime) -> None:
     rows = read_source(store.spark, spec, path)
-    outcome = durable(settled(validated(rows, spec), spec))
-    landed = outcome.filter("_kept").select(
-        *spec.columns,
-        time_literal(now).alias("_ingested_at"),
-        "_source_file",
-        F.lit(run.run_id).alias("_run_id"),
-    )
-    counts = outcome.agg(F.count("*").alias("received"), F.count_if(~F.col("_kept")).alias("rejected")).first()
-    if not store.exists(RAW, spec.name):
-        inserted, updated = counts["received"] - counts["rejected"], 0
-        store.replace(landed, RAW, spec.name)
-    else:
-        existing = store.read(RAW, spec.name)
-        inserted, updated = upsert_counts(existing, landed, spec.key).first()
-        if updated:
-            store.replace(upsert(existing, landed, spec.key), RAW, spec.name)
+    with durable_copy(settled(validated(rows, spec), spec)) as outcome:
+        landed = outcome.filter("_kept").select(
+            *spec.columns,
+            time_literal(now).alias("_ingested_at"),
+            "_source_file",
+            F.lit(run.run_id).alias("_run_id"),
+        )
+        counts = outcome.agg(F.count("*").alias("received"), F.count_if(~F.col("_kept")).alias("rejected")).first()
+        if not store.exists(RAW, spec.name):
+            inserted, updated = counts["received"] - counts["rejected"], 0
+            store.replace(landed, RAW, spec.name)
         else:
-            # Nothing to replace: the new rows are added without rewriting the table.
-            store.append(landed, RAW, spec.name)
-    audit.record_rejects(store, outcome.filter(~F.col("_kept")), run, spec.key, spec.columns, now)
+            existing = store.read(RAW, spec.name)
+            inserted, updated = upsert_counts(existing, landed, spec.key).first()
+            if updated:
+                store.replace(upsert(existing, landed, spec.key), RAW, spec.name)
+            else:
+                # Nothing to replace: the new rows are added without rewriting the table.
+                store.append(landed, RAW, spec.name)
+        audit.record_rejects(store, outcome.filter(~F.col("_kept")), run, spec.key, spec.columns, now)
     # VAL-07: counted only now that both writes are in; received = inserted + updated + rejected.
     run.rows_received, run.rows_rejected = counts["received"], counts["rejected"]
     run.rows_inserted, run.rows_updated = inserted, updated

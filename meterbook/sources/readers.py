@@ -1,7 +1,8 @@
 """Scans of the three file formats into text columns.
 
-Each scan adds ``_source_file``, ``_position`` (file, block, running number: the order of rows in
-the source, unique per row) and ``_parse_error`` / ``_raw_line`` for lines that are no record.
+Each scan adds ``_source_file``, the row's place (``POSITION``: file, block and running number give
+the order of rows in the source; ``ROW_ID``, a scan and its running number, is unique) and
+``_parse_error`` / ``_raw_line`` for lines that are no record.
 """
 
 from __future__ import annotations
@@ -19,16 +20,21 @@ NOT_AN_OBJECT = "line is not a JSON object"
 JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
-def _position() -> Column:
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("number"),
-    )
+POSITION = ("_file", "_block", "_number")
+ROW_ID = ("_scan", "_number")
+
+
+def _scan_columns(scan: int = 0) -> list[Column]:
+    return [
+        F.col("_metadata.file_name").alias("_source_file"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_number"),
+        F.lit(scan).alias("_scan"),
+    ]
 
 
-def _scan_columns() -> list[Column]:
-    return [F.col("_metadata.file_name").alias("_source_file"), _position().alias("_position")]
+_PLACE = ("_source_file", "_file", "_block", "_number", "_scan")
 
 
 def _no_errors(df: DataFrame) -> DataFrame:
@@ -48,7 +54,7 @@ def read_csv(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
 
     parsed = _csv(spark, spec, path, multi_line=False)
     if broken:
-        split = parsed.filter(~F.col("_position.file").isin(broken))
+        split = parsed.filter(~F.col("_file").isin(broken))
         return split.unionByName(_csv(spark, spec, broken, multi_line=True))
     return parsed
 
@@ -64,7 +70,7 @@ def _csv(spark: SparkSession, spec: SourceSpec, path: str | list[str], multi_lin
         .option("escape", '"')
         .option("multiLine", multi_line)
     )
-    return _no_errors(reader.csv(path).select(*spec.columns, *_scan_columns()))
+    return _no_errors(reader.csv(path).select(*spec.columns, *_scan_columns(int(multi_line))))
 
 
 def read_jsonl(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
@@ -84,8 +90,7 @@ def read_jsonl(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     schema = T.StructType([T.StructField("doc", fields), T.StructField("_corrupt_record", T.StringType())])
     parsed = lines.select(
         "line",
-        "_source_file",
-        "_position",
+        *_PLACE,
         F.from_json(wrapped, schema, JSON_OPTIONS).alias("j"),
         F.json_object_keys(wrapped).alias("members"),
     )
@@ -100,8 +105,7 @@ def read_jsonl(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
 
     return parsed.select(
         *[F.when(is_record, value(c)).alias(c) for c in spec.columns],
-        "_source_file",
-        "_position",
+        *_PLACE,
         error.alias("_parse_error"),
         F.when(~is_record, F.substring("line", 1, RAW_LINE_LENGTH)).alias("_raw_line"),
         *[
