@@ -75,7 +75,8 @@ class Bindings:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         size = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
         if SPREAD_FROM <= size < SPREAD_BELOW:
-            return rows.repartition(self.spark.sparkContext.defaultParallelism)
+            # By a column: dealing rows out in turn would sort them first to be repeatable.
+            return rows.repartition(self.spark.sparkContext.defaultParallelism, rows.columns[0])
         return rows
 
     def raw(self) -> dict[str, Callable[[], DataFrame]]:

@@ -56,8 +56,11 @@ class Store:
 
     def replace(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """SNK-04: write a whole table as its next version."""
-        path = self.path(layer, table, self.version(layer, table) + 1)
+        version = self.version(layer, table) + 1
+        path = self.path(layer, table, version)
         _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        # The version before stays for readers that still use it; the one before that goes.
+        self._delete(self.path(layer, table, version - 2))
         return self.spark.read.parquet(path)
 
     def append(self, df: DataFrame, layer: str, table: str) -> None:
@@ -76,6 +79,10 @@ class Store:
             .parquet(path)
         )
 
+    def _delete(self, path: str) -> None:
+        files, where = self._files(path)
+        files.delete(where, True)
+
     def _files(self, path: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
