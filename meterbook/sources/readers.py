@@ -7,7 +7,7 @@ the order of rows in the source; ``ROW_ID``, a scan and its running number, is u
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,25 +52,32 @@ def read_csv(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     broken = [r["file"] for r in lines.filter(quotes % 2 == 1).select("file").distinct().collect()]
 
-    parsed = _csv(spark, spec, path, multi_line=False)
+    names = _csv_reader(spark).csv(path).columns or list(spec.columns)
+    parsed = _csv(spark, spec, names, path, multi_line=False)
     if broken:
         split = parsed.filter(~F.col("_file").isin(broken))
-        return split.unionByName(_csv(spark, spec, broken, multi_line=True))
+        return split.unionByName(_csv(spark, spec, names, broken, multi_line=True))
     return parsed
 
 
-def _csv(spark: SparkSession, spec: SourceSpec, path: str | list[str], multi_line: bool) -> DataFrame:
-    reader = (
-        spark.read.schema(spec.schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+def _csv_reader(spark: SparkSession) -> DataFrameReader:
+    return (
+        spark.read.option("header", True)
         .option("nullValue", "")
         .option("emptyValue", "")
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
     )
-    return _no_errors(reader.csv(path).select(*spec.columns, *_scan_columns(int(multi_line))))
+
+
+def _csv(
+    spark: SparkSession, spec: SourceSpec, names: list[str], path: str | list[str], multi_line: bool
+) -> DataFrame:
+    """Columns go by the names in the header, in whatever order; one that is missing is NULL."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    reader = _csv_reader(spark).schema(schema).option("enforceSchema", False).option("multiLine", multi_line)
+    columns = [F.col(c) if c in names else F.lit(None).cast("string").alias(c) for c in spec.columns]
+    return _no_errors(reader.csv(path).select(*columns, *_scan_columns(int(multi_line))))
 
 
 def read_jsonl(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:

@@ -90,7 +90,10 @@ class UsageStream:
         """
         rows = self._stored().filter(~F.col(MARKER) & (F.col(BATCH) <= batch_id))
         ids = rows.filter(F.col(BATCH) == batch_id).select(KEY).distinct()
-        versions = rows.join(ids, KEY, "left_semi")
+        # Only ids are looked up in all that is stored; whole rows are read of the days found.
+        known = rows.select(KEY, DAY).join(ids, KEY, "left_semi").select(DAY).distinct().collect()
+        days = [r[DAY] for r in known if r[DAY] is not None]
+        versions = rows.filter(F.col(DAY).isNull() | F.col(DAY).isin(days)).join(ids, KEY, "left_semi")
         held = versions.filter(F.col(DAY).isNotNull()).select(KEY, F.col(DAY).alias("_held")).distinct()
         elsewhere = newest(versions).join(held, KEY).filter(~F.col("_held").eqNullSafe(F.col(DAY)))
         return elsewhere.select(*LANDED.names, F.lit(True).alias(MARKER), F.col("_held").alias(DAY))

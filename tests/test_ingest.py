@@ -61,6 +61,15 @@ def test_same_file_again_inserts_nothing(store, tmp_path):
     assert rows(store.read("raw", "organizations"), "_ingested_at") == [(datetime(2024, 6, 2),)]
 
 
+def test_csv_columns_go_by_name(store, tmp_path):
+    text = "updated_at,organization_id,surplus,organization_name\n2024-01-01,o1,x,First\n"
+    run = ingest.ingest_source(store, SOURCES["organizations"], write(tmp_path / "in", "organizations.csv", text), NOW)
+    assert run.status == audit.SUCCESS
+    assert rows(store.read("raw", "organizations"), "organization_id", "organization_name", "domain", "updated_at") == [
+        ("o1", "First", None, "2024-01-01")
+    ]
+
+
 EVENTS = "\n".join(
     [
         '{"event_id": "e1", "user_id": "u1", "event_timestamp": "2024-05-01T10:00:00Z", "properties": {"value": 1}}',
