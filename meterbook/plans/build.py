@@ -15,6 +15,8 @@ from meterbook.operators import history, incremental
 from meterbook.plans import facts, intermediate
 from meterbook.plans.warehouse import Warehouse
 from meterbook.session import durable_copy
+from meterbook.sources.ingest import DAY
+from meterbook.sources.merge import merge_by_key
 from meterbook.sources.registry import SOURCES
 from meterbook.sources.store import Store
 
@@ -39,8 +41,12 @@ def refresh_daily_fact(
     count_column: str,
     rebuild: Callable[[DataFrame], DataFrame],
     full_refresh: bool = False,
+    staged_days: Callable[[list], DataFrame] | None = None,
 ) -> DataFrame:
-    """INC-01, INC-02, INC-05, INC-06 on a stored fact that is partitioned by day."""
+    """INC-01, INC-02, INC-05, INC-06 on a stored fact that is partitioned by day.
+
+    ``staged_days`` gives the staged rows of some days where they can be read without the others.
+    """
     if full_refresh or not store.exists(ANALYTICS, table):
         return store.replace(rebuild(staged), ANALYTICS, table, ["date_day"])
     target = store.read(ANALYTICS, table)
@@ -51,7 +57,8 @@ def refresh_daily_fact(
     days = [r["_day"] for r in stale]
     if not days:
         return target
-    rebuilt = rebuild(staged.filter(F.to_date(event_time).isin(days)))
+    rows = staged if staged_days is None else staged_days(days)
+    rebuilt = rebuild(rows.filter(F.to_date(event_time).isin(days)))
     if any(r["vanished"] for r in stale):
         # Replacing partitions cannot remove one, so a day that lost all its rows takes a full write.
         kept = target.filter(~F.col("date_day").isin(days)).select(*rebuilt.columns)
@@ -65,8 +72,7 @@ def refresh_invoices(
 ) -> DataFrame:
     """INC-03 on a stored fact that is partitioned by the month of issue.
 
-    Only months that held or now hold a touched invoice are rewritten. They are written to a
-    separate place first, so that no plan overwrites the files it reads.
+    Only months that held or now hold a touched invoice are rewritten.
     """
     table = "fact_invoices"
 
@@ -79,30 +85,10 @@ def refresh_invoices(
     mark = incremental.read_watermark(target)
     touched = invoices.filter(incremental.ingested_after("_ingested_at", mark))
     with durable_copy(with_month(rebuild(touched))) as rebuilt:
-        _replace_invoices(store, table, target, rebuilt)
+        merge_by_key(store, ANALYTICS, table, rebuilt, "invoice_id", MONTH)
     return store.read(ANALYTICS, table).drop(MONTH)
 
 
-def _replace_invoices(store: Store, table: str, target: DataFrame, rebuilt: DataFrame) -> None:
-    keys = rebuilt.select("invoice_id")
-    held = target.join(keys, "invoice_id", "left_semi").select(MONTH).distinct()
-    months = [r[MONTH] for r in held.union(rebuilt.select(MONTH)).distinct().collect()]
-    if not months:
-        return
-    # A missing month is a partition of its own and needs the NULL-safe test.
-    in_months = F.col(MONTH).isin([m for m in months if m is not None])
-    if None in months:
-        in_months = F.coalesce(in_months, F.lit(False)) | F.col(MONTH).isNull()
-    kept = target.filter(in_months).join(keys, "invoice_id", "left_anti")
-    with durable_copy(kept.unionByName(rebuilt.select(*kept.columns))) as content:
-        if content.select(MONTH).distinct().count() == len(months):
-            store.replace_partitions(content, ANALYTICS, table, [MONTH])
-        else:
-            # A month lost its last invoice; replacing partitions would leave its old files behind.
-            untouched = target.filter(~F.coalesce(in_months, F.lit(False)))
-            store.replace(untouched.unionByName(content), ANALYTICS, table, [MONTH])
-
-
 def refresh_history(store: Store, table: str, source: DataFrame, key: str, run_at: datetime) -> DataFrame:
     """SCD-01..03 stored: versions that close are added to the closed ones, the open ones are rewritten.
 
@@ -184,11 +170,11 @@ def build(store: Store, lazy: Warehouse, full_refresh: bool = False) -> Warehous
         "fact_invoices": lambda: refresh_invoices(store, staged.stg_invoices, invoice_rows, full_refresh),
         "fact_product_usage": lambda: refresh_daily_fact(
             store, "fact_product_usage", staged.stg_product_events, "event_timestamp", "event_count", product_rows,
-            full_refresh,
+            full_refresh, lambda days: lazy.landed_days("product_events", DAY, days).stg_product_events,
         ),
         "fact_api_usage": lambda: refresh_daily_fact(
             store, "fact_api_usage", staged.stg_api_usage, "request_timestamp", "request_count", api_rows,
-            full_refresh,
+            full_refresh, lambda days: lazy.landed_days("api_usage", DAY, days).stg_api_usage,
         ),
         "snap_subscriptions": lambda: refresh_history(
             store, "snap_subscriptions", subscriptions.select(*SUBSCRIPTION_HISTORY), "subscription_id", as_of

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterbook import functions as fn
 from meterbook.operators.lookup import lookup
 from meterbook.operators.spine import day_spine, observed_bounds
+from meterbook.plans.intermediate import NO_SUBSCRIPTION
 
 
 def dim_date(
@@ -80,10 +81,11 @@ def dim_plans(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def dim_users(users: DataFrame, lifecycle: DataFrame) -> DataFrame:
-    """DIM-04, JN-07, PRJ-02: no e-mail address leaves staging."""
+def dim_users(users: DataFrame, milestones: DataFrame) -> DataFrame:
+    """DIM-04, JN-07, PRJ-02: no e-mail address leaves staging. The stage comes from the same
+    milestones as in the lifecycle model."""
     joined = lookup(
-        users, lifecycle, {"user_id": "user_id"}, take={"lifecycle_stage": "lifecycle_stage"}
+        users, milestones, {"user_id": "user_id"}, take={"_stage": "most_recent_subscription_status"}
     )
     return joined.select(
         fn.surrogate_key(F.col("user_id")).alias("user_key"),
@@ -95,5 +97,5 @@ def dim_users(users: DataFrame, lifecycle: DataFrame) -> DataFrame:
         F.to_date("signup_at").alias("signup_date"),
         "acquisition_channel",
         F.col("status").alias("current_status"),
-        "lifecycle_stage",
+        F.coalesce("_stage", F.lit(NO_SUBSCRIPTION)).alias("lifecycle_stage"),
     )

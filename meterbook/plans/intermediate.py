@@ -16,6 +16,8 @@ SUBSCRIPTION_COLUMNS = (
     "cancelled_at", "current_period_start", "current_period_end", "updated_at",
 )
 
+NO_SUBSCRIPTION = "no_subscription"
+
 # Milestone names; their order settles ties at one moment.
 SUBSCRIPTION_MILESTONES = {
     "trial_started": "trial_started_at",
@@ -311,5 +313,5 @@ def customer_lifecycle(users: DataFrame, milestones: DataFrame) -> DataFrame:
         "first_cancelled_at",
         "most_recent_subscription_status",
         "most_recent_plan_name",
-        F.coalesce("most_recent_subscription_status", F.lit("no_subscription")).alias("lifecycle_stage"),
+        F.coalesce("most_recent_subscription_status", F.lit(NO_SUBSCRIPTION)).alias("lifecycle_stage"),
     )

@@ -62,6 +62,17 @@ class Warehouse:
             self._activity,
         )
 
+    def landed_days(self, source: str, day: str, days: list) -> Warehouse:
+        """The same warehouse over some days of a source, if it landed partitioned by day.
+
+        Only where landed rows are unique: a duplicate could lie on a day that is left out.
+        """
+        landed = self.raw(source)
+        if not self._unique or day not in landed.columns:
+            return self
+        part = {**self._raw, source: landed.filter(F.col(day).isin(days))}
+        return Warehouse(part, self.as_of, self.usage_as_of, self.window_days, True)
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
@@ -171,7 +182,7 @@ class Warehouse:
 
     @cached_property
     def dim_users(self):
-        return dimensions.dim_users(self.stg_users, self.int_customer_lifecycle)
+        return dimensions.dim_users(self.stg_users, self._milestones)
 
     # facts
     @cached_property

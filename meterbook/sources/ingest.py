@@ -8,17 +8,19 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterbook.functions import time_literal
+from meterbook.functions import safe_timestamp, time_literal
 from meterbook.operators import validate
 from meterbook.operators.dedup import mark_newest
 from meterbook.operators.upsert import upsert, upsert_counts
 from meterbook.session import durable_copy
 from meterbook.sources import audit
+from meterbook.sources.merge import merge_by_key
 from meterbook.sources.readers import POSITION, ROW_ID, read_source
 from meterbook.sources.registry import INGESTION_ORDER, SOURCES, SourceSpec
 from meterbook.sources.store import Store
 
 RAW = "raw"
+DAY = "_day"
 
 
 def validated(rows: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -76,23 +78,33 @@ def _load(store: Store, spec: SourceSpec, path: str, run: audit.Run, now: dateti
             F.lit(run.run_id).alias("_run_id"),
         )
         counts = outcome.agg(F.count("*").alias("received"), F.count_if(~F.col("_kept")).alias("rejected")).first()
-        if not store.exists(RAW, spec.name):
-            inserted, updated = counts["received"] - counts["rejected"], 0
-            store.replace(landed, RAW, spec.name)
-        else:
-            existing = store.read(RAW, spec.name)
-            inserted, updated = upsert_counts(existing, landed, spec.key).first()
-            if updated:
-                store.replace(upsert(existing, landed, spec.key), RAW, spec.name)
-            else:
-                # Nothing to replace: the new rows are added without rewriting the table.
-                store.append(landed, RAW, spec.name)
+        inserted, updated = counts["received"] - counts["rejected"], 0
+        if store.exists(RAW, spec.name):
+            inserted, updated = upsert_counts(store.read(RAW, spec.name), landed, spec.key).first()
+        _write(store, spec, landed, replaces=bool(updated))
         audit.record_rejects(store, outcome.filter(~F.col("_kept")), run, spec.key, spec.columns, now)
     # VAL-07: counted only now that both writes are in; received = inserted + updated + rejected.
     run.rows_received, run.rows_rejected = counts["received"], counts["rejected"]
     run.rows_inserted, run.rows_updated = inserted, updated
 
 
+def _write(store: Store, spec: SourceSpec, landed: DataFrame, replaces: bool) -> None:
+    """SNK-01. Entities are rewritten as a whole. Sources without versions (events, invoices) grow
+    without end, so they are partitioned by their day and only touched days are rewritten. A
+    delivery that replaces nothing is added without rewriting anything."""
+    by_day = () if spec.version else (DAY,)
+    if by_day:
+        landed = landed.withColumn(DAY, F.to_date(safe_timestamp(F.col(spec.checked_time))))
+    if not store.exists(RAW, spec.name):
+        store.replace(landed, RAW, spec.name, by_day)
+    elif not replaces:
+        store.append(landed, RAW, spec.name, by_day)
+    elif by_day:
+        merge_by_key(store, RAW, spec.name, landed, spec.key, DAY)
+    else:
+        store.replace(upsert(store.read(RAW, spec.name), landed, spec.key), RAW, spec.name)
+
+
 def ingest_all(
     store: Store, folder: str, now: datetime, sources: Sequence[str] = INGESTION_ORDER
 ) -> list[tuple[str, audit.Run | Exception]]:

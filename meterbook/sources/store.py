@@ -7,10 +7,12 @@ reads.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class MissingTable(LookupError):
@@ -38,7 +40,7 @@ class Store:
         done = [
             int(name[1:])
             for name in names
-            if name.startswith("v") and self.path_exists(f"{self.folder(layer, table)}/{name}/_SUCCESS")
+            if name[1:].isdigit() and self.path_exists(f"{self.folder(layer, table)}/{name}/_SUCCESS")
         ]
         return max(done, default=0)
 
@@ -52,21 +54,40 @@ class Store:
         version = self.version(layer, table)
         if not version:
             raise MissingTable(f"{layer}.{table}")
-        return self.spark.read.parquet(self.path(layer, table, version))
+        return self._read(self.path(layer, table, version))
+
+    def _read(self, path: str) -> DataFrame:
+        reader = self.spark.read
+        files, where = self._files(f"{path}.schema")
+        if files.exists(where):
+            stream = files.open(where)
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            reader = reader.schema(T.StructType.fromJson(json.loads(text)))
+        return reader.parquet(path)
+
+    def _keep_schema(self, df: DataFrame, path: str) -> None:
+        """A partitioned table without rows has no file to tell its columns."""
+        files, where = self._files(f"{path}.schema")
+        stream = files.create(where, True)
+        stream.write(bytearray(df.schema.json(), "utf-8"))
+        stream.close()
 
     def replace(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """SNK-04: write a whole table as its next version."""
         version = self.version(layer, table) + 1
         path = self.path(layer, table, version)
+        if partition_by:
+            self._keep_schema(df, path)
         _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         # The version before stays for readers that still use it; the one before that goes.
         self._delete(self.path(layer, table, version - 2))
-        return self.spark.read.parquet(path)
+        return self._read(path)
 
-    def append(self, df: DataFrame, layer: str, table: str) -> None:
+    def append(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> None:
         """Add rows to the current version."""
         path = self.path(layer, table, max(self.version(layer, table), 1))
-        df.write.mode("append").parquet(path)
+        _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
     def replace_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
         """Replace the partitions ``df`` has rows for. ``df`` must not read the table itself."""

@@ -134,6 +134,38 @@ def test_last_row_wins_without_a_version(store, tmp_path):
     run = ingest.ingest_source(store, SOURCES["invoices"], folder, NOW)
     assert run.rows_rejected == 4
     assert rows(store.read("raw", "invoices"), "total") == [("4",)]
+    assert ingest.ingest_source(store, SOURCES["invoices"], folder, NOW).rows_updated == 1
+    assert rows(store.read("raw", "invoices"), "total") == [("4",)]
+
+
+def test_events_delivered_again_rewrite_only_their_days(store, tmp_path):
+    def deliver(name, *events):
+        lines = [json.dumps({"event_id": i, "event_timestamp": t, "event_name": n}) for i, t, n in events]
+        folder = write(tmp_path / name, "product_events.jsonl", "\n".join(lines) + "\n")
+        return ingest.ingest_source(store, SOURCES["product_events"], folder, NOW)
+
+    def files(day):
+        found = store.read("raw", "product_events").filter(F.col("_day") == day).select("_metadata.file_path")
+        return {r[0] for r in found.collect()}
+
+    deliver("a", ("e1", "2024-05-01", "x"), ("e2", "2024-05-02", "x"), ("e3", "2024-05-03", "x"))
+    untouched = files("2024-05-03")
+    added = deliver("b", ("e4", "2024-05-03", "x"))
+    assert (added.rows_inserted, added.rows_updated) == (1, 0)
+    assert untouched < files("2024-05-03")
+    third = files("2024-05-03")
+    run = deliver("c", ("e1", "2024-05-01", "again"), ("e5", "2024-05-01", "x"))
+    assert (run.rows_inserted, run.rows_updated) == (1, 1)
+    assert files("2024-05-03") == third
+    # an event moves, and its old day becomes empty
+    deliver("d", ("e2", "2024-05-03", "moved"))
+    assert rows(store.read("raw", "product_events"), "event_id", "event_name", "event_timestamp") == [
+        ("e1", "again", "2024-05-01"),
+        ("e2", "moved", "2024-05-03"),
+        ("e3", "x", "2024-05-03"),
+        ("e4", "x", "2024-05-03"),
+        ("e5", "x", "2024-05-01"),
+    ]
 
 
 def test_missing_file_leaves_a_failed_run(store, tmp_path):
