@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from meterbook.plans import staging
 from meterbook.quality.rules import ERROR, WARN, Rule
+from meterbook.sources.registry import SOURCES
 
 _UNKNOWN = ("unknown",)
 
@@ -35,6 +36,11 @@ _TO_ORGANIZATION = _parent("organization_id", "stg_organizations")
 _CURRENCY = ("valid_currency_code", "currency", {})
 _STAGES = (*staging.SUBSCRIPTION_STATUSES, "unknown", "no_subscription")
 
+# The landed tables, named raw_<source>: a key that is there and occurs once.
+SOURCE_RULES = [
+    rule for spec in SOURCES.values() for rule in _rules(f"raw_{spec.name}", not_null=spec.key, unique=spec.key)
+]
+
 STAGING_RULES = [
     *_rules("stg_organizations", not_null="organization_id", unique="organization_id",
             extra=[_values("organization_type", staging.ORGANIZATION_TYPES + _UNKNOWN)]),
@@ -135,4 +141,4 @@ SNAPSHOT_RULES = [
             extra=[("unique", "crm_account_id", {"where": "valid_to IS NULL"}), _order("valid_from", "valid_to")]),
 ]
 
-ALL_RULES = [*STAGING_RULES, *INTERMEDIATE_RULES, *MART_RULES, *SNAPSHOT_RULES]
+ALL_RULES = [*SOURCE_RULES, *STAGING_RULES, *INTERMEDIATE_RULES, *MART_RULES, *SNAPSHOT_RULES]

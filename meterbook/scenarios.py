@@ -311,6 +311,8 @@ def _tables(b: Bindings) -> Callable[[str], DataFrame]:
     store, warehouse = built(b)
 
     def table(name: str) -> DataFrame:
+        if name.startswith("raw_"):
+            return store.read(build.RAW, name.removeprefix("raw_"))
         return build.read_history(store, name) if name.startswith("snap_") else warehouse.table(name)
 
     return table
@@ -504,6 +506,7 @@ SCENARIOS: dict[str, Callable[[Bindings], DataFrame]] = {
     "scd2_current": current_accounts,
     "scd2_previous_status": previous_account_status,
     "scd2_subscription_history": subscription_history,
+    "dq_rules_sources": rule_counts(declared.SOURCE_RULES),
     "dq_rules_staging": rule_counts(declared.STAGING_RULES),
     "dq_rules_intermediate": rule_counts(declared.INTERMEDIATE_RULES),
     "dq_rules_marts": rule_counts(declared.MART_RULES),

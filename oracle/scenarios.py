@@ -81,6 +81,15 @@ TABLES = {
         FROM crm_second WHERE balance < 0""",
     "snap_subscriptions": "SELECT *, updated_at AS valid_from, NULL::TIMESTAMP AS valid_to FROM stg_subscriptions",
     "snap_crm_accounts": "SELECT *, updated_at AS valid_from, NULL::TIMESTAMP AS valid_to FROM stg_crm_accounts",
+    "raw_organizations": "SELECT c_custkey // 2 AS organization_id FROM customer GROUP BY 1",
+    "raw_users": "SELECT c_custkey AS user_id FROM customer",
+    "raw_subscriptions": "SELECT o_orderkey AS subscription_id FROM orders",
+    "raw_invoices": "SELECT invoice_id FROM invoice_versions",
+    "raw_product_events": "SELECT event_id FROM events",
+    "raw_api_usage": "SELECT event_id AS request_id FROM events",
+    "raw_crm_accounts": "SELECT crm_account_id FROM crm_first UNION ALL SELECT crm_account_id FROM crm_second",
+    "raw_marketing_events": """
+        SELECT event_id AS marketing_event_id FROM events WHERE event_type IN ('view', 'click', 'signup')""",
     "newest_landed": """
         SELECT 'raw.users' AS t, max(_ingested_at) AS m FROM stg_users
         UNION ALL SELECT 'raw.organizations', max(_ingested_at) FROM stg_organizations
@@ -340,6 +349,7 @@ def results(columns_of: dict[str, str]) -> dict[str, tuple[str, str]]:
                UNION ALL SELECT subscription_id, 'trialing', plan_name, started_at, started_at, updated_at
                FROM stg_subscriptions WHERE started_at < TIMESTAMP '2000-01-01'""",
         ),
+        "dq_rules_sources": _rule_counts(declared.SOURCE_RULES),
         "dq_rules_staging": _rule_counts(declared.STAGING_RULES),
         "dq_rules_intermediate": _rule_counts(declared.INTERMEDIATE_RULES),
         "dq_rules_marts": _rule_counts(declared.MART_RULES),

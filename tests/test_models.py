@@ -241,4 +241,4 @@ def test_reconciliation_and_declared_rules_hold_on_the_bound_data(spark, small):
     errors = reconcile.row_test_counts(w.table).filter("severity = 'ERROR' and violations > 0")
     # the bindings start some trials before the signup
     assert {r["test"] for r in errors.collect()} <= {"funnel_out_of_order"}
-    assert len(declared.ALL_RULES) > 150
+    assert len(declared.ALL_RULES) == 200

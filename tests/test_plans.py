@@ -42,6 +42,37 @@ def test_scan_reads_only_the_columns_it_needs(w):
     assert schema and "o_totalprice" in schema[0]
 
 
+def test_a_hot_key_is_split_in_a_lookup(spark):
+    """Nine of ten rows have one key; the partition that holds it is read in pieces."""
+    from meterbook.operators.lookup import lookup
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 200_000, 1, 8).selectExpr("if(id % 10 = 0, id, 7) as k", "uuid() as payload")
+        keys = spark.range(0, 200_000, 1, 4).selectExpr("id as k", "id * 2 as v")
+        joined = lookup(rows, keys, {"k": "k"}, take={"v": "v"}, matched="found")
+        assert joined.filter("found and v = k * 2").count() == 200_000
+        collected = joined.select("payload", "v")
+        collected.write.format("noop").mode("overwrite").save()
+        collected.toLocalIterator().__next__()
+        assert "skew=true" in plan(collected)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def test_unique_landed_rows_are_staged_without_a_shuffle(spark, tmp_path, small):
     from meterbook.plans import staging
 
