@@ -72,3 +72,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+def mixed_groups(stars: DataFrame, parts: DataFrame) -> DataFrame:
+    """``sig, doc, component, top`` of the members of groups that are not within one component.
+
+    ``stars`` has links ``sig, a, b`` from one member of a group to each other; ``top`` is the group's
+    largest component. Comparing each member outside it with the members of other components leaves no
+    pair of the group open: all other pairs are within one component already.
+    """
+    members = stars.select("sig", F.col("a").alias("doc")).unionAll(stars.select("sig", F.col("b").alias("doc"))).distinct()
+    named = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "sig", "doc", F.coalesce("component", "doc").alias("component")
+    )
+    sizes = named.groupBy("sig", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("sig").agg(
+        F.max(F.struct("n", "component")).getField("component").alias("top"), F.count("*").alias("components")
+    )
+    return named.join(largest.where("components > 1").drop("components"), "sig")

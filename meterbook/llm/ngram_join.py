@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.components import components
+from meterbook.llm.components import components, mixed_groups
 from meterbook.llm.tables import join_ids, partitions, written
 
 WORDS = 5
@@ -155,7 +155,7 @@ def _signed(words: int, all_bands: list[Band], threshold: tuple[int, int], bucke
             yield _packed((sig[first] % np.uint64(buckets)).astype(np.int64), sig[first], None, doc[first])
             rest = ~first & (doc != centre)
             if rest.any():  # these need not meet others: spread them
-                yield _packed(tx.mix(doc[rest].view(np.uint64)).view(np.int64) % buckets, sig[rest], centre[rest], doc[rest])
+                yield _packed(doc[rest] % buckets, sig[rest], centre[rest], doc[rest])
 
     return run
 
@@ -224,16 +224,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
 def _left_over(stars: DataFrame, parts: DataFrame, sets: DataFrame, tested: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs that share a signature, lie in different components and were not compared yet."""
     up, down = threshold
-    members = stars.select("sig", F.col("a").alias("doc")).unionAll(stars.select("sig", F.col("b").alias("doc"))).distinct()
-    named = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "sig", "doc", F.coalesce("component", "doc").alias("component")
-    )
-    sizes = named.groupBy("sig", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("sig").agg(
-        F.max(F.struct("n", "component")).getField("component").alias("top"), F.count("*").alias("components")
-    )
-    mixed = named.join(largest.where("components > 1"), "sig")
-    sketched = written(mixed.join(sets.select("doc", F.size("set").alias("n"), "sketch"), "doc"), "mixed")
+    sketched = written(mixed_groups(stars, parts).join(sets.select("doc", F.size("set").alias("n"), "sketch"), "doc"), "mixed")
     one = sketched.where("component <> top").select("sig", *[F.col(c).alias(f"x_{c}") for c in ("doc", "component", "n", "sketch")])
     apart = sum(
         (F.bit_count(F.col("x_sketch")[i].bitwiseXOR(F.col("sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0)
