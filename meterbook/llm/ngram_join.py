@@ -32,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
@@ -42,7 +42,7 @@ from meterbook.llm.tables import join_ids, partitions, written
 WORDS = 5
 THRESHOLD = (4, 5)  # similarity as a fraction
 BAND_STEP = 1.6
-SKETCH_WORDS = 8  # 64-bit words of the parity sketch
+SKETCH_WORDS = 32  # 64-bit words of the parity sketch
 
 
 @dataclass(frozen=True)
@@ -78,16 +78,21 @@ def _batch_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]
 
 
 def _digests(words: int):
-    salt = np.uint64(0xD6E8FEB86659FD93)
+    """Size, two hashes and the parity sketch of each set: bit i is the parity of the shingles that fall on i."""
+    salt, bits = np.uint64(0xD6E8FEB86659FD93), 64 * SKETCH_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, h = np.zeros(len(batch), np.int64), np.zeros((2, len(batch)), np.uint64)
+            sketches = np.zeros((len(batch), SKETCH_WORDS), np.int64)
             for i, s in _batch_sets(batch.column(1), words):
+                odd = np.bincount((s >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
+                sketches[i] = np.packbits(odd.astype(bool)).view(np.int64)
                 n[i], h[0, i], h[1, i] = len(s), s.sum(dtype=np.uint64), tx.mix(s ^ salt).sum(dtype=np.uint64)
+            packed = pa.ListArray.from_arrays(np.arange(len(batch) + 1, dtype=np.int32) * SKETCH_WORDS, sketches.ravel())
             yield pa.record_batch(
-                [batch.column(0), pa.array(n), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64))],
-                ["doc_id", "n_shingles", "h1", "h2"],
+                [batch.column(0), pa.array(n), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), packed],
+                ["doc_id", "n_shingles", "h1", "h2", "sketch"],
             )
 
     return run
@@ -188,24 +193,37 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(words: int):
-    """Shingle sets with their parity sketch: bit i is the parity of the shingles that fall on i."""
-    bits = 64 * SKETCH_WORDS
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), 256):
                 part = batch.slice(low, 256)
-                sets, sketches = [[]] * len(part), [[]] * len(part)
-                for i, s in _batch_sets(part.column(1), words):
-                    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
-                    sketches[i] = np.packbits(odd.astype(bool)).view(np.int64)
-                    sets[i] = s.view(np.int64)
-                kind = pa.list_(pa.int64())
-                yield pa.record_batch([part.column(0), pa.array(sets, kind), pa.array(sketches, kind)], ["doc", "set", "sketch"])
+                sets = [s.view(np.int64) for _, s in _batch_sets(part.column(1), words)]
+                yield pa.record_batch([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc", "set"])
 
     return run
 
 
+def _may_link(n: str, sketch: str, other_n: str, other_sketch: str, threshold: tuple[int, int]) -> Column:
+    """False only if so many bits of the sketches differ that the sets can't be similar enough."""
+    up, down = threshold
+    apart = sum((F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(other_sketch)[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    return apart * (up + down) <= (F.col(n) + F.col(other_n)) * (down - up)
+
+
+def _plausible(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    of_a = sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    of_b = sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    both = pairs.join(of_a, "a").join(of_b, "b")
+    return both.where(_may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold)).select("a", "b").distinct()
+
+
+def _shingles_of(pairs: DataFrame, base: DataFrame, words: int) -> DataFrame:
+    """``doc, set`` of the documents in the pairs."""
+    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    found = join_ids(base, written(ends, "ends"), "doc_id", "left_semi")
+    return written(found.mapInArrow(_sets(words), "doc bigint, set array<bigint>"), "sets")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Those pairs ``a, b`` whose sets are similar enough."""
     up, down = threshold
@@ -221,18 +239,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
     )
 
 
-def _left_over(stars: DataFrame, parts: DataFrame, sets: DataFrame, tested: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def _left_over(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs that share a signature, lie in different components and were not compared yet."""
-    up, down = threshold
-    sketched = written(mixed_groups(stars, parts).join(sets.select("doc", F.size("set").alias("n"), "sketch"), "doc"), "mixed")
+    sketched = written(mixed_groups(stars, parts).join(sketches, "doc"), "mixed")
     one = sketched.where("component <> top").select("sig", *[F.col(c).alias(f"x_{c}") for c in ("doc", "component", "n", "sketch")])
-    apart = sum(
-        (F.bit_count(F.col("x_sketch")[i].bitwiseXOR(F.col("sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0)
-    )
     pairs = (
         one.join(sketched, "sig")
         .where("component <> x_component and (component = top or doc > x_doc)")
-        .where((apart * (up + down) <= (F.col("n") + F.col("x_n")) * (down - up)))
+        .where(_may_link("n", "sketch", "x_n", "x_sketch", threshold))
         .select(F.least("doc", "x_doc").alias("a"), F.greatest("doc", "x_doc").alias("b"))
         .distinct()
     )
@@ -246,7 +260,7 @@ def similar_documents(
     base = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where(
         F.col("doc_id").isNotNull()
     )
-    kind = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint"
+    kind = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sketch array<bigint>"
     digests = written(base.mapInArrow(_digests(words), kind), "digests")
     some = digests.where("n_shingles > 0")
     heads = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("head"))
@@ -263,17 +277,12 @@ def similar_documents(
         .mapInArrow(_linked, "sig bigint, a bigint, b bigint"),
         "stars",
     )
-    pairs = written(stars.select("a", "b").distinct(), "pairs")
-    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = written(
-        join_ids(base, written(ends, "ends"), "doc_id", "left_semi").mapInArrow(
-            _sets(words), "doc bigint, set array<bigint>, sketch array<bigint>"
-        ),
-        "sets",
-    )
-    close = written(_verified(pairs, sets, threshold), "close")
+    sketches = digests.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
+    pairs = written(_plausible(stars.select("a", "b").distinct(), sketches, threshold), "pairs")
+    close = written(_verified(pairs, _shingles_of(pairs, base, words), threshold), "close")
     parts = written(components(close), "parts")
-    more = _verified(_left_over(stars, parts, sets, pairs, threshold), sets, threshold)
+    open_pairs = written(_left_over(stars, parts, sketches, pairs, threshold), "open")
+    more = _verified(open_pairs, _shingles_of(open_pairs, base, words), threshold)
     every = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(more)
     parts = components(every).withColumnRenamed("node", "head")
     return (
