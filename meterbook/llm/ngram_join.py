@@ -3,14 +3,16 @@
 Two documents link when the Jaccard similarity of their sets of 5-word shingles is at least 0.8. For
 sets of at most r shingles that means at most ``k = (1 - t) / (1 + t) * 2r`` shingles in one set but
 not the other. The domain of shingles is cut by a hash into ``parts > k`` partitions; k differing
-shingles touch at most k of them, so two similar sets agree on all others. A signature is one
-partition's number with a hash of the set's shingles there. Sizes are cut into bands; a set makes
+shingles touch at most k of them, so two similar sets agree on all others, ``parts - k`` at least. A
+signature is one partition's number with a hash of the set's shingles there. Sizes are cut into bands; a set makes
 signatures for its own band and, when it can be similar to a set of the next band, for that one too,
 so that each pair shares the band of its larger set.
 
-The search is exact. Agreeing on empty partitions says little, so an empty partition makes a signature
-only for sets with so many empty partitions (``parts - k`` or more) that all agreement could be there;
-if that holds for one set of a similar pair whose agreement is all empty, it holds for the other.
+The search is exact with k + 1 signatures for a set: order the partitions by their content, the same
+way for all sets, and take the first k + 1. Of the partitions that two similar sets agree on, the first
+in this order has at least ``parts - k - 1`` behind it in either set, so both sets take it. The order
+prefers partitions with a rare shingle, by counts of all shingles in a table of fixed size, then those
+with many shingles: signatures are then seldom shared by sets that have but a passage in common.
 
 Large groups. Equal sets are one class, joined through two 64-bit hashes. Sets that share a signature
 are not paired with each other: each map batch keeps one row for a signature and sends the rest to it
@@ -42,6 +44,7 @@ from meterbook.llm.tables import join_ids, partitions, written
 WORDS = 5
 THRESHOLD = (4, 5)  # similarity as a fraction
 BAND_STEP = 1.6
+FREQUENCIES = 1 << 16  # counters of each of two tables of shingle frequencies
 SKETCH_WORDS = 32  # 64-bit words of the parity sketch
 
 
@@ -60,7 +63,7 @@ def bands(largest: int, threshold: tuple[int, int] = THRESHOLD, step: float = BA
     while True:
         high = max(low, int(low * step))
         k = 2 * high * (down - up) // (down + up)
-        found.append(Band(low, high, k, k + 1 + 2 + k // 5 if k else 1))
+        found.append(Band(low, high, k, 3 * (k + 1) // 2 if k else 1))
         if low > largest:
             return found
         low = high + 1
@@ -98,23 +101,64 @@ def _digests(words: int):
     return run
 
 
-def signatures(s: np.ndarray, all_bands: list[Band], threshold: tuple[int, int] = THRESHOLD) -> np.ndarray:
+def _frequencies(words: int):
+    """Sets that hold a shingle, counted by two parts of its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(2 * FREQUENCIES, np.int64)
+        for batch in batches:
+            waiting, size = [], 0
+            for _, s in _batch_sets(batch.column(1), words):
+                waiting.append(s)
+                size += len(s)
+                if size > FREQUENCIES:
+                    counts += np.bincount(_counters(np.concatenate(waiting)).ravel(), minlength=2 * FREQUENCIES)
+                    waiting, size = [], 0
+            if waiting:
+                counts += np.bincount(_counters(np.concatenate(waiting)).ravel(), minlength=2 * FREQUENCIES)
+        held = np.flatnonzero(counts)
+        yield pa.record_batch([pa.array(held), pa.array(counts[held])], ["counter", "n"])
+
+    return run
+
+
+def _counters(s: np.ndarray) -> np.ndarray:
+    mask = np.uint64(FREQUENCIES - 1)
+    return np.stack([s & mask, ((s >> np.uint64(16)) & mask) + np.uint64(FREQUENCIES)]).astype(np.int64)
+
+
+def commonness(base: DataFrame, words: int) -> np.ndarray:
+    """For each counter, how many times (as a power of 2) it exceeds twice the mean."""
+    rows = base.mapInArrow(_frequencies(words), "counter bigint, n bigint").groupBy("counter").agg(F.sum("n")).collect()
+    counts = np.zeros(2 * FREQUENCIES)  # as many rows at most
+    for counter, n in rows:
+        counts[counter] = n
+    return np.log2(np.maximum(counts / max(counts.mean(), 8.0), 1)).astype(np.uint8)
+
+
+def signatures(s: np.ndarray, all_bands: list[Band], common: np.ndarray, threshold: tuple[int, int] = THRESHOLD) -> np.ndarray:
     """The PartEnum signatures of one set of hashed shingles."""
     up, down = threshold
-    place = (tx.mix(s * np.uint64(0x8CB92BA72F3D8DD7)) >> np.uint64(32)).astype(np.uint64)
+    place = tx.mix(s * np.uint64(0x8CB92BA72F3D8DD7)) >> np.uint64(32)
     value = tx.mix(s + np.uint64(0x2545F4914F6CDD1D))
+    level = common[_counters(s)].min(axis=0)
     found = []
     for number, band in enumerate(all_bands):
-        # Largest partner size: len(s) / threshold.
+        # The largest partner has len(s) / threshold shingles.
         if band.high < len(s) or band.low * up > len(s) * down:
             continue
         part = ((place * np.uint64(band.parts)) >> np.uint64(32)).astype(np.int64)
-        held = np.zeros(band.parts, np.uint64)
-        np.add.at(held, part, value)
-        full = np.zeros(band.parts, bool)
-        full[part] = True
-        take = np.arange(band.parts) if band.parts - full.sum() >= band.parts - band.k else np.flatnonzero(full)
-        found.append(tx.mix(tx.mix(held[take]) + take.astype(np.uint64) * tx.LENGTH_VALUE + np.uint64(number * 2654435761)))
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        held = tx.mix(np.add.reduceat(value[order], starts))
+        rank = np.lexsort((held, starts - np.append(starts[1:], len(part)), np.minimum.reduceat(level[order], starts)))
+        rank = rank[: band.k + 1]
+        sums, parts = held[rank], part[starts][rank]
+        if len(rank) <= band.k:  # empty partitions come last, by number
+            empty = np.setdiff1d(np.arange(band.parts), part)[: band.k + 1 - len(rank)]
+            sums, parts = np.append(sums, np.zeros(len(empty), np.uint64)), np.append(parts, empty)
+        found.append(tx.mix(sums + parts.astype(np.uint64) * tx.LENGTH_VALUE + np.uint64(number * 2654435761)))
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
@@ -144,13 +188,13 @@ def _packed(bucket: np.ndarray, sig: np.ndarray, centre: np.ndarray | None, doc:
     return pa.record_batch([pa.array(ids.astype(np.int32)), pack(sig), centres, pack(doc)], ["bucket", "sig", "centre", "doc"])
 
 
-def _signed(words: int, all_bands: list[Band], threshold: tuple[int, int], buckets: int):
+def _signed(words: int, all_bands: list[Band], common: np.ndarray, threshold: tuple[int, int], buckets: int):
     """Signatures by bucket, one row of a batch for each, and the star links found within the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            found = [(ids[i], signatures(s, all_bands, threshold)) for i, s in _batch_sets(batch.column(1), words)]
+            found = [(ids[i], signatures(s, all_bands, common, threshold)) for i, s in _batch_sets(batch.column(1), words) if len(s)]
             found = [(i, x) for i, x in found if len(x)]
             if not found:
                 continue
@@ -271,7 +315,7 @@ def similar_documents(
     width = partitions(docs)
     stars = written(
         join_ids(base, copies, "doc_id", "left_anti")
-        .mapInArrow(_signed(words, all_bands, threshold, 8 * width), _SIGNED)
+        .mapInArrow(_signed(words, all_bands, commonness(base, words), threshold, 8 * width), _SIGNED)
         .repartition(width, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_linked, "sig bigint, a bigint, b bigint"),

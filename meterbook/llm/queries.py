@@ -6,19 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterbook.llm import decontaminate
+from meterbook.llm.line_dedup import line_classes
 from meterbook.llm.ngram_join import similar_documents
+from meterbook.llm.packing import TOKENIZER, pack
+from meterbook.llm.quality_classifier import resample
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_classes(_table(spark, folder, "documents"))
+
+
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(_table(spark, folder, "documents"), tokenizer_file())
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_dedup": op3_line_dedup,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_packing": op6_packing,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_ngram_join": op9_ngram_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_decontaminate": decontaminate.ORACLE_SQL,
+}

@@ -13,6 +13,10 @@ import pyarrow as pa
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+WORDS = np.where(SPACE, 0, 1).astype(np.uint8)
+# Letters and digits (all bytes above ASCII count as letters) apart from signs.
+RUNS = WORDS.copy()
+RUNS[[b for b in range(33, 127) if not chr(b).isalnum()]] = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -53,17 +57,13 @@ def row_groups(places: np.ndarray, size: int = STRETCH) -> Iterator[tuple[int, i
         low = min(high, n)
 
 
-def word_bounds(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of each word; no word reaches over the end of a row."""
-    solid = np.empty(len(data) + 2, bool)
-    solid[0] = solid[-1] = False
-    np.logical_not(SPACE[data], out=solid[1:-1])
-    begins = solid[1:-1] & ~solid[:-2]
-    ends = solid[1:-1] & ~solid[2:]
-    edges = places[(places > 0) & (places < len(data))]
-    begins[edges] = solid[1:-1][edges]
-    ends[edges - 1] = solid[1:-1][edges - 1]
-    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+def word_bounds(data: np.ndarray, places: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each run of bytes of one kind, kind 0 left out; no run reaches over the end of a row."""
+    kind = np.zeros(len(data) + 2, np.uint8)
+    kind[1:-1] = kinds[data]
+    turn = kind[1:] != kind[:-1]
+    turn[places[(places > 0) & (places < len(data))]] = True
+    return np.flatnonzero(turn[:-1] & (kind[1:-1] > 0)), np.flatnonzero(turn[1:] & (kind[1:-1] > 0)) + 1
 
 
 def _stretch_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -76,8 +76,8 @@ def _stretch_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> n
     return mix(sums + lengths.astype(np.uint64) * LENGTH_VALUE)
 
 
-def word_hashes(data: np.ndarray, places: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word, and the range of words of each row."""
+def word_hashes(data: np.ndarray, places: np.ndarray, lower: bool = True, kinds: np.ndarray = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word (``WORDS``) or each run of one kind (``RUNS``), and the range of them of each row."""
     hashes, starts, low, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0, len(data)
     while low < n:
         high = min(low + STRETCH, n)
@@ -88,7 +88,7 @@ def word_hashes(data: np.ndarray, places: np.ndarray, lower: bool = True) -> tup
                 break
             high = min(high + STRETCH, n)
         part = LOWER[data[low:high]] if lower else data[low:high]
-        begins, ends = word_bounds(part, places - low)
+        begins, ends = word_bounds(part, places - low, kinds)
         hashes.append(_stretch_hashes(part, begins, ends))
         starts.append(begins + low)
         low = high
