@@ -107,10 +107,10 @@ WITH doc_words AS (
 ), item_words AS (
   SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark
 ), doc_shingles AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))) AS s
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s
   FROM doc_words WHERE len(w) >= 5
 ), item_shingles AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' '))) AS s
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s
   FROM item_words WHERE len(w) >= 5
 ), sizes AS (SELECT item_id, count(*) AS item_shingles FROM item_shingles GROUP BY item_id)
 SELECT doc_id, item_id, item_shingles, count(*) AS shared, count(*) / item_shingles AS containment
