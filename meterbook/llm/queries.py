@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterbook.llm import decontaminate
+from meterbook.llm import decontaminate, quality_rules
 from meterbook.llm.line_dedup import line_classes
 from meterbook.llm.ngram_join import similar_documents
 from meterbook.llm.packing import TOKENIZER, pack
@@ -39,6 +39,10 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return resample(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.apply_rules(_table(spark, folder, "documents"))
+
+
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(_table(spark, folder, "documents"))
 
@@ -48,9 +52,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_decontaminate": decontaminate.ORACLE_SQL,
+    "op8_quality_rules": quality_rules.ORACLE_SQL,
 }
