@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterbook.llm import decontaminate, quality_rules
+from meterbook.llm import decontaminate, quality_rules, url_filter
+from meterbook.llm.html_extract import extract
 from meterbook.llm.line_dedup import line_classes
 from meterbook.llm.ngram_join import similar_documents
 from meterbook.llm.packing import TOKENIZER, pack
@@ -17,6 +18,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return url_filter.judged(url_filter.captures_of(pages), url_filter.entries_of(pages))
+
+
+def op2_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(_table(spark, folder, "pages"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_classes(_table(spark, folder, "documents"))
 
@@ -48,6 +58,8 @@ def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_html_extract": op2_html_extract,
     "op3_line_dedup": op3_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
@@ -57,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": url_filter.ORACLE_SQL,
     "op5_decontaminate": decontaminate.ORACLE_SQL,
     "op8_quality_rules": quality_rules.ORACLE_SQL,
 }
