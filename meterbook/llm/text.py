@@ -78,6 +78,16 @@ def _stretch_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> n
 
 def word_hashes(data: np.ndarray, places: np.ndarray, lower: bool = True, kinds: np.ndarray = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """A hash for each word (``WORDS``) or each run of one kind (``RUNS``), and the range of them of each row."""
+    return _words(data, places, lower, kinds)[:2]
+
+
+def word_endings(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``word_hashes``, and the last two bytes of each lower-cased word as a number."""
+    return _words(data, places, True, WORDS)
+
+
+def _words(data: np.ndarray, places: np.ndarray, lower: bool, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    endings = [np.zeros(0, np.int64)]
     hashes, starts, low, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0, len(data)
     while low < n:
         high = min(low + STRETCH, n)
@@ -91,8 +101,10 @@ def word_hashes(data: np.ndarray, places: np.ndarray, lower: bool = True, kinds:
         begins, ends = word_bounds(part, places - low, kinds)
         hashes.append(_stretch_hashes(part, begins, ends))
         starts.append(begins + low)
+        before = np.where(ends - begins > 1, part[np.maximum(ends - 2, 0)], 0).astype(np.int64)
+        endings.append(before << 8 | part[ends - 1])
         low = high
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), places)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), places), np.concatenate(endings)
 
 
 def shingles(words: np.ndarray, places: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
