@@ -18,7 +18,7 @@ Large groups. Equal sets are one class, joined through two 64-bit hashes. Sets t
 are not paired with each other: each map batch keeps one row for a signature and sends the rest to it
 by star links, and so do the batches' rows after the shuffle. Verified star links make components. Only
 where members of one signature are still in different components, the sets outside the signature's
-largest component are paired with its other members, after a parity sketch (a lower bound of the
+largest component are paired first with few, then (those still outside) with all of its other members, after a parity sketch (a lower bound of the
 number of differing shingles) has removed pairs that can't link. Every pair that shares a signature
 has then been compared, or lies in one component already.
 
@@ -44,6 +44,7 @@ from meterbook.llm.tables import join_ids, partitions, written
 WORDS = 5
 THRESHOLD = (4, 5)  # similarity as a fraction
 BAND_STEP = 1.6
+PROBES = 2  # of a signature's largest component, for each set outside it
 FREQUENCIES = 1 << 16  # counters of each of two tables of shingle frequencies
 SKETCH_WORDS = 32  # 64-bit words of the parity sketch
 
@@ -283,12 +284,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
     )
 
 
-def _left_over(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs that share a signature, lie in different components and were not compared yet."""
+def _left_over(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs that share a signature, lie in different components and were not compared yet.
+
+    With ``probes``, only those with so many members of the largest component, drawn by a hash that differs
+    from signature to signature: enough to join most sets that belong to it, at a cost that follows the
+    members. Without, all of them.
+    """
     sketched = written(mixed_groups(stars, parts).join(sketches, "doc"), "mixed")
     one = sketched.where("component <> top").select("sig", *[F.col(c).alias(f"x_{c}") for c in ("doc", "component", "n", "sketch")])
+    other = sketched
+    if probes:
+        drawn = [F.min_by("doc", F.xxhash64("sig", "doc", F.lit(i))) for i in range(probes)]
+        chosen = sketched.where("component = top").groupBy("sig").agg(F.array_distinct(F.array(*drawn)).alias("docs"))
+        other = sketched.join(chosen.select("sig", F.explode("docs").alias("doc")), ["sig", "doc"])
     pairs = (
-        one.join(sketched, "sig")
+        one.join(other, "sig")
         .where("component <> x_component and (component = top or doc > x_doc)")
         .where(_may_link("n", "sketch", "x_n", "x_sketch", threshold))
         .select(F.least("doc", "x_doc").alias("a"), F.greatest("doc", "x_doc").alias("b"))
@@ -325,10 +336,13 @@ def similar_documents(
     pairs = written(_plausible(stars.select("a", "b").distinct(), sketches, threshold), "pairs")
     close = written(_verified(pairs, _shingles_of(pairs, base, words), threshold), "close")
     parts = written(components(close), "parts")
-    open_pairs = written(_left_over(stars, parts, sketches, pairs, threshold), "open")
-    more = _verified(open_pairs, _shingles_of(open_pairs, base, words), threshold)
-    every = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(more)
-    parts = components(every).withColumnRenamed("node", "head")
+    for probes in (PROBES, 0):
+        more = written(_left_over(stars, parts, sketches, pairs, probes, threshold), "open")
+        close = _verified(more, _shingles_of(more, base, words), threshold)
+        every = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(close)
+        parts = written(components(every), "parts")
+        pairs = pairs.unionAll(more)
+    parts = parts.withColumnRenamed("node", "head")
     return (
         digests.join(copies, "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("head", "doc_id").alias("head"))
