@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterbook.llm import decontaminate, quality_rules, url_filter
+from meterbook.llm import decontaminate, lm_score, quality_rules, toxicity, url_filter
 from meterbook.llm.html_extract import extract
 from meterbook.llm.line_dedup import line_classes
 from meterbook.llm.ngram_join import similar_documents
@@ -31,6 +31,10 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_classes(_table(spark, folder, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score(_table(spark, folder, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -57,15 +61,21 @@ def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(_table(spark, folder, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extract": op2_html_extract,
     "op3_line_dedup": op3_line_dedup,
+    "op4_lm_score": op4_lm_score,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
