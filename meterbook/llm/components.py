@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm.tables import written
@@ -90,3 +91,49 @@ def mixed_groups(stars: DataFrame, parts: DataFrame) -> DataFrame:
         F.max(F.struct("n", "component")).getField("component").alias("top"), F.count("*").alias("components")
     )
     return named.join(largest.where("components > 1").drop("components"), "sig")
+
+
+SKETCH_WORDS = 32  # 64-bit words of a parity sketch
+
+
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Bit i is the parity of the hashes that fall on i: bits that differ bound differing hashes from below."""
+    bits = 64 * SKETCH_WORDS
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def sketch_array(sketches: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(len(sketches) + 1, dtype=np.int32) * SKETCH_WORDS, sketches.ravel())
+
+
+def may_link(n: str, sketch: str, other_n: str, other_sketch: str, threshold: tuple[int, int]) -> Column:
+    """False only if so many bits of the sketches differ that the sets can't be similar enough."""
+    up, down = threshold
+    apart = sum((F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(other_sketch)[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    sizes = (F.least(n, other_n) * down >= F.greatest(n, other_n) * up)
+    return sizes & (apart * (up + down) <= (F.col(n) + F.col(other_n)) * (down - up))
+
+
+def open_pairs(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs ``a, b`` that share a group, lie in different components and were not compared yet.
+
+    ``sketches`` has ``doc, n, sketch`` of every member. With ``probes``, only pairs with so many members
+    of the largest component, drawn by a hash that differs from group to group: enough to join most sets
+    that belong to it, at a cost that follows the members. Without, all of them.
+    """
+    sketched = written(mixed_groups(stars, parts).join(sketches, "doc"), "mixed")
+    one = sketched.where("component <> top").select("sig", *[F.col(c).alias(f"x_{c}") for c in ("doc", "component", "n", "sketch")])
+    other = sketched
+    if probes:
+        drawn = [F.min_by("doc", F.xxhash64("sig", "doc", F.lit(i))) for i in range(probes)]
+        chosen = sketched.where("component = top").groupBy("sig").agg(F.array_distinct(F.array(*drawn)).alias("docs"))
+        other = sketched.join(chosen.select("sig", F.explode("docs").alias("doc")), ["sig", "doc"])
+    pairs = (
+        one.join(other, "sig")
+        .where("component <> x_component and (component = top or doc > x_doc)")
+        .where(may_link("n", "sketch", "x_n", "x_sketch", threshold))
+        .select(F.least("doc", "x_doc").alias("a"), F.greatest("doc", "x_doc").alias("b"))
+        .distinct()
+    )
+    return pairs.join(tested, ["a", "b"], "left_anti")

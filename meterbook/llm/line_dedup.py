@@ -9,7 +9,8 @@ shingle sets. Linked contents form components by a distributed union-find, and t
 component by (doc_id, line number) stays.
 
 Contents in one band bucket are not paired with each other: they are compared with one of them, and
-where components still differ, those outside the largest component with the others. Each map batch
+where components still differ, those outside the largest component first with few, then with all of
+the others, unless parity sketches of the shingle sets (a lower bound of their difference) rule it out. Each map batch
 sends one row for a bucket key, so that a very frequent line costs one row per batch.
 
 Nulls and empty texts have no lines. A document with a null id is neither compared nor changed. Rows
@@ -28,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.components import components, mixed_groups
+from meterbook.llm.components import SKETCH_WORDS, components, open_pairs, parity_sketch, sketch_array
 from meterbook.llm.tables import BROADCAST_IDS, join_ids, partitions, written
 
 SIZE = 7
 BANDS, ROWS = 14, 4
 THRESHOLD = (4, 5)
+PROBES = 2  # of a bucket's largest component, for each content outside it
 
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 
@@ -165,7 +167,7 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, content`` of every distinct content of a batch."""
+    """``node, content`` of every distinct content of a batch, not of a whole table."""
     for batch in batches:
         found = {}
         for text in batch.column(0).to_pylist():
@@ -175,6 +177,20 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["node", "content"])
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc, n, sketch``: number of shingles and parity sketch of each content."""
+    for batch in batches:
+        n, sketches = np.zeros(len(batch), np.int64), np.zeros((len(batch), SKETCH_WORDS), np.int64)
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            codes = np.frombuffer(text.ljust(SIZE, "\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+            values = np.zeros(len(codes) - SIZE + 1, np.uint64)
+            for j in range(SIZE):
+                values += codes[j : len(codes) - SIZE + 1 + j] * tx.SHINGLE_VALUE[j]
+            values = np.unique(tx.mix(values))
+            n[i], sketches[i] = len(values), parity_sketch(values)
+        yield pa.record_batch([batch.column(0), pa.array(n), sketch_array(sketches)], ["doc", "n", "sketch"])
+
+
 def shingle_set(text: str) -> set[str]:
     return {text[i : i + SIZE] for i in range(max(1, len(text) - SIZE + 1))}
 
@@ -222,17 +238,12 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     contents = written(join_ids(texts, ends, "node", "left_semi").groupBy("node").agg(F.first("content").alias("content")), "contents")
     close = written(_verified(pairs, contents), "close")
     parts = written(components(close), "parts")
-    mixed = written(mixed_groups(stars, parts), "mixed")
-    one = mixed.where("component <> top").select("sig", F.col("doc").alias("x"), F.col("component").alias("x_component"))
-    more = (
-        one.join(mixed, "sig")
-        .where("component <> x_component and (component = top or doc > x)")
-        .select(F.least("doc", "x").alias("a"), F.greatest("doc", "x").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    every = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(_verified(more, contents))
-    parts = written(components(every), "parts")
+    sketches = written(contents.mapInArrow(_sketches, "doc bigint, n bigint, sketch array<bigint>"), "sketches")
+    for probes in (PROBES, 0):
+        more = written(open_pairs(stars, parts, sketches, pairs, probes, THRESHOLD), "open")
+        every = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(_verified(more, contents))
+        parts = written(components(every), "parts")
+        pairs = pairs.unionAll(more)
     firsts = lines.groupBy("node").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     named = firsts.join(parts, "node", "left").select("node", "first", "n", F.coalesce("component", "node").alias("component"))
     heads = named.groupBy("component").agg(F.min("first").alias("head"), F.sum("n").alias("lines"))

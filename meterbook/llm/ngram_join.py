@@ -34,11 +34,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.components import components, mixed_groups
+from meterbook.llm.components import SKETCH_WORDS, components, may_link, open_pairs, parity_sketch, sketch_array
 from meterbook.llm.tables import join_ids, partitions, written
 
 WORDS = 5
@@ -46,7 +46,6 @@ THRESHOLD = (4, 5)  # similarity as a fraction
 BAND_STEP = 1.6
 PROBES = 2  # of a signature's largest component, for each set outside it
 FREQUENCIES = 1 << 16  # counters of each of two tables of shingle frequencies
-SKETCH_WORDS = 32  # 64-bit words of the parity sketch
 
 
 @dataclass(frozen=True)
@@ -82,20 +81,18 @@ def _batch_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]
 
 
 def _digests(words: int):
-    """Size, two hashes and the parity sketch of each set: bit i is the parity of the shingles that fall on i."""
-    salt, bits = np.uint64(0xD6E8FEB86659FD93), 64 * SKETCH_WORDS
+    """Size, two hashes and the parity sketch of each set."""
+    salt = np.uint64(0xD6E8FEB86659FD93)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, h = np.zeros(len(batch), np.int64), np.zeros((2, len(batch)), np.uint64)
             sketches = np.zeros((len(batch), SKETCH_WORDS), np.int64)
             for i, s in _batch_sets(batch.column(1), words):
-                odd = np.bincount((s >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
-                sketches[i] = np.packbits(odd.astype(bool)).view(np.int64)
+                sketches[i] = parity_sketch(s)
                 n[i], h[0, i], h[1, i] = len(s), s.sum(dtype=np.uint64), tx.mix(s ^ salt).sum(dtype=np.uint64)
-            packed = pa.ListArray.from_arrays(np.arange(len(batch) + 1, dtype=np.int32) * SKETCH_WORDS, sketches.ravel())
             yield pa.record_batch(
-                [batch.column(0), pa.array(n), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), packed],
+                [batch.column(0), pa.array(n), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), sketch_array(sketches)],
                 ["doc_id", "n_shingles", "h1", "h2", "sketch"],
             )
 
@@ -248,18 +245,11 @@ def _sets(words: int):
     return run
 
 
-def _may_link(n: str, sketch: str, other_n: str, other_sketch: str, threshold: tuple[int, int]) -> Column:
-    """False only if so many bits of the sketches differ that the sets can't be similar enough."""
-    up, down = threshold
-    apart = sum((F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(other_sketch)[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    return apart * (up + down) <= (F.col(n) + F.col(other_n)) * (down - up)
-
-
 def _plausible(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     of_a = sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     of_b = sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     both = pairs.join(of_a, "a").join(of_b, "b")
-    return both.where(_may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold)).select("a", "b").distinct()
+    return both.where(may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold)).select("a", "b").distinct()
 
 
 def _shingles_of(pairs: DataFrame, base: DataFrame, words: int) -> DataFrame:
@@ -284,30 +274,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
     )
 
 
-def _left_over(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs that share a signature, lie in different components and were not compared yet.
-
-    With ``probes``, only those with so many members of the largest component, drawn by a hash that differs
-    from signature to signature: enough to join most sets that belong to it, at a cost that follows the
-    members. Without, all of them.
-    """
-    sketched = written(mixed_groups(stars, parts).join(sketches, "doc"), "mixed")
-    one = sketched.where("component <> top").select("sig", *[F.col(c).alias(f"x_{c}") for c in ("doc", "component", "n", "sketch")])
-    other = sketched
-    if probes:
-        drawn = [F.min_by("doc", F.xxhash64("sig", "doc", F.lit(i))) for i in range(probes)]
-        chosen = sketched.where("component = top").groupBy("sig").agg(F.array_distinct(F.array(*drawn)).alias("docs"))
-        other = sketched.join(chosen.select("sig", F.explode("docs").alias("doc")), ["sig", "doc"])
-    pairs = (
-        one.join(other, "sig")
-        .where("component <> x_component and (component = top or doc > x_doc)")
-        .where(_may_link("n", "sketch", "x_n", "x_sketch", threshold))
-        .select(F.least("doc", "x_doc").alias("a"), F.greatest("doc", "x_doc").alias("b"))
-        .distinct()
-    )
-    return pairs.join(tested, ["a", "b"], "left_anti")
-
-
 def similar_documents(
     docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -337,7 +303,7 @@ def similar_documents(
     close = written(_verified(pairs, _shingles_of(pairs, base, words), threshold), "close")
     parts = written(components(close), "parts")
     for probes in (PROBES, 0):
-        more = written(_left_over(stars, parts, sketches, pairs, probes, threshold), "open")
+        more = written(open_pairs(stars, parts, sketches, pairs, probes, threshold), "open")
         close = _verified(more, _shingles_of(more, base, words), threshold)
         every = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(close)
         parts = written(components(every), "parts")
