@@ -8,13 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterbook.session import durable
-
 MAX_PAGE_SIZE = 200
 DEFAULT_PAGE_SIZE = 50
-# Up to here a page is cut by a top-k of the partitions; deeper pages use the counted sort below.
-SHALLOW_ROWS = 10_000
-
 
 @dataclass(frozen=True)
 class Page:
@@ -29,35 +24,25 @@ class Page:
 
 def check_page(limit: int, offset: int) -> None:
     if not 1 <= limit <= MAX_PAGE_SIZE:
-        raise ValueError(f"limit must be between 1 and {MAX_PAGE_SIZE}")
+        raise ValueError(f"a page has 1 to {MAX_PAGE_SIZE} rows, not {limit}")
     if offset < 0:
-        raise ValueError("offset must not be negative")
+        raise ValueError(f"a page cannot begin at row {offset}")
 
 
 def page(df: DataFrame, order: Sequence[Column], limit: int = DEFAULT_PAGE_SIZE, offset: int = 0) -> Page:
     check_page(limit, offset)
-    if limit + offset <= SHALLOW_ROWS:
-        return Page(df.orderBy(*order).offset(offset).limit(limit), df)
-    return Page(_deep_page(df, order, limit, offset), df)
+    return Page(df.orderBy(*order).offset(offset).limit(limit), df)
 
 
-def _deep_page(df: DataFrame, order: Sequence[Column], limit: int, offset: int) -> DataFrame:
-    """A page far down the sort.
+def page_after(df: DataFrame, columns: Sequence[str], last: Sequence, limit: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """The page after the row whose ``columns`` are ``last``: a filter and a top-k, however deep the page is.
 
-    A plain offset would pull every row before it through one task. Here the range-sorted rows are
-    written once, rows are counted per range, and only the ranges that hold the page are read.
+    The order is ascending, missing values last; the columns together tell rows apart.
     """
-    ranged = durable(
-        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    )
-    counts = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
-    before, wanted = 0, []
-    for number in sorted(counts):
-        if before < offset + limit and before + counts[number] > offset:
-            wanted.append((number, before))
-        before += counts[number]
-    if not wanted:
-        return df.limit(0)
-    hits = ranged.filter(F.col("_range").isin([number for number, _ in wanted]))
-    # Only the ranges around the page are sorted now; the skip inside them is a part of one range.
-    return hits.orderBy(*order).offset(offset - wanted[0][1]).limit(limit).drop("_range")
+    check_page(limit, 0)
+    beyond = F.lit(False)
+    for column, value in reversed(list(zip(columns, last, strict=True))):
+        c = F.col(column)
+        later = F.lit(False) if value is None else (c > F.lit(value)) | c.isNull()
+        beyond = F.coalesce(later, F.lit(False)) | (c.eqNullSafe(F.lit(value)) & beyond)
+    return df.where(beyond).orderBy(*[F.col(c).asc_nulls_last() for c in columns]).limit(limit)

@@ -25,6 +25,11 @@ class MetricSources:
     def today(self):
         return self.warehouse.as_of.date()
 
+    @property
+    def usage_today(self):
+        """Usage events have a clock of their own."""
+        return self.warehouse.usage_as_of.date()
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -65,8 +70,8 @@ METRICS: dict[str, Metric] = {
         ),
         Metric(
             "acquisition_channels", "mart_acquisition_channels", "acquisition_channel, currency",
-            lambda s, f, n: reads.acquisition_channels(s.warehouse.mart_acquisition_channels, **f),
-            optional=("channel",),
+            lambda s, f, n: reads.acquisition_channels(s.warehouse.mart_acquisition_channels, f.get("acquisition_channel")),
+            optional=("acquisition_channel",),
         ),
         Metric(
             "trial_conversion", "mart_trial_conversion", "user who tried",
@@ -113,7 +118,7 @@ METRICS: dict[str, Metric] = {
         Metric(
             "api_usage", "mart_api_usage", "month_start_date, organization_id",
             lambda s, f, n: reads.api_usage(
-                s.warehouse.mart_api_usage, s.warehouse.dim_organizations, s.today, limit=n, **f
+                s.warehouse.mart_api_usage, s.warehouse.dim_organizations, s.usage_today, limit=n, **f
             ),
             optional=(*_WINDOW, "organization_id"), dated=True,
         ),

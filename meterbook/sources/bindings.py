@@ -2,8 +2,7 @@
 
 Everything is text, as a landing layer holds it, and carries dirt that follows from the keys:
 padding, mixed case, unknown words, orphan keys, unparseable numbers and duplicate deliveries.
-Every row of the driver's tables becomes a row here; only ``marketing_events`` takes three of the
-five event types, since the other two are no marketing touches.
+Every row of the driver's tables becomes a row here.
 """
 
 from __future__ import annotations
@@ -20,8 +19,6 @@ SUBSCRIPTION_AS_OF = datetime(2001, 6, 1)
 EVENT_AS_OF = datetime(2024, 1, 20)
 EVENT_WINDOW_DAYS = 10
 
-SPREAD_FROM, SPREAD_BELOW = 256 << 10, 64 << 20
-
 
 # SQL fragments. Each table is one projection of expressions over a driver table.
 
@@ -65,19 +62,7 @@ class Bindings:
         self.folder = folder
 
     def _read(self, table: str) -> DataFrame:
-        """A table; one that is a single small file is spread over the cores.
-
-        A file below one split is read by one task, which would then also format and parse all of
-        its text. Larger tables come in many splits already and are never shuffled here.
-        """
-        path = f"{self.folder}/{table}.parquet"
-        rows = self.spark.read.parquet(path)
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        size = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
-        if SPREAD_FROM <= size < SPREAD_BELOW:
-            # By a column: dealing rows out in turn would sort them first to be repeatable.
-            return rows.repartition(self.spark.sparkContext.defaultParallelism, rows.columns[0])
-        return rows
+        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
     def raw(self) -> dict[str, Callable[[], DataFrame]]:
         return {
@@ -267,15 +252,14 @@ class Bindings:
         return self.crm_first_delivery().unionByName(self.crm_second_delivery())
 
     def marketing_events(self) -> DataFrame:
-        touches = self._read("events").filter("event_type in ('view', 'click', 'signup')")
-        return touches.selectExpr(
+        return self._read("events").selectExpr(
             "concat('mkt_', event_id) as marketing_event_id",
             "if(event_id % 20 >= 7, concat('usr_', user_id), null) as user_id",
             "concat('anon_', user_id) as anonymous_id",
             "if(event_id % 7 = 0, '  ', concat('cmp_', get_json_object(props, '$.k'))) as campaign_id",
             f"{_pick('event_id % 3', 'Search', 'SOCIAL ', 'email')} as channel",
-            "case event_type when 'view' then 'impression' when 'click' then 'CLICK' else ' signup_complete' end "
-            "as event_type",
+            "case event_type when 'view' then 'impression' when 'click' then 'CLICK' when 'signup' then ' signup_complete' "
+            "when 'purchase' then 'signup_start' else event_type end as event_type",
             f"{_micro_text('ts')} as event_timestamp",
             f"{_pick('event_id % 3', 'Google', 'facebook', ' Newsletter')} as utm_source",
             f"{_pick('event_id % 2', 'CPC', 'organic')} as utm_medium",

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from meterbook.sources.registry import SourceSpec
 
-RAW_LINE_LENGTH = 500
 MALFORMED = "malformed JSON"
 NOT_AN_OBJECT = "line is not a JSON object"
 
@@ -114,7 +113,7 @@ def read_jsonl(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
         *[F.when(is_record, value(c)).alias(c) for c in spec.columns],
         *_PLACE,
         error.alias("_parse_error"),
-        F.when(~is_record, F.substring("line", 1, RAW_LINE_LENGTH)).alias("_raw_line"),
+        F.when(~is_record, F.col("line")).alias("_raw_line"),
         *[
             (is_record & ~F.schema_of_variant(F.col(f"j.doc.{c}")).isin("STRING", "VOID")).alias(f"_not_text_{c}")
             for c in sorted(typed)

@@ -88,8 +88,7 @@ TABLES = {
     "raw_product_events": "SELECT event_id FROM events",
     "raw_api_usage": "SELECT event_id AS request_id FROM events",
     "raw_crm_accounts": "SELECT crm_account_id FROM crm_first UNION ALL SELECT crm_account_id FROM crm_second",
-    "raw_marketing_events": """
-        SELECT event_id AS marketing_event_id FROM events WHERE event_type IN ('view', 'click', 'signup')""",
+    "raw_marketing_events": """SELECT event_id AS marketing_event_id FROM events""",
     "newest_landed": """
         SELECT 'raw.users' AS t, max(_ingested_at) AS m FROM stg_users
         UNION ALL SELECT 'raw.organizations', max(_ingested_at) FROM stg_organizations

@@ -147,14 +147,15 @@ STAGED = {
                    AS campaign_id,
                event_id % 7 <> 0 AS is_campaign_attributed,
                ['search','social','email'][event_id % 3 + 1] AS channel,
-               CASE event_type WHEN 'view' THEN 'impression' WHEN 'click' THEN 'click' ELSE 'signup_complete' END
+               CASE event_type WHEN 'view' THEN 'impression' WHEN 'click' THEN 'click'
+                    WHEN 'signup' THEN 'signup_complete' WHEN 'purchase' THEN 'signup_start' ELSE event_type END
                    AS event_type,
                ts AS event_timestamp, ['google','facebook','newsletter'][event_id % 3 + 1] AS utm_source,
                ['cpc','organic'][event_id % 2 + 1] AS utm_medium,
                CASE WHEN event_id % 11 <> 0 THEN 'wave_' || event_id % 5 END AS utm_campaign,
                ts + to_days((event_id % 5)::INT) AS _ingested_at,
                'marketing_events.csv' AS _source_file, 'run_bound' AS _run_id
-        FROM events WHERE event_type IN ('view', 'click', 'signup')""",
+        FROM events""",
 }
 
 INTERMEDIATE = {

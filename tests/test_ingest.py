@@ -103,11 +103,11 @@ def test_jsonl_run(store, tmp_path):
     assert "Value error, Unknown string format: yesterday-ish" in reasons
 
 
-def test_malformed_line_is_kept_in_part(store, tmp_path):
+def test_malformed_line_is_kept_whole(store, tmp_path):
     folder = write(tmp_path / "in", "product_events.jsonl", "x" * 900 + "\n")
     ingest.ingest_source(store, SOURCES["product_events"], folder, NOW)
     payload = store.read("monitoring", "rejected_records").first()["raw_payload"]
-    assert json.loads(payload) == {"raw_line": "x" * 500}
+    assert json.loads(payload) == {"raw_line": "x" * 900}
 
 
 def test_parquet_values_become_text(spark, tmp_path):
