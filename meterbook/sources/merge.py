@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterbook.session import durable_copy
 from meterbook.sources.store import Store
 
 
@@ -14,7 +13,7 @@ def merge_by_key(store: Store, layer: str, table: str, incoming: DataFrame, key:
 
     Touched are the partitions that hold a row of an incoming key now or will hold one. Finding
     them reads the key column only. ``partition`` is a calendar column, so their list is short. The
-    new content is written to a separate place first: no plan overwrites the files it reads.
+    store writes the new content to a separate place first: no plan overwrites the files it reads.
     ``incoming`` is read several times and should be a stored copy.
     """
     target = store.read(layer, table)
@@ -25,12 +24,12 @@ def merge_by_key(store: Store, layer: str, table: str, incoming: DataFrame, key:
         return
     within = _in(partition, touched)
     kept = target.filter(within).join(keys, key, "left_anti")
-    with durable_copy(kept.unionByName(incoming.select(*kept.columns))) as content:
-        if content.select(partition).distinct().count() == len(touched):
-            store.replace_partitions(content, layer, table, [partition])
-        else:
-            # A partition lost its last row; replacing partitions would leave its old files behind.
-            store.replace(target.filter(~within).unionByName(content), layer, table, [partition])
+    content = kept.unionByName(incoming.select(*kept.columns))
+    if content.select(partition).distinct().count() == len(touched):
+        store.replace_partitions(content, layer, table, [partition])
+    else:
+        # A partition lost its last row; replacing partitions would leave its old files behind.
+        store.replace(target.filter(~within).unionByName(content), layer, table, [partition])
 
 
 def _in(partition: str, values: list) -> Column:

@@ -51,7 +51,7 @@ class Store:
         return f"{self.folder(layer, table)}/v{version}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        version = self.version(layer, table)
+        version = self._settled(layer, table)
         if not version:
             raise MissingTable(f"{layer}.{table}")
         return self._read(self.path(layer, table, version))
@@ -86,19 +86,47 @@ class Store:
 
     def append(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> None:
         """Add rows to the current version."""
-        path = self.path(layer, table, max(self.version(layer, table), 1))
+        path = self.path(layer, table, max(self._settled(layer, table), 1))
         _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
     def replace_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
-        """Replace the partitions ``df`` has rows for. ``df`` must not read the table itself."""
-        path = self.path(layer, table, self.version(layer, table))
-        (
-            _balanced(df, partition_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(path)
-        )
+        """Replace the partitions ``df`` has rows for; ``df`` may read the table itself.
+
+        Spark replaces a partition by deleting it and moving the new files in. So the new content is
+        written completely beside the version first; if the replacement dies, the next reader or
+        writer of the table repeats it from there.
+        """
+        path = self.path(layer, table, self._settled(layer, table))
+        _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}.redo")
+        self._keep_schema(df, f"{path}.redo")
+        self._move_in(path, partition_by)
+
+    def _settled(self, layer: str, table: str) -> int:
+        """The newest complete version, after finishing a replacement of partitions that broke off."""
+        version = self.version(layer, table)
+        path = self.path(layer, table, version)
+        if self.path_exists(f"{path}.redo.schema"):
+            first = next(iter(self._partitions(f"{path}.redo")), "")
+            self._move_in(path, [first.partition("=")[0]] if first else [])
+        elif version and self.path_exists(f"{path}.redo"):
+            self._delete(f"{path}.redo")  # never completed
+        return version
+
+    def _partitions(self, path: str) -> list[str]:
+        files, where = self._files(path)
+        return [n for s in files.listStatus(where) if "=" in (n := s.getPath().getName())]
+
+    def _move_in(self, path: str, partition_by: Sequence[str]) -> None:
+        if self._partitions(f"{path}.redo"):
+            (
+                _balanced(self._read(f"{path}.redo"), partition_by)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*partition_by)
+                .parquet(path)
+            )
+        self._delete(f"{path}.redo.schema")
+        self._delete(f"{path}.redo")
 
     def _delete(self, path: str) -> None:
         files, where = self._files(path)

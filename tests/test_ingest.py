@@ -211,3 +211,21 @@ def test_reject_count_reconciles(store, tmp_path):
     assert run.rows_received == run.rows_inserted + run.rows_updated + run.rows_rejected
     stored = store.read("monitoring", "rejected_records").filter(F.col("run_id") == run.run_id).count()
     assert stored == run.rows_rejected
+
+
+def test_replacement_that_breaks_off_loses_nothing(spark, store, monkeypatch):
+    rows = spark.createDataFrame([(d, i) for d in range(4) for i in range(5)], "day int, id int")
+    store.replace(rows, "raw", "t", ["day"])
+    new = spark.createDataFrame([(1, 100), (2, 200)], "day int, id int")
+
+    def dies(path, partition_by):
+        store._delete(f"{path}/day=1")  # the old partition is gone, the new one isn't there yet
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(store, "_move_in", dies)
+    with pytest.raises(RuntimeError):
+        store.replace_partitions(new, "raw", "t", ["day"])
+    monkeypatch.undo()
+    expected = {(d, i) for d in (0, 3) for i in range(5)} | {(1, 100), (2, 200)}
+    assert {tuple(r) for r in store.read("raw", "t").select("day", "id").collect()} == expected
+    assert not store.path_exists(store.path("raw", "t", 1) + ".redo")
