@@ -107,14 +107,29 @@ def sketch_array(sketches: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(len(sketches) + 1, dtype=np.int32) * SKETCH_WORDS, sketches.ravel())
 
 
-def may_link(n: str, sketch: str, other_n: str, other_sketch: str, threshold: tuple[int, int]) -> Column:
+def folded(sketch: str) -> Column:
+    """A parity sketch of a quarter of the size: bits that differ still bound differing hashes from below."""
+    n = SKETCH_WORDS // 4
+    parts = [[F.col(sketch)[i + j * n] for j in range(4)] for i in range(n)]
+    return F.array(*[a.bitwiseXOR(b).bitwiseXOR(c).bitwiseXOR(d) for a, b, c, d in parts])
+
+
+def may_link(n: str, sketch: str, other_n: str, other_sketch: str, threshold: tuple[int, int], words: int = SKETCH_WORDS) -> Column:
     """False only if so many bits of the sketches differ that the sets can't be similar enough."""
     up, down = threshold
-    apart = sum((F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(other_sketch)[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    sizes = (F.least(n, other_n) * down >= F.greatest(n, other_n) * up)
+    apart = sum((F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(other_sketch)[i])) for i in range(words)), F.lit(0))
+    sizes = F.least(n, other_n) * down >= F.greatest(n, other_n) * up
     return sizes & (apart * (up + down) <= (F.col(n) + F.col(other_n)) * (down - up))
 
 
+def plausible(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Those pairs ``a, b`` that may link by their sketches ``doc, n, sketch``."""
+    of_a = sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    of_b = sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    both = pairs.join(of_a, "a").join(of_b, "b")
+    return both.where(may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold)).select("a", "b").distinct()
+
+
 def open_pairs(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int]) -> DataFrame:
     """Pairs ``a, b`` that share a group, lie in different components and were not compared yet.
 
@@ -122,7 +137,8 @@ def open_pairs(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested:
     of the largest component, drawn by a hash that differs from group to group: enough to join most sets
     that belong to it, at a cost that follows the members. Without, all of them.
     """
-    sketched = written(mixed_groups(stars, parts).join(sketches, "doc"), "mixed")
+    slim = sketches.select("doc", "n", folded("sketch").alias("sketch"))
+    sketched = written(mixed_groups(stars, parts).join(slim, "doc"), "mixed")
     one = sketched.where("component <> top").select("sig", *[F.col(c).alias(f"x_{c}") for c in ("doc", "component", "n", "sketch")])
     other = sketched
     if probes:
@@ -132,8 +148,8 @@ def open_pairs(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested:
     pairs = (
         one.join(other, "sig")
         .where("component <> x_component and (component = top or doc > x_doc)")
-        .where(may_link("n", "sketch", "x_n", "x_sketch", threshold))
+        .where(may_link("n", "sketch", "x_n", "x_sketch", threshold, SKETCH_WORDS // 4))
         .select(F.least("doc", "x_doc").alias("a"), F.greatest("doc", "x_doc").alias("b"))
         .distinct()
     )
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    return plausible(pairs.join(tested, ["a", "b"], "left_anti"), sketches, threshold)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.components import SKETCH_WORDS, components, may_link, open_pairs, parity_sketch, sketch_array
+from meterbook.llm.components import SKETCH_WORDS, components, open_pairs, parity_sketch, plausible, sketch_array
 from meterbook.llm.tables import join_ids, partitions, written
 
 WORDS = 5
@@ -245,13 +245,6 @@ def _sets(words: int):
     return run
 
 
-def _plausible(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    of_a = sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    of_b = sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    both = pairs.join(of_a, "a").join(of_b, "b")
-    return both.where(may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold)).select("a", "b").distinct()
-
-
 def _shingles_of(pairs: DataFrame, base: DataFrame, words: int) -> DataFrame:
     """``doc, set`` of the documents in the pairs."""
     ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
@@ -299,7 +292,7 @@ def similar_documents(
         "stars",
     )
     sketches = digests.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
-    pairs = written(_plausible(stars.select("a", "b").distinct(), sketches, threshold), "pairs")
+    pairs = written(plausible(stars.select("a", "b").distinct(), sketches, threshold), "pairs")
     close = written(_verified(pairs, _shingles_of(pairs, base, words), threshold), "close")
     parts = written(components(close), "parts")
     for probes in (PROBES, 0):
