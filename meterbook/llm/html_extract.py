@@ -6,7 +6,8 @@ elements that by name, role, class or id are menus, page headers and footers, si
 adverts, forms or reader comments are boilerplate, and if the page marks an article (or main part) with
 a fair share of the text, what lies outside it is boilerplate and what lies inside needs no stop words.
 The second pass gives blocks that are too short or too mixed to decide the label of the nearest decided
-block; between two at the same distance that differ, sentences count as text.
+block, one in the same container if there is any; between two at the same distance that differ,
+sentences count as text.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined in page order by one space. Nothing is cut to a length.
@@ -21,6 +22,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +46,7 @@ BLOCK_TAGS = frozenset(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
+LEAF_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt hgroup figcaption".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BAD_TAGS = frozenset("nav aside form footer button dialog menu label fieldset legend".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
@@ -80,6 +84,7 @@ class Block:
     bad: bool
     inside: bool  # an article or main part
     heading: bool
+    parent: int  # number of the container it lies in
 
 
 def _names(attrs: dict[str, str]) -> set[str]:
@@ -107,16 +112,16 @@ def _judge(tag: str, source: str, inside: bool) -> tuple[bool, bool]:
 
 def blocks(page: str) -> list[Block]:
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, main part (each with what is above)
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, main part (each with what is above), container
     parts: list[str] = []
-    linked, links, heading = 0, 0, False
+    linked, links, heading, containers = 0, 0, False, 0
 
     def close() -> None:
         nonlocal linked, heading
         text = " ".join("".join(parts).split())
         if text:
-            bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            found.append(Block(text, min(linked, len(text)), bad, inside, heading))
+            bad, inside, parent = stack[-1][1:] if stack else (False, False, 0)
+            found.append(Block(text, min(linked, len(text)), bad, inside, heading, parent))
         parts.clear()
         linked, heading = 0, False
 
@@ -152,14 +157,14 @@ def blocks(page: str) -> list[Block]:
         if block:
             close()
         if token["end"]:
-            if any(t == tag for t, _, _ in stack):
-                if not block and stack[-1][0] != tag and any(t in BLOCK_TAGS for t, _, _ in stack[_last(stack, tag) + 1 :]):
+            if any(x[0] == tag for x in stack):
+                if not block and stack[-1][0] != tag and any(x[0] in BLOCK_TAGS for x in stack[_last(stack, tag) + 1 :]):
                     continue  # an inline end tag doesn't close blocks
                 leave(tag)
             continue
         if block:
             # A new block ends an open paragraph, a new item or cell the one before.
-            if any(t == "p" for t, _, _ in stack[_last_container(stack) + 1 :]):
+            if any(x[0] == "p" for x in stack[_last_container(stack) + 1 :]):
                 leave("p")
             if tag in ("li", "dd", "dt", "td", "th", "tr", "option") and stack and stack[-1][0] == tag:
                 leave(tag)
@@ -169,18 +174,22 @@ def blocks(page: str) -> list[Block]:
             continue
         if bad and not block:
             close()
-        stack.append((tag, above_bad or bad, above_main or main))
+        parent = stack[-1][3] if stack else 0
+        if block and tag not in LEAF_TAGS:
+            containers += 1
+            parent = containers
+        stack.append((tag, above_bad or bad, above_main or main, parent))
         links += tag == "a"
         heading = heading or (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
     close()
     return found
 
 
-def _last(stack: list[tuple[str, bool, bool]], tag: str) -> int:
+def _last(stack: list[tuple[str, bool, bool, int]], tag: str) -> int:
     return max(i for i, x in enumerate(stack) if x[0] == tag)
 
 
-def _last_container(stack: list[tuple[str, bool, bool]]) -> int:
+def _last_container(stack: list[tuple[str, bool, bool, int]]) -> int:
     """Place of the innermost block that isn't a paragraph."""
     return max((i for i, x in enumerate(stack) if x[0] in BLOCK_TAGS and x[0] != "p"), default=-1)
 
@@ -218,32 +227,27 @@ def _first_pass(found: list[Block]) -> list[bool | None]:
 
 def _second_pass(some: list[Block], labels: list[bool | None], found: list[Block]) -> list[bool]:
     """Undecided blocks inherit from the nearest decided one; blocks of ``found`` that aren't in ``some`` are boilerplate."""
-    n = len(labels)
-    before: list[tuple[int, bool] | None] = [None] * n
-    after: list[tuple[int, bool] | None] = [None] * n
-    last = None
-    for i in range(n):
-        last = (i, labels[i]) if labels[i] is not None else last
-        before[i] = last
-    last = None
-    for i in reversed(range(n)):
-        last = (i, labels[i]) if labels[i] is not None else last
-        after[i] = last
+    decided: dict[int, list[int]] = defaultdict(list)  # by container, and all under -1
+    for i, b in enumerate(some):
+        if labels[i] is not None:
+            decided[b.parent].append(i)
+            decided[-1].append(i)
     done: dict[int, bool] = {}
     for i, b in enumerate(some):
         if labels[i] is not None:
             done[id(b)] = labels[i]
             continue
-        left, right = before[i], after[i]
-        if b.heading and right:
-            done[id(b)] = right[1]
-        elif left and right and left[1] != right[1]:
-            near, far = i - left[0], right[0] - i
+        near = decided.get(b.parent) or decided.get(-1, [])
+        at = bisect(near, i)
+        left, right = near[at - 1] if at else None, near[at] if at < len(near) else None
+        if b.heading and right is not None:
+            done[id(b)] = labels[right]
+        elif left is not None and right is not None and labels[left] != labels[right]:
             sentence = b.text[-1] in ".!?…:" or _stop_density(b.text) >= MANY_STOPS
-            done[id(b)] = sentence if near == far else left[1] if near < far else right[1]
+            done[id(b)] = sentence if i - left == right - i else labels[left if i - left < right - i else right]
         else:
-            side = left or right
-            done[id(b)] = side[1] if side else _stop_density(b.text) >= SOME_STOPS
+            side = left if left is not None else right
+            done[id(b)] = labels[side] if side is not None else _stop_density(b.text) >= SOME_STOPS
     return [done.get(id(b), False) for b in found]
 
 

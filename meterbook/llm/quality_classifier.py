@@ -1,14 +1,15 @@
 """Importance resampling of documents by hashed n-gram models (operator 7).
 
 Tokens are runs of letters and digits, or of signs, in lower case. Two bag models over hashed single
-tokens and pairs are estimated: the target from all documents labelled good, the raw one from all
+tokens and pairs are estimated: the target from documents labelled good, the raw one from all
 documents. A document's log weight is the sum of log(target / raw) over its n-grams. Documents are
 drawn without replacement by Gumbel top-k: to each log weight a Gumbel variate is added, made from the
 document's id, and the k largest sums are selected.
 
-k is the number of documents whose log weight reaches a cut. The cut is the one that tells the labelled
-good from the labelled bad best (the middle of the best range, from histograms of fixed size); with no
-good or no bad label everything is selected. A pair of equal tokens counts as one n-gram, whatever the
+k is the number of documents whose log weight reaches a cut. A quarter of the labelled documents, by a
+hash of their ids, is kept out of the target model, so that they weigh like unlabelled ones; the cut is
+the one that tells the good from the bad among them best (the middle of the best range, from histograms
+of fixed size). With no good or no bad label there everything is selected. A pair of equal tokens counts as one n-gram, whatever the
 token.
 
 A null or empty text has log weight 0. A null id takes part with one fixed variate. Repeated rows get
@@ -34,7 +35,9 @@ BUCKETS = 16384
 # Log weights are told apart in steps of 1/4 between -64 and 64 when the cut is chosen.
 STEP, REACH = 0.25, 64
 REFINED = 4096
+SMOOTHING = 50.0  # counts added to either model's
 GOOD, BAD = 1, 0
+FOLDS = 4  # of labelled documents; fold 0 chooses the cut
 
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 _TWICE = np.uint64(0x5851F42D4C957F2D)
@@ -94,7 +97,7 @@ def gumbel(id_column: str) -> Column:
 
 def _cut(weighed: DataFrame) -> float:
     place = F.floor(F.greatest(F.least("log_weight", F.lit(REACH)), F.lit(-REACH)) / STEP).alias("place")
-    rows = weighed.where("quality is not null").groupBy(place, "quality").count().collect()  # a few rows per step
+    rows = weighed.where("quality is not null and calibrates").groupBy(place, "quality").count().collect()  # a few rows per step
     shape = int(2 * REACH / STEP) + 1
     held = np.zeros((2, shape))
     for r in rows:
@@ -145,15 +148,19 @@ class Resampler:
         marked = F.broadcast(marked) if marked.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else marked
         base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         tagged = base.join(marked, F.col("doc_id") == F.col("_marked"), "left")
-        counts = tagged.select("text", "quality").mapInArrow(_counts, "bucket bigint, n_raw bigint, n_good bigint")
+        tagged = tagged.withColumn("calibrates", F.pmod(F.xxhash64(F.lit("fold"), F.col("doc_id")), F.lit(FOLDS)) == 0)
+        taught = F.when(~F.col("calibrates"), F.col("quality")).alias("quality")
+        counts = tagged.select("text", taught).mapInArrow(_counts, "bucket bigint, n_raw bigint, n_good bigint")
         rows = counts.groupBy("bucket").agg(F.sum("n_raw"), F.sum("n_good")).collect()  # BUCKETS rows at most
-        held = np.ones((2, BUCKETS))
+        held = np.zeros((2, BUCKETS))
         for bucket, raw, good in rows:
-            held[:, bucket] += raw, good
-        self.log_ratio = np.log(held[1] / held[1].sum()) - np.log(held[0] / held[0].sum())
+            held[:, bucket] = raw, good
+        # Counts the target would have if it were like the raw text; few counts say little.
+        alike = held[0] * held[1].sum() / max(held[0].sum(), 1)
+        self.log_ratio = np.log((held[1] + SMOOTHING) / (alike + SMOOTHING))
         if not any(r[2] for r in rows):
             self.log_ratio[:] = 0
-        weighed = log_weights(tagged.select("doc_id", "text", "quality"), self.log_ratio).select("doc_id", "quality", "log_weight")
+        weighed = log_weights(tagged.select("doc_id", "text", "quality", "calibrates"), self.log_ratio).drop("text")
         self.scores = written(weighed.withColumn("key", F.col("log_weight") + gumbel("doc_id")), "weights")
         self.cut = _cut(self.scores)
         self.k = self.scores.where(F.col("log_weight") >= F.lit(self.cut)).count()
