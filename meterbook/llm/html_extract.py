@@ -13,8 +13,9 @@ Character references are decoded, white space inside a block becomes one space,
 joined in page order by one space. Nothing is cut to a length.
 
 A null, empty or blank page has the text ''. Markup that is never closed is read as browsers read it:
-a comment or script runs to the end, a paragraph ends where the next block begins. A ``<`` that opens no
-tag is text. Rows with null ids or equal rows are pages like others. An empty table gives an empty
+a comment or script runs to the end, a paragraph ends where the next block begins, svg and math where a
+tag follows that can't be theirs. Other elements that aren't shown end with the element around them at
+the latest. A ``<`` that opens no tag is text. Rows with null ids or equal rows are pages like others. An empty table gives an empty
 result. Other columns are ignored.
 """
 
@@ -31,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Elements whose content is never shown as text.
-_RAW = "script|style|noscript|template|svg|iframe|object|canvas|video|audio|math|head|title|textarea|select"
+# Elements whose content is read as raw text up to their end tag, and never shown.
+_RAW = "script|style|noscript|iframe|title|textarea"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?=[\s/>])(?P<open>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?/][^>]*>|(?P<text>[^<]+|<)",
     re.S | re.I,
@@ -48,6 +49,12 @@ BLOCK_TAGS = frozenset(
 )
 LEAF_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt hgroup figcaption".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Elements whose content is markup that isn't shown, or only in place of them.
+HIDDEN_TAGS = frozenset("svg math template object canvas video audio select".split())
+# Inside these, svg and math hold other markup again.
+_MIXED_TAGS = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+# Tags that end an open svg or math.
+_BREAKOUT_TAGS = BLOCK_TAGS | frozenset("b big br code em embed i img meta nobr ruby s small span strong strike sub sup tt u var".split())
 BAD_TAGS = frozenset("nav aside form footer button dialog menu label fieldset legend".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 # Parts of class names and ids.
@@ -115,6 +122,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, main part (each with what is above), container
     parts: list[str] = []
     linked, links, heading, containers = 0, 0, False, 0
+    hidden = at = 0  # open elements that aren't shown; place in the page
 
     def close() -> None:
         nonlocal linked, heading
@@ -126,35 +134,55 @@ def blocks(page: str) -> list[Block]:
         linked, heading = 0, False
 
     def leave(tag: str) -> None:
-        nonlocal links
+        nonlocal links, hidden
         while stack:
             gone = stack.pop()[0]
             links -= gone == "a"
+            hidden -= gone in HIDDEN_TAGS
             if gone == tag:
                 return
 
-    for token in _TOKEN.finditer(page):
+    while at < len(page):
+        token = _TOKEN.match(page, at)
+        at = token.end()
         if (text := token["text"]) is not None:
+            if hidden:
+                continue
             text = html.unescape(text)
             parts.append(text)
             if links:
                 linked += len(" ".join(text.split()))
             continue
         if token["tag"] is None:
-            if token["raw"] and not parts:
-                continue
-            if token["raw"]:
+            if token["raw"] and hidden and token["open"].endswith("/") and _foreign(stack):
+                at = token.end("open") + 1  # in svg and math '/>' closes every element
+            elif token["raw"] and parts:
                 parts.append(" ")
             continue
         tag = token["tag"].lower()
+        if tag == "head":
+            continue  # what its own elements don't hide belongs to the body, whether it is closed or not
+        while hidden and tag in _BREAKOUT_TAGS and not token["end"] and (foreign := _foreign(stack)):
+            leave(foreign)
         if tag in VOID_TAGS:
+            if hidden:
+                continue
             if tag == "hr":
                 close()
             elif tag == "br":
                 parts.append(" ")
             continue
         block = tag in BLOCK_TAGS
-        if block:
+        if hidden and (not token["end"] or tag in _own_tags(stack)):
+            # Inside an element that isn't shown nothing is cut or closed but what was opened there.
+            if token["end"]:
+                leave(tag)
+            elif not token["attrs"].endswith("/"):
+                stack.append((tag, *stack[-1][1:]))
+                links += tag == "a"
+                hidden += tag in HIDDEN_TAGS
+            continue
+        if block and (not hidden or any(x[0] == tag for x in stack)):
             close()
         if token["end"]:
             if any(x[0] == tag for x in stack):
@@ -169,6 +197,13 @@ def blocks(page: str) -> list[Block]:
             if tag in ("li", "dd", "dt", "td", "th", "tr", "option") and stack and stack[-1][0] == tag:
                 leave(tag)
         above_bad, above_main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        if tag in HIDDEN_TAGS:
+            if not token["attrs"].endswith("/"):
+                stack.append((tag, above_bad, above_main, stack[-1][3] if stack else 0))
+                hidden += 1
+            if parts:
+                parts.append(" ")
+            continue
         bad, main = _judge(tag, token["attrs"], above_main)
         if token["attrs"].endswith("/") and not block:
             continue
@@ -185,6 +220,17 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def _foreign(stack: list[tuple[str, bool, bool, int]]) -> str | None:
+    """svg or math if the markup at this place is theirs."""
+    tag = next((x[0] for x in reversed(stack) if x[0] in ("svg", "math") or x[0] in _MIXED_TAGS), None)
+    return tag if tag in ("svg", "math") else None
+
+
+def _own_tags(stack: list[tuple[str, bool, bool, int]]) -> list[str]:
+    """Open elements from the innermost one that isn't shown."""
+    return [x[0] for x in stack[max(i for i, x in enumerate(stack) if x[0] in HIDDEN_TAGS) :]]
+
+
 def _last(stack: list[tuple[str, bool, bool, int]], tag: str) -> int:
     return max(i for i, x in enumerate(stack) if x[0] == tag)
 

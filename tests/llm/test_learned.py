@@ -28,6 +28,26 @@ def test_main_text():
     assert [html_extract.main_text(x) for x in (None, "", "  ", "<!-- open", "<script>x", "<p>a < b</p>")] == ["", "", "", "", "", "a < b"]
 
 
+FOX = "The fox is in the garden and it was not of the kind that we have seen before on this side of the river, as they say."
+HILL = "It was on the other side of the hill that they had seen it, and he is not the one who was with them, as it is known."
+
+
+def test_main_text_after_elements_that_are_not_shown():
+    for page, text in (
+        (f"<html><head><title>x</title><body><article><p>{FOX}</article>", FOX),
+        (f"<head><title>x</title><article><p>{FOX}</article>", FOX),
+        (f'<body><p>{FOX}</p><svg class="icon"/><p>{HILL}</p>', f"{FOX} {HILL}"),
+        (f'<body><p>{FOX}</p><svg class="icon"><path d="1"><p>{HILL}</p>', f"{FOX} {HILL}"),
+        (f"<body><div>{FOX}<svg><style/><text>x</text></svg> {HILL}</div>", f"{FOX} {HILL}"),
+        (f"<body><p>{FOX} <math/> {HILL}</p>", f"{FOX} {HILL}"),
+        (f"<body><div><video src=x>No video.</div><p>{HILL}</p>", HILL),
+        (f"<div><select><option>a<option>b</div><p>{HILL}</p>", HILL),
+        (f"<template><div>{FOX}</div></template><p>{HILL}</p>", HILL),
+        (f"<svg><foreignObject><p>{FOX}</p></foreignObject></svg><p>{HILL}</p>", HILL),
+    ):
+        assert html_extract.main_text(page) == text, page
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<article><p>x y</p></article>", 5), (1, "u", "<article><p>x y</p></article>", 5), (None, None, None, 5)]
     got = html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")).collect()
