@@ -5,9 +5,10 @@ their length, the share of their characters inside links and the density of stop
 elements that by name, role, class or id are menus, page headers and footers, sidebars, notices,
 adverts, forms or reader comments are boilerplate, and if the page marks an article (or main part) with
 a fair share of the text, what lies outside it is boilerplate and what lies inside needs no stop words.
-The second pass gives blocks that are too short or too mixed to decide the label of the nearest decided
-block, one in the same container if there is any; between two at the same distance that differ,
-sentences count as text.
+The second pass gives blocks that are too short or too mixed to decide the label of the nearest block
+decided by length, links and stop words, one in the same container if there is any, or else in the
+innermost container around that holds one; between two at the same distance that differ, sentences count
+as text.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined in page order by one space. Nothing is cut to a length.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from bisect import bisect
 from collections import defaultdict
 from collections.abc import Iterator
@@ -84,6 +86,13 @@ LINKED = 0.5
 _WORD = re.compile(r"\w+")
 
 
+@dataclass(eq=False)
+class Container:
+    up: Container | None
+    first: int  # blocks of the page before it
+    end: int = sys.maxsize  # and up to its end
+
+
 @dataclass
 class Block:
     text: str
@@ -91,7 +100,7 @@ class Block:
     bad: bool
     inside: bool  # an article or main part
     heading: bool
-    parent: int  # number of the container it lies in
+    parent: Container
 
 
 def _names(attrs: dict[str, str]) -> set[str]:
@@ -119,16 +128,16 @@ def _judge(tag: str, source: str, inside: bool) -> tuple[bool, bool]:
 
 def blocks(page: str) -> list[Block]:
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, main part (each with what is above), container
+    stack: list[tuple[str, bool, bool, Container]] = []  # tag, boilerplate, main part (each with what is above), container
     parts: list[str] = []
-    linked, links, heading, containers = 0, 0, False, 0
+    linked, links, heading, page_container = 0, 0, False, Container(None, 0)
     hidden = at = 0  # open elements that aren't shown; place in the page
 
     def close() -> None:
         nonlocal linked, heading
         text = " ".join("".join(parts).split())
         if text:
-            bad, inside, parent = stack[-1][1:] if stack else (False, False, 0)
+            bad, inside, parent = stack[-1][1:] if stack else (False, False, page_container)
             found.append(Block(text, min(linked, len(text)), bad, inside, heading, parent))
         parts.clear()
         linked, heading = 0, False
@@ -136,7 +145,9 @@ def blocks(page: str) -> list[Block]:
     def leave(tag: str) -> None:
         nonlocal links, hidden
         while stack:
-            gone = stack.pop()[0]
+            gone, _, _, container = stack.pop()
+            if container is not (stack[-1][3] if stack else page_container):
+                container.end = len(found)
             links -= gone == "a"
             hidden -= gone in HIDDEN_TAGS
             if gone == tag:
@@ -199,7 +210,7 @@ def blocks(page: str) -> list[Block]:
         above_bad, above_main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         if tag in HIDDEN_TAGS:
             if not token["attrs"].endswith("/"):
-                stack.append((tag, above_bad, above_main, stack[-1][3] if stack else 0))
+                stack.append((tag, above_bad, above_main, stack[-1][3] if stack else page_container))
                 hidden += 1
             if parts:
                 parts.append(" ")
@@ -209,10 +220,9 @@ def blocks(page: str) -> list[Block]:
             continue
         if bad and not block:
             close()
-        parent = stack[-1][3] if stack else 0
+        parent = stack[-1][3] if stack else page_container
         if block and tag not in LEAF_TAGS:
-            containers += 1
-            parent = containers
+            parent = Container(parent, len(found))
         stack.append((tag, above_bad or bad, above_main or main, parent))
         links += tag == "a"
         heading = heading or (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
@@ -220,22 +230,22 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def _foreign(stack: list[tuple[str, bool, bool, int]]) -> str | None:
+def _foreign(stack: list[tuple[str, bool, bool, Container]]) -> str | None:
     """svg or math if the markup at this place is theirs."""
     tag = next((x[0] for x in reversed(stack) if x[0] in ("svg", "math") or x[0] in _MIXED_TAGS), None)
     return tag if tag in ("svg", "math") else None
 
 
-def _own_tags(stack: list[tuple[str, bool, bool, int]]) -> list[str]:
+def _own_tags(stack: list[tuple[str, bool, bool, Container]]) -> list[str]:
     """Open elements from the innermost one that isn't shown."""
     return [x[0] for x in stack[max(i for i, x in enumerate(stack) if x[0] in HIDDEN_TAGS) :]]
 
 
-def _last(stack: list[tuple[str, bool, bool, int]], tag: str) -> int:
+def _last(stack: list[tuple[str, bool, bool, Container]], tag: str) -> int:
     return max(i for i, x in enumerate(stack) if x[0] == tag)
 
 
-def _last_container(stack: list[tuple[str, bool, bool, int]]) -> int:
+def _last_container(stack: list[tuple[str, bool, bool, Container]]) -> int:
     """Place of the innermost block that isn't a paragraph."""
     return max((i for i, x in enumerate(stack) if x[0] in BLOCK_TAGS and x[0] != "p"), default=-1)
 
@@ -267,23 +277,39 @@ def _first_pass(found: list[Block]) -> list[bool | None]:
     if marked:
         # Nearest neighbours of a block inside the article are those inside it.
         out = [None if x is False and not b.inside else x for b, x in zip(found, out, strict=True)]
-        return _second_pass([b for b in found if b.inside], [x for b, x in zip(found, out, strict=True) if b.inside], found)
-    return _second_pass(found, out, found)
+        return _second_pass([i for i, b in enumerate(found) if b.inside], out, found)
+    return _second_pass(list(range(len(found))), out, found)
+
+
+def _second_pass(some: list[int], out: list[bool | None], found: list[Block]) -> list[bool]:
+    """Undecided blocks inherit from the nearest one decided by its own measures; blocks of ``found`` not numbered in ``some`` are boilerplate."""
+    decided: dict[Container, list[int]] = defaultdict(list)  # places in some, by container
+    every: list[int] = []
+    labels = [out[k] for k in some]
+    for i, k in enumerate(some):
+        if labels[i] is not None and not found[k].bad:
+            decided[found[k].parent].append(i)
+            every.append(i)
+
+    def around(i: int, container: Container) -> list[int]:
+        """The decided blocks next to ``i`` in the innermost container that holds any."""
+        if container in decided:
+            return decided[container]
+        at = bisect(every, i)
+        near = every[max(at - 1, 0) : at + 1]
+        while container.up is not None:
+            if held := [x for x in near if container.first <= some[x] < container.end]:
+                return held
+            container = container.up
+        return near
 
-
-def _second_pass(some: list[Block], labels: list[bool | None], found: list[Block]) -> list[bool]:
-    """Undecided blocks inherit from the nearest decided one; blocks of ``found`` that aren't in ``some`` are boilerplate."""
-    decided: dict[int, list[int]] = defaultdict(list)  # by container, and all under -1
-    for i, b in enumerate(some):
-        if labels[i] is not None:
-            decided[b.parent].append(i)
-            decided[-1].append(i)
     done: dict[int, bool] = {}
-    for i, b in enumerate(some):
+    for i, k in enumerate(some):
+        b = found[k]
         if labels[i] is not None:
             done[id(b)] = labels[i]
             continue
-        near = decided.get(b.parent) or decided.get(-1, [])
+        near = around(i, b.parent)
         at = bisect(near, i)
         left, right = near[at - 1] if at else None, near[at] if at < len(near) else None
         if b.heading and right is not None:

@@ -48,6 +48,13 @@ def test_main_text_after_elements_that_are_not_shown():
         assert html_extract.main_text(page) == text, page
 
 
+def test_short_blocks_beside_excluded_ones():
+    aside = '<aside>x</aside><table><tr><td>1</td><td>2</td></tr></table><div class="share">s</div><figure><figcaption>cap</figcaption></figure>'
+    for between, text in (('<div class="ad">x</div><ul><li>a</li><li>b</li></ul>', "a b"), (aside, "1 2 cap")):
+        for start, end in (("<article>", "</article>"), ('<body><div class="content">', "</div>")):
+            assert html_extract.main_text(f"{start}<p>{FOX}</p>{between}<p>{HILL}</p>{end}") == f"{FOX} {text} {HILL}"
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<article><p>x y</p></article>", 5), (1, "u", "<article><p>x y</p></article>", 5), (None, None, None, 5)]
     got = html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")).collect()
