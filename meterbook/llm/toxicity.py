@@ -3,7 +3,9 @@
 Units are words in lower case without signs, and runs of three or more single letters joined. The
 subsequence kernel compares two units by their common subsequences of three letters, each weighted by
 0.75 to the power of the stretch it covers in both, and is normalised; gaps and inserted characters cost
-similarity but don't break a match. A sentence's similarity to a landmark is that of its most similar
+similarity but don't break a match. A unit with all characters of a landmark is also compared without the
+characters that the landmark lacks; if what is left is similar enough, its kernel over the landmark's own
+counts, so that any number of inserted characters costs nothing more. A sentence's similarity to a landmark is that of its most similar
 unit. Landmarks are units far more frequent in toxic than in other training documents, no two of them
 alike. By Nyström's method a sentence's similarities times the inverse square root of the landmarks'
 kernel matrix are its features.
@@ -45,6 +47,9 @@ LANDMARKS = 48
 FOLDS = 5
 LENGTH, DECAY = 3, 0.75
 LEAST = 0.3  # smaller similarities count as none
+# Units less foreign characters: similarity that counts, after this factor for each character left out. On sf0.1
+# nine in ten insults with a letter put into every gap reach 0.47 to 0.60, 146 of 6,916 clean units with all letters of one reach 0.5.
+LEAST_INSERTED, INSERTED = 0.5, 0.95
 WIDEST = 24  # longer units are cut into stretches that overlap by half
 ROUNDS = 3
 SUREST = 20.0  # documents times log odds that a landmark needs
@@ -109,6 +114,12 @@ def _pairs(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield (tx.mix(a * np.uint64(1000003) + b) & np.uint64(PAIRS - 1)).astype(np.int64), (a > 0) & (b > 0)
 
 
+def _letters(codes: np.ndarray) -> np.ndarray:
+    """The characters of each unit as a set of 64 bits; some share a bit."""
+    bits = np.where(codes > 0, np.uint64(1) << (codes.astype(np.uint64) & np.uint64(63)), np.uint64(0))
+    return np.bitwise_or.reduce(bits, axis=1)
+
+
 class Landmarks:
     def __init__(self, units: list[str]):
         self.units = units
@@ -120,6 +131,33 @@ class Landmarks:
             for pair, there in _pairs(c):
                 self.having[pair[there], m] = 1
         self.needed = np.ceil(self.having.sum(axis=0) / 2)
+        self.letters = np.array([_letters(c)[0] for c in self.codes], np.uint64)
+
+    def _without_others(self, codes: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """Units less the characters that landmark ``m`` lacks, and how many of these lay between others."""
+        kept = np.isin(codes, self.codes[m])
+        order = np.argsort(~kept, axis=1, kind="stable")
+        n = kept.sum(axis=1)
+        width = codes.shape[1]
+        span = width - kept[:, ::-1].argmax(axis=1) - kept.argmax(axis=1)
+        short = np.take_along_axis(np.where(kept, codes, 0), order, axis=1)[:, : max(int(n.max()), 1)]
+        return short, np.where(n > 0, span - n, 0)
+
+    def _inserted(self, codes: np.ndarray, m: int) -> np.ndarray:
+        """Similarity to landmark ``m`` of units that have all its characters, with others put between them."""
+        out = np.zeros(len(codes), np.float32)
+        short, others = self._without_others(codes, m)
+        shared = np.zeros(len(codes), np.int64)
+        for pair, there in _pairs(short):
+            shared += self.having[pair, m] * there
+        whole = np.all([(short == x).any(axis=1) for x in np.unique(self.codes[m])], axis=0)
+        at = np.flatnonzero(whole & (shared >= self.needed[m]))
+        if len(at):
+            with_it, own = kernel(short[at], self.codes[m]), kernel(short[at], short[at])
+            damp = np.float32(INSERTED) ** others[at]
+            sure = with_it / np.sqrt(own * self.own[m]) * damp >= LEAST_INSERTED
+            out[at] = np.where(sure, np.minimum(with_it / self.own[m], 1), 0)
+        return out
 
     def similarities(self, units: list[str]) -> np.ndarray:
         """Normalised kernel of each unit with each landmark, 0 where it is small."""
@@ -135,6 +173,10 @@ class Landmarks:
             for pair, _ in _pairs(codes):
                 shared += self.having[pair]
             likely = shared >= self.needed
+            whole = (_letters(codes)[:, None] & self.letters) == self.letters
+            for m in np.flatnonzero(whole.any(axis=0)):
+                at = np.flatnonzero(whole[:, m])
+                np.maximum.at(out[:, m], rows[at], self._inserted(codes[at], m))
             own = np.zeros(len(some), np.float32)
             needed = np.flatnonzero(likely.any(axis=1))
             if not len(needed):

@@ -170,6 +170,22 @@ def test_toxicity_on_held_out_rows_and_gapped_words(spark):
     assert [got[200 + i]["predicted"] for i in range(5)] == [0, 0, 1, 1, 0]
 
 
+def test_inserted_letters_are_similar():
+    marks = toxicity.Landmarks(["idiot", "loser", "disgusting"])
+    altered = ["ixdxixoxt", "ixxdxxixxoxxt", "lqowsherr", "dbihsjgkulswtmipnyg", "ibdicot"]
+    similar = marks.similarities(altered)
+    assert (similar[range(5), [0, 0, 1, 2, 0]] > 0.8).all()
+    assert (marks.similarities(["les", "los", "edition", "resolution", "dugongs", "tsetse"]) < 0.5).all()
+
+
+def test_toxicity_of_words_with_inserted_letters(spark):
+    texts, labels = _abuse(200)
+    odd = ["such a gxrxuxmxbxoxlxd and sqnqaqrqfqlqe you are", "a gruhmwbojlyd or a snvavrvflve it is", prose(901, 40)]
+    rows = [(i, 1, y) for i, y in enumerate(labels)]
+    got = toxicity.score(documents(spark, texts + odd), spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")).collect()
+    assert [next(r["predicted"] for r in got if r["doc_id"] == 200 + i) for i in range(3)] == [1, 1, 0]
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {r["score"] for r in toxicity.score(documents(spark, corpus()), none).collect()} == {0.0}
