@@ -278,13 +278,19 @@ def similar_documents(
     digests = written(base.mapInArrow(_digests(words), kind), "digests")
     some = digests.where("n_shingles > 0")
     heads = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("head"))
-    copies = written(
-        some.join(heads, ["h1", "h2"]).where("doc_id <> head").groupBy("doc_id").agg(F.min("head").alias("head")), "copies"
-    )
+    headed = some.join(heads, ["h1", "h2"]).select("doc_id", "head")
+    spread = headed.groupBy("doc_id").agg(F.min("head").alias("head"), F.max("head").alias("last"))
+    spread = written(spread.where("head <> doc_id"), "copies")
+    # An id with several texts is left out only if all of them are copies, and is linked to all of its heads.
+    copies, mixed = spread.where("head = last").select("doc_id", "head"), spread.where("head <> last").select("doc_id")
+    alike = None
+    if not mixed.isEmpty():
+        alike = headed.where("doc_id <> head").join(mixed, "doc_id").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
+        alike = written(alike.distinct(), "alike")
     all_bands = bands(digests.agg(F.max("n_shingles")).first()[0] or 0, threshold)
     width = partitions(docs)
     stars = written(
-        join_ids(base, copies, "doc_id", "left_anti")
+        join_ids(base, spread.where("last <> doc_id").select("doc_id"), "doc_id", "left_anti")
         .mapInArrow(_signed(words, all_bands, commonness(base, words), threshold, 8 * width), _SIGNED)
         .repartition(width, "bucket")
         .sortWithinPartitions("bucket")
@@ -294,7 +300,7 @@ def similar_documents(
     sketches = digests.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
     pairs = written(plausible(stars.select("a", "b").distinct(), sketches, threshold), "pairs")
     close = written(_verified(pairs, _shingles_of(pairs, base, words), threshold), "close")
-    parts = written(components(close), "parts")
+    parts = written(components(close.unionAll(alike) if alike is not None else close), "parts")
     for probes in (PROBES, 0):
         more = written(open_pairs(stars, parts, sketches, pairs, probes, threshold), "open")
         close = _verified(more, _shingles_of(more, base, words), threshold)

@@ -62,6 +62,19 @@ def test_ngram_join(spark):
     assert got == {(i, len(sets[i]), least[i]) for i in sets}
 
 
+def test_similar_documents_of_ids_with_several_texts(spark):
+    one, two, three = prose(1, 90), prose(2, 90), prose(3, 90)
+    near = two.rsplit(" ", 1)[0]
+    rows = [(1, one), (5, one), (5, near), (7, two), (9, one[:300]), (11, three), (13, prose(4, 90)), (15, three), (15, prose(4, 90)), (17, prose(5, 90))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    linked = close_pairs({i: shingles(t) for i, (_, t) in enumerate(rows)})
+    least = least_of_component({d for d, _ in rows}, [(rows[i][0], rows[j][0]) for i, j in linked])
+    assert (least[7], least[5], least[13], least[15], least[17]) == (1, 1, 11, 11, 17)
+    got = similar_documents(docs).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in got} == set(least.items())
+
+
 def test_one_of_each_keeps_columns(spark):
     docs = documents(spark, ["a b c d e f"] * 3 + [None])
     kept = one_of_each(docs)
