@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterbook.llm import decontaminate, lm_score, quality_rules, toxicity, url_filter
+from meterbook.llm import decontaminate, filter_audit, lm_score, quality_rules, source_divergence, toxicity, url_filter
 from meterbook.llm.html_extract import extract
 from meterbook.llm.line_dedup import line_classes
 from meterbook.llm.ngram_join import similar_documents
@@ -65,6 +65,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.divergence(_table(spark, folder, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{folder}/documents.parquet", _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extract": op2_html_extract,
@@ -76,10 +84,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_toxicity": op10_toxicity,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE_SQL,
     "op5_decontaminate": decontaminate.ORACLE_SQL,
     "op8_quality_rules": quality_rules.ORACLE_SQL,
+    "op12_source_divergence": source_divergence.ORACLE_SQL,
+    "op13_filter_audit": filter_audit.ORACLE_SQL,
 }
