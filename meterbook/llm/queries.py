@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterbook.llm import decontaminate, filter_audit, lm_score, quality_rules, source_divergence, toxicity, url_filter
+from meterbook.llm import decontaminate, filter_audit, lm_score, quality_rules, source_divergence, token_files, toxicity, url_filter
 from meterbook.llm.html_extract import extract
 from meterbook.llm.line_dedup import line_classes
 from meterbook.llm.ngram_join import similar_documents
@@ -65,6 +65,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, folder, "documents"), tokenizer_file())
+
+
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return source_divergence.divergence(_table(spark, folder, "documents"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_toxicity": op10_toxicity,
+    "op11_token_ids": op11_token_ids,
     "op12_source_divergence": op12_source_divergence,
     "op13_filter_audit": op13_filter_audit,
 }
