@@ -10,7 +10,9 @@ again as repeated. The sink receives signed counters, and their sum over all bat
 State lies in key-hash buckets of about ``BUCKET_TEXTS`` texts, one Arrow table each, since Python state for
 each single text costs milliseconds. Documents that a task already knows to be repeated leave as counters
 before the shuffle, so a text that a third of all rows hold sends one row a task. Labels are joined to
-ids and masks, not to texts; null ids are spread over the join. Texts are compared by 128-bit BLAKE2b.
+ids and masks, not to texts; null ids are spread over the join. Texts are compared by 128-bit BLAKE2b. The
+session chooses the state store: Spark's default holds the state (60 bytes a text or so) in executor memory,
+RocksDB on their disks.
 
 A null text is empty; a null source is part ''. A row with a null doc_id has no smaller id and is nobody's
 smaller id. Repeated rows count each; rows that repeat id and text are not each other's smaller id. Repeated
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from meterbook.llm import text as tx
-from meterbook.llm.tables import BROADCAST_IDS, partitions
+from meterbook.llm.tables import BROADCAST_IDS, drop_at_exit, partitions, written
 from meterbook.session import scratch_folder
 
 # Filters in the order of their bits, and their limits.
@@ -50,7 +52,8 @@ FOLLOWING = bytes(range(0x80, 0xC0))  # bytes of a UTF-8 sequence after its firs
 
 LONG_TEXT = 8 << 20
 BUCKET_TEXTS = 8192
-BATCHES = 16
+# Micro-batches of one run over files that were there already. Each batch writes the whole state of its buckets.
+BATCHES = 8
 # Rows that a task holds while it looks for repeated texts.
 HELD_ROWS = 100_000
 
@@ -210,7 +213,7 @@ def stream_counters(
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
         F.col("text").cast("string").cast("binary").alias("text"),
     )
-    found = positive_labels(labels)
+    found = written(positive_labels(labels), "labels")
     small = found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     # A null id meets no label; spread, such rows do not meet in one task.
     spread = F.when(F.col("doc_id").isNull(), F.col("h1")).otherwise(F.lit(0).cast("bigint"))
@@ -222,20 +225,14 @@ def stream_counters(
     deltas = gathered.groupBy("bucket").applyInPandasWithState(
         update_bucket, DELTAS, "texts binary", "append", GroupStateTimeout.NoTimeout
     )
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        query = (
-            deltas.writeStream.format("parquet")
-            .outputMode("append")
-            .option("checkpointLocation", f"{folder}/progress")
-            .trigger(availableNow=True)
-            .start(f"{folder}/deltas")
-        )
-        query.awaitTermination()
-    finally:
-        spark.conf.set(provider, before)
+    query = (
+        deltas.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True)
+        .start(f"{folder}/deltas")
+    )
+    query.awaitTermination()
     signed = spark.read.schema(DELTAS).parquet(f"{folder}/deltas")
     return signed.groupBy(*COUNTER).agg(F.sum("n").alias("n")).filter("n <> 0")
 
@@ -288,7 +285,12 @@ def report(counters: DataFrame) -> DataFrame:
 
 
 def audit(spark: SparkSession, path: str, labels: DataFrame, folder: str | None = None) -> DataFrame:
-    return report(stream_counters(spark, path, labels, folder or scratch_folder(spark, "filter-audit")))
+    """The report of a run over all files; without a ``folder`` its state goes when the application ends."""
+    own = folder or scratch_folder(spark, "filter-audit")
+    counters = stream_counters(spark, path, labels, own)
+    if not folder:
+        drop_at_exit(spark, own)
+    return report(counters)
 
 
 ORACLE_SQL = r"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterbook.session import scratch_folder
@@ -11,10 +11,17 @@ from meterbook.session import scratch_folder
 BROADCAST_IDS = 2_000_000
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """A lazy result may read an intermediate table until the application ends; then it goes."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: it cuts lineage and survives lost executors."""
+    """``df`` as a Parquet table in the shared folder until the application ends: it cuts lineage and survives lost executors."""
     path = scratch_folder(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
+    drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
