@@ -7,6 +7,7 @@ are numbered in blocks; the number of integers before each block lets any block
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,6 +43,13 @@ def _selectors(values: np.ndarray) -> np.ndarray:
     return best
 
 
+def _chain(step: list[int]) -> Iterator[int]:
+    at, end = 0, len(step)
+    while at < end:
+        yield at
+        at += step[at]
+
+
 def pack(values: np.ndarray) -> Packed:
     values = values.astype(np.uint64)
     large = np.flatnonzero(values >= LIMIT)
@@ -49,12 +57,7 @@ def pack(values: np.ndarray) -> Packed:
     if len(large):
         values[large] = 0
     best = _selectors(values)
-    step = COUNT[best].tolist()
-    begins, at = [], 0
-    while at < len(step):
-        begins.append(at)
-        at += step[at]
-    starts = np.array(begins, np.int64)
+    starts = np.fromiter(_chain(COUNT[best].tolist()), np.int64)
     selectors = best[starts]
     words = selectors.astype(np.uint64) << SELECTOR_SHIFT
     padded = np.concatenate([values, np.zeros(int(COUNT.max()), np.uint64)])

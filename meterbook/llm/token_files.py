@@ -26,13 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterbook.llm import simple8b
-from meterbook.llm.tables import written
-from meterbook.llm.tokens import Tokens
+from meterbook.llm.tables import drop_at_exit, written
+from meterbook.llm.tokens import tokens_of, worker_memory
 from meterbook.session import scratch_folder
 
 CLOSING_ID = 2
@@ -99,9 +99,9 @@ class Segment:
         return found[begin - int(self.blocks[first]) : end - int(self.blocks[first])]
 
 
-def _segments(path: str, closing: int, size: int):
+def _segments(memory: Broadcast, path: str, closing: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, shard = Tokens(path), TaskContext.get().partitionId()
+        tokens, shard = tokens_of(memory, path), TaskContext.get().partitionId()
         docs: list = []
         parts: list[np.ndarray] = []
         lengths: list[int] = []
@@ -134,7 +134,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, closing: int = CL
     base = base.withColumns({"_h": F.xxhash64("text"), "_r": F.rand(11)})
     order = [F.col("doc_id").asc_nulls_first(), F.col("_h")]
     dealt = base.repartitionByRange(*order, F.col("_r")).sortWithinPartitions(*order, "text")
-    found = dealt.select("doc_id", "text").mapInArrow(_segments(tokenizer, closing, segment), "segment binary")
+    memory = worker_memory(docs.sparkSession)
+    found = dealt.select("doc_id", "text").mapInArrow(_segments(memory, tokenizer, closing, segment), "segment binary")
     rows = found.select(F.col("segment").cast("string").alias("value"))
     rows.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", SEGMENTS).text(folder)
 
@@ -184,6 +185,7 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
     folder = scratch_folder(spark, "tokens")
     write_tokens(docs, tokenizer, folder)
+    drop_at_exit(spark, folder)
     # The index of documents: a few numbers for each.
     index = written(read_tokens(spark, folder), "token-index")
     return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -15,6 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import SparkSession
 
 from meterbook.llm import text as tx
 
@@ -77,7 +79,9 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # How the model sees letters beyond ASCII.
+        self.shown = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xE0, 0x100) if c != 0xF7}
         self.kept, self.stretch = kept, stretch
         self.by_run = CUT in json.dumps(json.loads(self.tokenizer.to_str())["pre_tokenizer"]).replace("\\\\", "\\")
         self._begin_anew()
@@ -90,12 +94,13 @@ class Tokens:
         self.flat, self.begins, self.lengths = (np.zeros(0, np.int64) for _ in range(3))
 
     def _run_ids(self, run: bytes) -> list[int]:
+        if run.isalpha() and run.islower():
+            return [t.id for t in self.model.tokenize(run.decode())]
         text = run.decode("utf-8", "replace")
         low = text.lower()
         if not SIMPLE.fullmatch(low) or len(low) != len(text):
             return self._ids(text)
-        shown = low if low.isascii() else self.as_bytes.pre_tokenize_str(low)[0][0]
-        return [t.id for t in self.model.tokenize(shown)]
+        return [t.id for t in self.model.tokenize(low.translate(self.shown))]
 
     def _learn(self, new: list[bytes]) -> None:
         flat: list[int] = []
@@ -153,3 +158,16 @@ class Tokens:
         for low, high in tx.row_groups(places, self.stretch):
             ids, ends = self.of_rows(data[places[low] : places[high]], places[low : high + 1] - places[low])
             yield low, np.insert(ids, ends[1:], closing), ends + np.arange(len(ends))
+
+
+def worker_memory(spark: SparkSession) -> Broadcast:
+    """A dictionary of each Python worker, which keeps what one of its tasks puts there for the next."""
+    return spark.sparkContext.broadcast({})
+
+
+def tokens_of(memory: Broadcast, path: str) -> Tokens:
+    """The tokenizer of this worker with all runs it has met."""
+    kept = memory.value
+    if path not in kept:
+        kept[path] = Tokens(path)
+    return kept[path]
