@@ -15,7 +15,6 @@ An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -23,77 +22,36 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterbook.llm.tables import partitions, written
+from meterbook.llm.tokens import tokens_of, worker_memory
 
 LENGTH = 2048
 CLOSING_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-# Words whose ids a task keeps; then it begins anew.
-KEPT_WORDS = 400_000
-
-# A run of Latin letters that no normalisation changes but for case, then signs.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-
-
-class WordIds(dict):
-    """Token ids of a word as little-endian 32-bit integers.
-
-    This tokenizer drops white space and never merges across it, so a text's ids are those of its words
-    in order. A word of Latin letters and signs is two pretokens at most, which go straight to the model;
-    any other word takes the whole tokenizer.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.runs: dict[str, bytes] = {}
-
-    def run(self, run: str) -> bytes:
-        found = self.runs.get(run)
-        if found is None:
-            shown = run if run.isascii() else self.as_bytes.pre_tokenize_str(run)[0][0]
-            found = self.runs[run] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        return found
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-            self.runs.clear()
-        text = word.decode("utf-8", "replace")
-        plain = _PLAIN.fullmatch(text)
-        if plain:
-            found = self.run(plain[1].lower()) + (self.run(plain[2]) if plain[2] else b"")
-        else:
-            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = found
-        return found
-
-
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-def _cut(path: str, length: int, closing: bytes):
+def _cut(memory: Broadcast, path: str, length: int, closing: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(path)
+        tokens = tokens_of(memory, path)
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist(), strict=True):
-                found = b"".join(map(ids.__getitem__, (text or b"").split())) + closing
-                for piece, at in enumerate(range(0, len(found), 4 * length)):
-                    part = found[at : at + 4 * length]
-                    rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"]
-            )
+            names = batch.column(0).to_pylist()
+            for low, ids, places in tokens.closed_rows(batch.column(1), closing):
+                raw = ids.astype("<u4")
+                sizes = np.diff(places)
+                n = -(-sizes // length)  # pieces of each row
+                row = np.repeat(np.arange(len(sizes)), n)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                begin = places[row] + piece * length
+                end = np.minimum(begin + length, places[row + 1])
+                sums = [zlib.crc32(raw[i:j]) for i, j in zip(begin.tolist(), end.tolist(), strict=True)]
+                columns = [pa.array([names[low + r] for r in row.tolist()], pa.int64()), pa.array(piece, pa.int32())]
+                columns += [pa.array(piece * length, pa.int64()), pa.array(end - begin, pa.int64()), pa.array(sums, pa.int64())]
+                yield pa.record_batch(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run
 
@@ -263,7 +221,7 @@ def ranked(df: DataFrame, by: str, order: list[str], parts: int) -> DataFrame:
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, closing: int = CLOSING_ID) -> DataFrame:
     """One row per piece of at most ``length`` tokens; ``tokenizer`` is a file every executor has."""
     base = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return base.mapInArrow(_cut(tokenizer, length, np.array([closing], "<u4").tobytes()), PIECES)
+    return base.mapInArrow(_cut(worker_memory(docs.sparkSession), tokenizer, length, closing), PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
