@@ -25,10 +25,15 @@ def read_watermark(target: DataFrame, ingested_at: str = "_last_ingested_at") ->
     return datetime.fromisoformat(newest) if newest else EPOCH
 
 
+def cut(mark: datetime, lookback_days: int = LOOKBACK_DAYS) -> datetime:
+    """The watermark less the lookback."""
+    return max(mark - timedelta(days=lookback_days), EPOCH)
+
+
 def ingested_after(ingested_at: str, mark: Column | datetime, lookback_days: int = LOOKBACK_DAYS) -> Column:
     """INC-01: rows that arrived after the watermark less the lookback."""
     if isinstance(mark, datetime):
-        return F.col(ingested_at) > time_literal(max(mark - timedelta(days=lookback_days), EPOCH))
+        return F.col(ingested_at) > time_literal(cut(mark, lookback_days))
     return F.col(ingested_at) > mark - F.make_dt_interval(days=F.lit(lookback_days))
 
 

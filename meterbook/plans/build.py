@@ -19,6 +19,7 @@ from meterbook.sources.ingest import DAY
 from meterbook.sources.merge import merge_by_key
 from meterbook.sources.registry import SOURCES
 from meterbook.sources.store import Store
+from meterbook.sources.touched import days_touched, has_log
 
 RAW, STAGING, ANALYTICS, SNAPSHOTS = "raw", "staging", "analytics", "snapshots"
 
@@ -42,28 +43,29 @@ def refresh_daily_fact(
     rebuild: Callable[[DataFrame], DataFrame],
     full_refresh: bool = False,
     staged_days: Callable[[list], DataFrame] | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """INC-01, INC-02, INC-05, INC-06 on a stored fact that is partitioned by day.
 
-    ``staged_days`` gives the staged rows of some days where they can be read without the others.
+    ``staged_days`` gives the staged rows of some days where they can be read without the others. If
+    ``source`` landed with a log of the days it touched, the log tells which days to rebuild and only
+    their landed rows are read. Otherwise counts of all days are compared.
     """
     if full_refresh or not store.exists(ANALYTICS, table):
         return store.replace(rebuild(staged), ANALYTICS, table, ["date_day"])
     target = store.read(ANALYTICS, table)
-    # The list of days is bounded by the calendar; as literals they prune what is rewritten.
-    stale = incremental.stale_days(
-        target, staged, event_time, count_column, incremental.read_watermark(target)
-    ).collect()
-    days = [r["_day"] for r in stale]
+    mark = incremental.read_watermark(target)
+    if source and staged_days and has_log(store, source):
+        stale = days_touched(store, source, incremental.cut(mark))
+    else:
+        stale = incremental.stale_days(target, staged, event_time, count_column, mark)
+    # The list of days is bounded by the calendar; as literals they prune what is read and rewritten.
+    days = [r[0] for r in stale.collect()]
     if not days:
         return target
     rows = staged if staged_days is None else staged_days(days)
     rebuilt = rebuild(rows.filter(F.to_date(event_time).isin(days)))
-    if any(r["vanished"] for r in stale):
-        # Replacing partitions cannot remove one, so a day that lost all its rows takes a full write.
-        kept = target.filter(~F.col("date_day").isin(days)).select(*rebuilt.columns)
-        return store.replace(kept.unionByName(rebuilt), ANALYTICS, table, ["date_day"])
-    store.replace_partitions(rebuilt, ANALYTICS, table, ["date_day"])
+    store.replace_partitions(rebuilt, ANALYTICS, table, "date_day", days)
     return store.read(ANALYTICS, table)
 
 
@@ -142,6 +144,13 @@ def _together(writes: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFr
         return {name: job.result() for name, job in running.items()}
 
 
+def _days_of(lazy: Warehouse, source: str) -> Callable[[list], DataFrame] | None:
+    """The staged rows of some days, where the source landed by day."""
+    if not lazy.lands_by(source, DAY):
+        return None
+    return lambda days: lazy.landed_days(source, DAY, days).table(f"stg_{source}")
+
+
 def build(store: Store, lazy: Warehouse, full_refresh: bool = False) -> Warehouse:
     """SNK-04: bring every stored table up to date and return the warehouse that reads them.
 
@@ -170,11 +179,11 @@ def build(store: Store, lazy: Warehouse, full_refresh: bool = False) -> Warehous
         "fact_invoices": lambda: refresh_invoices(store, staged.stg_invoices, invoice_rows, full_refresh),
         "fact_product_usage": lambda: refresh_daily_fact(
             store, "fact_product_usage", staged.stg_product_events, "event_timestamp", "event_count", product_rows,
-            full_refresh, lambda days: lazy.landed_days("product_events", DAY, days).stg_product_events,
+            full_refresh, _days_of(lazy, "product_events"), "product_events",
         ),
         "fact_api_usage": lambda: refresh_daily_fact(
             store, "fact_api_usage", staged.stg_api_usage, "request_timestamp", "request_count", api_rows,
-            full_refresh, lambda days: lazy.landed_days("api_usage", DAY, days).stg_api_usage,
+            full_refresh, _days_of(lazy, "api_usage"), "api_usage",
         ),
         "snap_subscriptions": lambda: refresh_history(
             store, "snap_subscriptions", subscriptions.select(*SUBSCRIPTION_HISTORY), "subscription_id", as_of

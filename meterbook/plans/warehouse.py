@@ -62,15 +62,18 @@ class Warehouse:
             self._activity,
         )
 
+    def lands_by(self, source: str, day: str) -> bool:
+        """Whether the rows of some days can be read alone: a duplicate could lie on a day that is left out."""
+        return self._unique and day in self.raw(source).columns
+
     def landed_days(self, source: str, day: str, days: list) -> Warehouse:
         """The same warehouse over some days of a source, if it landed partitioned by day.
 
         Only where landed rows are unique: a duplicate could lie on a day that is left out.
         """
-        landed = self.raw(source)
-        if not self._unique or day not in landed.columns:
+        if not self.lands_by(source, day):
             return self
-        part = {**self._raw, source: landed.filter(F.col(day).isin(days))}
+        part = {**self._raw, source: self.raw(source).filter(F.col(day).isin(days))}
         return Warehouse(part, self.as_of, self.usage_as_of, self.window_days, True)
 
     def table(self, name: str) -> DataFrame:

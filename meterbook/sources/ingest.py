@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from meterbook.functions import safe_timestamp, time_literal
 from meterbook.operators import validate
 from meterbook.operators.dedup import mark_newest
-from meterbook.operators.upsert import upsert, upsert_counts
+from meterbook.operators.upsert import upsert_counts
 from meterbook.session import durable_copy
 from meterbook.sources import audit
-from meterbook.sources.merge import merge_by_key
+from meterbook.sources.merge import BUCKET, bucket_of, merge_by_key, touched_partitions
 from meterbook.sources.readers import POSITION, ROW_ID, read_source
 from meterbook.sources.registry import INGESTION_ORDER, SOURCES, SourceSpec
 from meterbook.sources.store import Store
+from meterbook.sources.touched import log_days
 
 RAW = "raw"
 DAY = "_day"
@@ -81,28 +82,35 @@ def _load(store: Store, spec: SourceSpec, path: str, run: audit.Run, now: dateti
         inserted, updated = counts["received"] - counts["rejected"], 0
         if store.exists(RAW, spec.name):
             inserted, updated = upsert_counts(store.read(RAW, spec.name), landed, spec.key).first()
-        _write(store, spec, landed, replaces=bool(updated))
+        _write(store, spec, landed, run, now, replaces=bool(updated))
         audit.record_rejects(store, outcome.filter(~F.col("_kept")), run, spec.key, spec.columns, now)
     # VAL-07: counted only now that both writes are in; received = inserted + updated + rejected.
     run.rows_received, run.rows_rejected = counts["received"], counts["rejected"]
     run.rows_inserted, run.rows_updated = inserted, updated
 
 
-def _write(store: Store, spec: SourceSpec, landed: DataFrame, replaces: bool) -> None:
-    """SNK-01. Entities are rewritten as a whole. Sources without versions (events, invoices) grow
-    without end, so they are partitioned by their day and only touched days are rewritten. A
-    delivery that replaces nothing is added without rewriting anything."""
-    by_day = () if spec.version else (DAY,)
-    if by_day:
+def _write(store: Store, spec: SourceSpec, landed: DataFrame, run: audit.Run, now: datetime, replaces: bool) -> None:
+    """SNK-01. Entities are kept in buckets of their key, so a delivery rewrites the buckets of its keys.
+    Sources without versions (events, invoices) grow without end, so they are partitioned by their day,
+    only touched days are rewritten, and the days are logged for the refresh of facts. A delivery that
+    replaces nothing is added without rewriting anything."""
+    partition = BUCKET if spec.version else DAY
+    if spec.version:
+        landed = landed.withColumn(BUCKET, bucket_of(spec.key))
+    else:
         landed = landed.withColumn(DAY, F.to_date(safe_timestamp(F.col(spec.checked_time))))
-    if not store.exists(RAW, spec.name):
-        store.replace(landed, RAW, spec.name, by_day)
-    elif not replaces:
-        store.append(landed, RAW, spec.name, by_day)
-    elif by_day:
-        merge_by_key(store, RAW, spec.name, landed, spec.key, DAY)
+    there = store.exists(RAW, spec.name)
+    touched = None
+    if partition == DAY:
+        held = store.read(RAW, spec.name) if there and replaces else landed
+        touched = touched_partitions(held, landed, spec.key, DAY)
+        log_days(store, spec.name, run.run_id, now, touched)
+    if not there:
+        store.replace(landed, RAW, spec.name, [partition])
+    elif replaces:
+        merge_by_key(store, RAW, spec.name, landed, spec.key, partition, touched)
     else:
-        store.replace(upsert(store.read(RAW, spec.name), landed, spec.key), RAW, spec.name)
+        store.append(landed, RAW, spec.name, [partition])
 
 
 def ingest_all(

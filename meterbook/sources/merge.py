@@ -7,32 +7,47 @@ from pyspark.sql import functions as F
 
 from meterbook.sources.store import Store
 
+BUCKET = "_bucket"
+# Buckets of a table that is kept by key hash. Fixed once the table is there; a larger warehouse needs more.
+BUCKETS = 16
 
-def merge_by_key(store: Store, layer: str, table: str, incoming: DataFrame, key: str, partition: str) -> None:
+
+def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
+    """The partition of a key: a delivery knows the partitions of its keys without looking them up."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def touched_partitions(target: DataFrame, incoming: DataFrame, key: str, partition: str) -> list:
+    """The partitions that hold a row of an incoming key now or will hold one.
+
+    Finding them reads the key column only, of all partitions, unless the partition follows from the
+    key. ``partition`` is a calendar column or a bucket, so the list is short.
+    """
+    touched = incoming.select(partition)
+    if partition != BUCKET:
+        touched = touched.union(target.join(incoming.select(key), key, "left_semi").select(partition))
+    return [r[partition] for r in touched.distinct().collect()]
+
+
+def merge_by_key(
+    store: Store, layer: str, table: str, incoming: DataFrame, key: str, partition: str, touched: list | None = None
+) -> list:
     """Replace the rows of the incoming keys and add the new ones, rewriting only what they touch.
 
-    Touched are the partitions that hold a row of an incoming key now or will hold one. Finding
-    them reads the key column only. ``partition`` is a calendar column, so their list is short. The
-    store writes the new content to a separate place first: no plan overwrites the files it reads.
-    ``incoming`` is read several times and should be a stored copy.
+    The store writes the new content to a separate place first: no plan overwrites the files it reads.
+    ``incoming`` is read several times and should be a stored copy. Returns the partitions rewritten.
     """
     target = store.read(layer, table)
-    keys = incoming.select(key)
-    held = target.join(keys, key, "left_semi").select(partition)
-    touched = [r[partition] for r in held.union(incoming.select(partition)).distinct().collect()]
-    if not touched:
-        return
-    within = _in(partition, touched)
-    kept = target.filter(within).join(keys, key, "left_anti")
-    content = kept.unionByName(incoming.select(*kept.columns))
-    if content.select(partition).distinct().count() == len(touched):
-        store.replace_partitions(content, layer, table, [partition])
-    else:
-        # A partition lost its last row; replacing partitions would leave its old files behind.
-        store.replace(target.filter(~within).unionByName(content), layer, table, [partition])
-
-
-def _in(partition: str, values: list) -> Column:
+    if touched is None:
+        touched = touched_partitions(target, incoming, key, partition)
+    if touched:
+        kept = target.filter(within(partition, touched)).join(incoming.select(key), key, "left_anti")
+        content = kept.unionByName(incoming.select(*kept.columns))
+        store.replace_partitions(content, layer, table, partition, touched)
+    return touched
+
+
+def within(partition: str, values: list) -> Column:
     """Membership that also finds the partition of missing values."""
     found = F.coalesce(F.col(partition).isin([v for v in values if v is not None]), F.lit(False))
     return found | F.col(partition).isNull() if None in values else found

@@ -2,7 +2,8 @@
 
 A replacement is written to the next version's folder and counts once Spark has marked it complete,
 so a job that dies halfway leaves readers on the previous version, and no plan overwrites what it
-reads.
+reads. Partitions are replaced inside a version, through a complete copy beside it. Readers never
+write; a table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,26 +52,41 @@ class Store:
         return f"{self.folder(layer, table)}/v{version}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        version = self._settled(layer, table)
+        """The newest complete version. A reader changes nothing: where a replacement of partitions is
+        complete but not moved in yet, its partitions are read from where they are."""
+        version = self.version(layer, table)
         if not version:
             raise MissingTable(f"{layer}.{table}")
-        return self._read(self.path(layer, table, version))
+        path = self.path(layer, table, version)
+        redo = self._redo(path)
+        if redo is None:
+            return self._read(path)
+        settled = self._read(path)
+        replaced = [name.partition("=")[2] for name in (*self._partitions(f"{path}.redo"), *redo["emptied"])]
+        if not replaced:
+            return settled
+        rest = settled.filter(~_within(redo["partition"], replaced))
+        return rest.unionByName(self._read(f"{path}.redo").select(*settled.columns))
 
     def _read(self, path: str) -> DataFrame:
-        reader = self.spark.read
-        files, where = self._files(f"{path}.schema")
-        if files.exists(where):
-            stream = files.open(where)
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            stream.close()
-            reader = reader.schema(T.StructType.fromJson(json.loads(text)))
+        note = self._note(f"{path}.schema")
+        reader = self.spark.read if note is None else self.spark.read.schema(T.StructType.fromJson(note["schema"]))
         return reader.parquet(path)
 
-    def _keep_schema(self, df: DataFrame, path: str) -> None:
+    def _note(self, path: str) -> dict | None:
+        files, where = self._files(path)
+        if not files.exists(where):
+            return None
+        stream = files.open(where)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return json.loads(text)
+
+    def _keep_schema(self, df: DataFrame, path: str, **more) -> None:
         """A partitioned table without rows has no file to tell its columns."""
         files, where = self._files(f"{path}.schema")
         stream = files.create(where, True)
-        stream.write(bytearray(df.schema.json(), "utf-8"))
+        stream.write(bytearray(json.dumps({"schema": df.schema.jsonValue(), **more}), "utf-8"))
         stream.close()
 
     def replace(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -86,45 +102,55 @@ class Store:
 
     def append(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> None:
         """Add rows to the current version."""
-        path = self.path(layer, table, max(self._settled(layer, table), 1))
+        path = self.path(layer, table, max(self.recover(layer, table), 1))
         _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
-    def replace_partitions(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> None:
-        """Replace the partitions ``df`` has rows for; ``df`` may read the table itself.
+    def replace_partitions(
+        self, df: DataFrame, layer: str, table: str, partition: str, replaced: Sequence | None = None
+    ) -> None:
+        """Replace the partitions ``df`` has rows for, and empty those of ``replaced`` it has none for.
 
-        Spark replaces a partition by deleting it and moving the new files in. So the new content is
-        written completely beside the version first; if the replacement dies, the next reader or
-        writer of the table repeats it from there.
+        ``df`` may read the table itself. Spark replaces a partition by deleting it and moving the new
+        files in. So the new content is written completely beside the version first; if the
+        replacement dies, readers find the content there and the next writer moves it in. A table has
+        one writer at a time.
         """
-        path = self.path(layer, table, self._settled(layer, table))
-        _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}.redo")
-        self._keep_schema(df, f"{path}.redo")
-        self._move_in(path, partition_by)
-
-    def _settled(self, layer: str, table: str) -> int:
-        """The newest complete version, after finishing a replacement of partitions that broke off."""
+        path = self.path(layer, table, self.recover(layer, table))
+        _balanced(df, [partition]).write.mode("overwrite").partitionBy(partition).parquet(f"{path}.redo")
+        written = set(self._partitions(f"{path}.redo"))
+        emptied = [name for v in replaced or () if (name := _partition_name(partition, v)) not in written]
+        self._keep_schema(df, f"{path}.redo", partition=partition, emptied=emptied)
+        self._move_in(path)
+
+    def recover(self, layer: str, table: str) -> int:
+        """Finish a replacement of partitions that broke off; returns the newest complete version."""
         version = self.version(layer, table)
         path = self.path(layer, table, version)
-        if self.path_exists(f"{path}.redo.schema"):
-            first = next(iter(self._partitions(f"{path}.redo")), "")
-            self._move_in(path, [first.partition("=")[0]] if first else [])
+        if self._redo(path) is not None:
+            self._move_in(path)
         elif version and self.path_exists(f"{path}.redo"):
             self._delete(f"{path}.redo")  # never completed
         return version
 
+    def _redo(self, path: str) -> dict | None:
+        return self._note(f"{path}.redo.schema")
+
     def _partitions(self, path: str) -> list[str]:
         files, where = self._files(path)
         return [n for s in files.listStatus(where) if "=" in (n := s.getPath().getName())]
 
-    def _move_in(self, path: str, partition_by: Sequence[str]) -> None:
+    def _move_in(self, path: str) -> None:
+        redo = self._redo(path)
         if self._partitions(f"{path}.redo"):
             (
-                _balanced(self._read(f"{path}.redo"), partition_by)
+                _balanced(self._read(f"{path}.redo"), [redo["partition"]])
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*partition_by)
+                .partitionBy(redo["partition"])
                 .parquet(path)
             )
+        for name in redo["emptied"]:
+            self._delete(f"{path}/{name}")
         self._delete(f"{path}.redo.schema")
         self._delete(f"{path}.redo")
 
@@ -137,6 +163,19 @@ class Store:
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partition_name(partition: str, value) -> str:
+    return f"{partition}={NO_VALUE if value is None else value}"
+
+
+def _within(partition: str, shown: Sequence[str]) -> Column:
+    """Membership in partitions given by how their folders show them."""
+    found = F.coalesce(F.col(partition).cast("string").isin([v for v in shown if v != NO_VALUE]), F.lit(False))
+    return found | F.col(partition).isNull() if NO_VALUE in shown else found
+
+
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Gather the rows of a partition into few files; a partition that is too big is split again."""
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df

@@ -218,14 +218,56 @@ def test_replacement_that_breaks_off_loses_nothing(spark, store, monkeypatch):
     store.replace(rows, "raw", "t", ["day"])
     new = spark.createDataFrame([(1, 100), (2, 200)], "day int, id int")
 
-    def dies(path, partition_by):
+    def dies(path):
         store._delete(f"{path}/day=1")  # the old partition is gone, the new one isn't there yet
         raise RuntimeError("lost")
 
     monkeypatch.setattr(store, "_move_in", dies)
     with pytest.raises(RuntimeError):
-        store.replace_partitions(new, "raw", "t", ["day"])
+        store.replace_partitions(new, "raw", "t", "day", [1, 2, 3])
     monkeypatch.undo()
-    expected = {(d, i) for d in (0, 3) for i in range(5)} | {(1, 100), (2, 200)}
-    assert {tuple(r) for r in store.read("raw", "t").select("day", "id").collect()} == expected
-    assert not store.path_exists(store.path("raw", "t", 1) + ".redo")
+    expected = {(0, i) for i in range(5)} | {(1, 100), (2, 200)}
+
+    def held():
+        return {tuple(r) for r in store.read("raw", "t").select("day", "id").collect()}
+
+    redo = store.path("raw", "t", 1) + ".redo"
+    assert held() == expected and store.path_exists(redo)  # a reader repairs nothing
+    store.recover("raw", "t")
+    assert held() == expected and not store.path_exists(redo)
+
+
+def test_reading_during_a_replacement_leaves_it_alone(spark, store, monkeypatch):
+    store.replace(spark.createDataFrame([(d, i) for d in (0, 1, None) for i in range(2)], "day int, id int"), "raw", "t", ["day"])
+    whole, seen = store._move_in, []
+
+    def read_first(path):
+        seen.append(sorted((tuple(r) for r in store.read("raw", "t").select("day", "id").collect()), key=str))
+        whole(path)
+
+    monkeypatch.setattr(store, "_move_in", read_first)
+    store.replace_partitions(spark.createDataFrame([(1, 7)], "day int, id int"), "raw", "t", "day", [1, None])
+    assert seen == [[(0, 0), (0, 1), (1, 7)]]
+    assert rows(store.read("raw", "t"), "day", "id") == seen[0]
+
+
+def test_an_updated_entity_rewrites_one_bucket(store, tmp_path):
+    header = ",".join(SOURCES["users"].columns)
+
+    def deliver(name, now, *keys):
+        lines = [header, *(f"{k},o1,a@b.example,US,2024-01-01,web,{name},2024-01-01,2024-01-0{now}" for k in keys)]
+        folder = write(tmp_path / name, "users.csv", "\n".join(lines) + "\n")
+        return ingest.ingest_source(store, SOURCES["users"], folder, datetime(2024, 6, now))
+
+    def files():
+        return {r[0] for r in store.read("raw", "users").select("_metadata.file_path").collect()}
+
+    keys = [f"u{i}" for i in range(200)]
+    deliver("a", 1, *keys)
+    before = files()
+    run = deliver("b", 2, "u7", "new")
+    assert (run.rows_inserted, run.rows_updated) == (1, 1)
+    landed = store.read("raw", "users")
+    buckets = landed.filter("user_id in ('u7', 'new')").select("_bucket").distinct().count()
+    assert len(before - files()) == buckets and len(before) > 10
+    assert rows(landed.filter("status = 'b'"), "user_id") == [("new",), ("u7",)] and landed.count() == 201
