@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 
 from meterbook.functions import month_start
 from meterbook.operators import history, incremental
-from meterbook.plans import facts, intermediate
+from meterbook.plans import facts, intermediate, staging
 from meterbook.plans.warehouse import Warehouse
 from meterbook.session import durable_copy
 from meterbook.sources.ingest import DAY
+from meterbook.sources.key_index import KeyIndex
 from meterbook.sources.merge import merge_by_key
 from meterbook.sources.registry import SOURCES
 from meterbook.sources.store import Store
@@ -70,24 +71,32 @@ def refresh_daily_fact(
 
 
 def refresh_invoices(
-    store: Store, invoices: DataFrame, rebuild: Callable[[DataFrame], DataFrame], full_refresh: bool = False
+    store: Store,
+    landed: DataFrame,
+    stage: Callable[[DataFrame], DataFrame],
+    rebuild: Callable[[DataFrame], DataFrame],
+    full_refresh: bool = False,
 ) -> DataFrame:
     """INC-03 on a stored fact that is partitioned by the month of issue.
 
-    Only months that held or now hold a touched invoice are rewritten.
+    Only rows that landed after the watermark are staged: the newest version of an invoice wins, so a
+    version that landed since beats all that landed before. An index tells which months hold touched
+    invoices; those months and the ones that now get them are rewritten.
     """
     table = "fact_invoices"
+    index = KeyIndex(store, ANALYTICS, table, "invoice_id", MONTH)
 
     def with_month(df: DataFrame) -> DataFrame:
         return df.withColumn(MONTH, month_start(F.to_date("issued_at")))
 
     if full_refresh or not store.exists(ANALYTICS, table):
-        return store.replace(with_month(rebuild(invoices)), ANALYTICS, table, [MONTH]).drop(MONTH)
-    target = store.read(ANALYTICS, table)
-    mark = incremental.read_watermark(target)
-    touched = invoices.filter(incremental.ingested_after("_ingested_at", mark))
-    with durable_copy(with_month(rebuild(touched))) as rebuilt:
-        merge_by_key(store, ANALYTICS, table, rebuilt, "invoice_id", MONTH)
+        whole = store.replace(with_month(rebuild(stage(landed))), ANALYTICS, table, [MONTH]).drop(MONTH)
+        index.rebuild()
+        return whole
+    mark = incremental.read_watermark(store.read(ANALYTICS, table))
+    fresh = landed.filter(incremental.ingested_after("_ingested_at", mark))
+    with durable_copy(with_month(rebuild(stage(fresh)))) as rebuilt, index.following(rebuilt) as months:
+        merge_by_key(store, ANALYTICS, table, rebuilt, "invoice_id", MONTH, months)
     return store.read(ANALYTICS, table).drop(MONTH)
 
 
@@ -176,7 +185,9 @@ def build(store: Store, lazy: Warehouse, full_refresh: bool = False) -> Warehous
 
     base = {
         **whole(staged, ANALYTICS, (*DIMENSIONS, "fact_subscriptions")),
-        "fact_invoices": lambda: refresh_invoices(store, staged.stg_invoices, invoice_rows, full_refresh),
+        "fact_invoices": lambda: refresh_invoices(
+            store, lazy.raw("invoices"), lambda rows: staging.invoices(rows, lazy.unique_raw), invoice_rows, full_refresh
+        ),
         "fact_product_usage": lambda: refresh_daily_fact(
             store, "fact_product_usage", staged.stg_product_events, "event_timestamp", "event_count", product_rows,
             full_refresh, _days_of(lazy, "product_events"), "product_events",

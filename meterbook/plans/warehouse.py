@@ -40,7 +40,7 @@ class Warehouse:
         self.as_of = as_of
         self.usage_as_of = usage_as_of or as_of
         self.window_days = window_days
-        self._unique = unique_raw
+        self.unique_raw = unique_raw
         self._activity = activity  # what retention counts as activity, product usage by default
         # Tables already written win over the plans that would compute them.
         self._stored = dict(stored or {})
@@ -57,14 +57,14 @@ class Warehouse:
             self.as_of,
             self.usage_as_of,
             self.window_days,
-            self._unique,
+            self.unique_raw,
             {**self._stored, **stored},
             self._activity,
         )
 
     def lands_by(self, source: str, day: str) -> bool:
         """Whether the rows of some days can be read alone: a duplicate could lie on a day that is left out."""
-        return self._unique and day in self.raw(source).columns
+        return self.unique_raw and day in self.raw(source).columns
 
     def landed_days(self, source: str, day: str, days: list) -> Warehouse:
         """The same warehouse over some days of a source, if it landed partitioned by day.
@@ -82,35 +82,35 @@ class Warehouse:
     # staging
     @cached_property
     def stg_organizations(self):
-        return staging.organizations(self.raw("organizations"), self._unique)
+        return staging.organizations(self.raw("organizations"), self.unique_raw)
 
     @cached_property
     def stg_users(self):
-        return staging.users(self.raw("users"), self._unique)
+        return staging.users(self.raw("users"), self.unique_raw)
 
     @cached_property
     def stg_subscriptions(self):
-        return staging.subscriptions(self.raw("subscriptions"), self._unique)
+        return staging.subscriptions(self.raw("subscriptions"), self.unique_raw)
 
     @cached_property
     def stg_invoices(self):
-        return staging.invoices(self.raw("invoices"), self._unique)
+        return staging.invoices(self.raw("invoices"), self.unique_raw)
 
     @cached_property
     def stg_product_events(self):
-        return staging.product_events(self.raw("product_events"), self._unique)
+        return staging.product_events(self.raw("product_events"), self.unique_raw)
 
     @cached_property
     def stg_api_usage(self):
-        return staging.api_usage(self.raw("api_usage"), self._unique)
+        return staging.api_usage(self.raw("api_usage"), self.unique_raw)
 
     @cached_property
     def stg_crm_accounts(self):
-        return staging.crm_accounts(self.raw("crm_accounts"), self._unique)
+        return staging.crm_accounts(self.raw("crm_accounts"), self.unique_raw)
 
     @cached_property
     def stg_marketing_events(self):
-        return staging.marketing_events(self.raw("marketing_events"), self._unique)
+        return staging.marketing_events(self.raw("marketing_events"), self.unique_raw)
 
     # intermediate
     @cached_property

@@ -8,7 +8,7 @@ the same built warehouse share it within a session.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from meterbook.operators.paging import Page
 from meterbook.plans import build, facts, intermediate, metrics, reads, staging
 from meterbook.plans.warehouse import Warehouse
 from meterbook.quality import checks, declared, reconcile, rules, runner
-from meterbook.session import scratch_folder
+from meterbook.session import durable, scratch_folder
 from meterbook.sources import audit, ingest
 from meterbook.sources.bindings import EVENT_AS_OF, EVENT_WINDOW_DAYS, SUBSCRIPTION_AS_OF, Bindings
 from meterbook.sources.registry import SOURCES
@@ -243,9 +243,57 @@ def invoices_after_update(b: Bindings) -> DataFrame:
     def rebuild(rows: DataFrame) -> DataFrame:
         return facts.fact_invoices(intermediate.customer_revenue(rows, w.stg_subscriptions), w.stg_organizations)
 
-    early = staging.invoices(b.invoices().filter(F.col("_ingested_at") <= fn.time_literal(INVOICES_AFTER)))
-    build.refresh_invoices(store, early, rebuild)
-    return build.refresh_invoices(store, w.stg_invoices, rebuild)
+    early = b.invoices().filter(F.col("_ingested_at") <= fn.time_literal(INVOICES_AFTER))
+    build.refresh_invoices(store, early, staging.invoices, rebuild)
+    return build.refresh_invoices(store, b.invoices(), staging.invoices, rebuild)
+
+
+def _requests_in_two_deliveries(b: Bindings) -> tuple[Store, DataFrame]:
+    """Requests landed by two deliveries, and the fact refreshed after each. The first has a part of the
+    requests, some under a wrong day; the second has the others, and corrects those."""
+
+    def make() -> tuple[Store, DataFrame]:
+        store, organizations = _new_store(b, "deliveries"), b.warehouse().stg_organizations
+        whole, n = b.api_usage().select(*SOURCES["api_usage"].columns), _number("request_id")
+        wrong = F.date_format(F.col("request_timestamp").try_cast("timestamp") - F.expr("interval 40 days"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        first = whole.filter(n % 3 > 0).withColumn("request_timestamp", F.when(n % 50 == 1, wrong).otherwise(F.col("request_timestamp")))
+        for i, rows in enumerate((first, whole.filter((n % 3 == 0) | (n % 50 == 1)))):
+            now, folder = LANDED_AT + timedelta(days=10 * i), f"{store.root}/delivery-{i}"
+            rows.write.parquet(f"{folder}/{SOURCES['api_usage'].file_name}")
+            ingest.ingest_source(store, SOURCES["api_usage"], folder, now)
+            fact = _refresh_requests(store, organizations)
+        return store, fact
+
+    return _once(b, "deliveries", make)
+
+
+def _refresh_requests(store: Store, organizations: DataFrame, full_refresh: bool = False) -> DataFrame:
+    landed = store.read(ingest.RAW, "api_usage")
+
+    def days(wanted: list) -> DataFrame:
+        return staging.api_usage(landed.filter(F.col(ingest.DAY).isin(wanted)), unique=True)
+
+    return build.refresh_daily_fact(
+        store, "fact_api_usage", staging.api_usage(landed, unique=True), "request_timestamp", "request_count",
+        lambda rows: facts.fact_api_usage(rows, organizations), full_refresh, days, "api_usage",
+    )
+
+
+def landed_usage_refreshed(b: Bindings) -> DataFrame:
+    """INC-01, INC-02: the fact after two deliveries, the second refresh led by the log of touched days."""
+    return _requests_in_two_deliveries(b)[1].drop("_last_ingested_at")
+
+
+def full_refresh_equals_incremental(b: Bindings) -> DataFrame:
+    """INC-05: the requests of each day as refreshed and as built anew."""
+    def make() -> DataFrame:
+        store, refreshed = _requests_in_two_deliveries(b)
+        kept = refreshed.groupBy("date_day").agg(F.sum("request_count").alias("refreshed_requests"))
+        anew = _refresh_requests(store, b.warehouse().stg_organizations, full_refresh=True)
+        anew = anew.groupBy("date_day").agg(F.sum("request_count").alias("rebuilt_requests"))
+        return durable(kept.join(anew, "date_day", "full_outer"))
+
+    return _once(b, "deliveries-anew", make)
 
 
 # --- history -------------------------------------------------------------------------------------
@@ -502,6 +550,8 @@ SCENARIOS: dict[str, Callable[[Bindings], DataFrame]] = {
     "inc_fact_after_late_rows": usage_after_late_rows,
     "inc_stored_fact_after_late_rows": stored_api_usage_after_late_rows,
     "inc_invoices_after_update": invoices_after_update,
+    "inc_landed_usage_refreshed": landed_usage_refreshed,
+    "inc_full_refresh_equals_incremental": full_refresh_equals_incremental,
     "scd2_history": account_history,
     "scd2_current": current_accounts,
     "scd2_previous_status": previous_account_status,

@@ -154,6 +154,13 @@ class Store:
         self._delete(f"{path}.redo.schema")
         self._delete(f"{path}.redo")
 
+    def put_note(self, path: str) -> None:
+        files, where = self._files(path)
+        files.create(where, True).close()
+
+    def remove_note(self, path: str) -> None:
+        self._delete(path)
+
     def _delete(self, path: str) -> None:
         files, where = self._files(path)
         files.delete(where, True)

@@ -2,7 +2,9 @@
 
 Each micro-batch is stored by event day and the days it touches are rebuilt from all stored rows
 of those days, so an event may be any amount of time late. Duplicates are settled over the stored
-rows, where a bounded streaming state would have to forget them.
+rows, where a bounded streaming state would have to forget them. An index from event to day, in key-hash
+buckets, tells which stored days hold an event that comes again; stored rows and index are gathered every
+few batches.
 """
 
 from __future__ import annotations
@@ -19,10 +21,12 @@ from meterbook.functions import safe_timestamp
 from meterbook.operators.dedup import latest_per_key
 from meterbook.plans import staging
 from meterbook.plans.facts import fact_product_usage
+from meterbook.sources.merge import BUCKET, bucket_of, within
 from meterbook.sources.registry import SOURCES
+from meterbook.streaming.batches import GATHER_AFTER, BatchTable
 
 KEY = "event_id"
-DAY, BATCH, MARKER = "event_day", "batch", "is_marker"
+DAY, MARKER = "event_day", "is_marker"
 COLUMNS = SOURCES["product_events"].columns
 LANDED = (
     SOURCES["product_events"]
@@ -30,11 +34,20 @@ LANDED = (
     .add("_source_file", T.StringType())
     .add("_run_id", T.StringType())
 )
-STORED = T.StructType(list(LANDED)).add(MARKER, T.BooleanType()).add(BATCH, T.LongType()).add(DAY, T.DateType())
+STORED = T.StructType(list(LANDED)).add(MARKER, T.BooleanType()).add(DAY, T.DateType())
+INDEXED = T.StructType().add(KEY, T.StringType()).add(DAY, T.DateType()).add(BUCKET, T.IntegerType())
 
 
-def newest(rows: DataFrame) -> DataFrame:
-    return latest_per_key(rows, [KEY], ["_ingested_at"], tie_break=[c for c in COLUMNS if c != KEY])
+def newest(rows: DataFrame, *within: str) -> DataFrame:
+    return latest_per_key(rows, [KEY, *within], ["_ingested_at"], tie_break=[c for c in COLUMNS if c != KEY])
+
+
+def newest_by_day(rows: DataFrame) -> DataFrame:
+    """What a day needs to know of its events. An event's own rows outlast copies of the same version."""
+    rank = [c for c in COLUMNS if c != KEY]
+    marker = F.when(F.col(MARKER), 0).otherwise(1)
+    own = rows.withColumn("_own", marker)
+    return latest_per_key(own, [KEY, DAY], ["_ingested_at"], tie_break=[*rank, "_own"]).drop("_own")
 
 
 @dataclass(frozen=True)
@@ -46,9 +59,16 @@ class UsageStream:
     users: DataFrame
     organizations: DataFrame
 
+    gather_after: int = GATHER_AFTER
+
+    @property
+    def events(self) -> BatchTable:
+        return BatchTable(self.spark, f"{self.folder}/events", STORED, DAY)
+
     @property
-    def events_path(self) -> str:
-        return f"{self.folder}/events"
+    def index(self) -> BatchTable:
+        """The days that hold a row of an event."""
+        return BatchTable(self.spark, f"{self.folder}/event_days", INDEXED, BUCKET)
 
     @property
     def fact_path(self) -> str:
@@ -59,28 +79,18 @@ class UsageStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch. Running the same batch again gives the same folders and the same days."""
+        self.events.gather(batch_id, self.gather_after, newest_by_day)
+        self.index.gather(batch_id, self.gather_after, DataFrame.distinct)
         day = F.to_date(safe_timestamp(F.col("event_timestamp")))
-        arrived = batch.select(*LANDED.names, F.lit(False).alias(MARKER), day.alias(DAY))
-        self._store(arrived, batch_id, "overwrite")
-        self._store(self._markers(batch_id), batch_id, "append")
-        touched = self._stored().filter((F.col(BATCH) == batch_id) & F.col(DAY).isNotNull())
+        self.events.write(batch.select(*LANDED.names, F.lit(False).alias(MARKER), day.alias(DAY)), batch_id)
+        arrived = self.events.of_batch(batch_id)
+        self.index.write(arrived.select(KEY, DAY, bucket_of(KEY).alias(BUCKET)).distinct(), batch_id)
+        self.events.write(self._markers(batch_id), batch_id, "append")
         # The days of one batch are bounded by the calendar.
-        days = [r[DAY] for r in touched.select(DAY).distinct().collect()]
+        days = [r[DAY] for r in self.events.of_batch(batch_id).select(DAY).distinct().collect() if r[DAY]]
         if days:
             self._rebuild(days)
 
-    def _store(self, rows: DataFrame, batch_id: int, mode: str) -> None:
-        (
-            rows.hint("rebalance", F.col(DAY))
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(DAY)
-            .parquet(f"{self.events_path}/{BATCH}={batch_id}")
-        )
-
-    def _stored(self) -> DataFrame:
-        return self.spark.read.schema(STORED).option("basePath", self.events_path).parquet(self.events_path)
-
     def _markers(self, batch_id: int) -> DataFrame:
         """Copies of the newest version of an event for the other days that hold a version of it.
 
@@ -88,18 +98,19 @@ class UsageStream:
         version that comes late must not count beside a newer one. With these copies every day can
         tell the newest version of its events by itself, so a rebuild reads only its own days.
         """
-        rows = self._stored().filter(~F.col(MARKER) & (F.col(BATCH) <= batch_id))
-        ids = rows.filter(F.col(BATCH) == batch_id).select(KEY).distinct()
-        # Only ids are looked up in all that is stored; whole rows are read of the days found.
-        known = rows.select(KEY, DAY).join(ids, KEY, "left_semi").select(DAY).distinct().collect()
-        days = [r[DAY] for r in known if r[DAY] is not None]
-        versions = rows.filter(F.col(DAY).isNull() | F.col(DAY).isin(days)).join(ids, KEY, "left_semi")
-        held = versions.filter(F.col(DAY).isNotNull()).select(KEY, F.col(DAY).alias("_held")).distinct()
-        elsewhere = newest(versions).join(held, KEY).filter(~F.col("_held").eqNullSafe(F.col(DAY)))
+        ids = self.index.of_batch(batch_id).select(KEY, BUCKET).distinct()
+        buckets = [r[BUCKET] for r in ids.select(BUCKET).distinct().collect()]
+        found = self.index.read().filter(F.col(BUCKET).isin(buckets)).join(ids.select(KEY), KEY, "left_semi")
+        held = found.select(KEY, F.col(DAY).alias("_held")).distinct()
+        # Whole rows are read only of days that hold one of the events.
+        days = [r["_held"] for r in held.select("_held").distinct().collect()]
+        versions = self.events.read().filter(within(DAY, days)).join(ids.select(KEY), KEY, "left_semi")
+        own = newest(versions.filter(~F.col(MARKER)))
+        elsewhere = own.join(held.filter("_held is not null"), KEY).filter(~F.col("_held").eqNullSafe(F.col(DAY)))
         return elsewhere.select(*LANDED.names, F.lit(True).alias(MARKER), F.col("_held").alias(DAY))
 
     def _rebuild(self, days: list) -> None:
-        rows = newest(self._stored().filter(F.col(DAY).isin(days)))
+        rows = newest(self.events.read().filter(F.col(DAY).isin(days)))
         staged = staging.product_events(rows, unique=True).filter(F.to_date("event_timestamp").isin(days))
         fact = fact_product_usage(staged, self.users, self.organizations)
         (

@@ -332,6 +332,14 @@ def results(columns_of: dict[str, str]) -> dict[str, tuple[str, str]]:
         "inc_fact_after_late_rows": same_as("fact_product_usage"),
         "inc_stored_fact_after_late_rows": same_as("fact_api_usage"),
         "inc_invoices_after_update": same_as("fact_invoices"),
+        "inc_landed_usage_refreshed": (
+            same_as("fact_api_usage")[0].replace("_last_ingested_at", ""), same_as("fact_api_usage")[1]
+        ),
+        "inc_full_refresh_equals_incremental": (
+            "date_day refreshed_requests rebuilt_requests",
+            """SELECT date_day, sum(request_count) AS refreshed_requests, sum(request_count) AS rebuilt_requests
+               FROM fact_api_usage GROUP BY date_day""",
+        ),
         "scd2_history": (_VERSION, "SELECT * FROM account_versions"),
         "scd2_current": (_VERSION, "SELECT * FROM account_versions WHERE valid_to IS NULL"),
         "scd2_previous_status": (

@@ -39,3 +39,21 @@ def test_out_of_order_files_and_moved_events_equal_a_batch(spark, tmp_path):
     # a batch that is processed again leaves the same fact
     stream.process(raw(spark, "product_events", *files[2]), 2)
     assert rows(stream.fact(), *COLUMNS) == rows(want, *COLUMNS)
+
+
+def test_what_a_batch_reads_does_not_grow_with_batches(spark, tmp_path):
+    users = staging.users(raw(spark, "users", user("u1")))
+    organizations = staging.organizations(raw(spark, "organizations", org("o1")))
+    stream = daily_usage.UsageStream(spark, str(tmp_path / "state"), users, organizations, gather_after=2)
+    everything, folders, files = [], [], []
+    for i in range(8):
+        at = f"2024-05-0{1 + i % 2}T10:00:00Z"
+        # one new event a batch, and one that comes again on the other day
+        landed = [event(f"e{i}", at), event("moving", at, _ingested_at=f"2024-05-03 00:00:0{i}")]
+        everything += landed
+        stream.process(raw(spark, "product_events", *landed).coalesce(1), i)
+        folders.append(len(os.listdir(stream.events.folder)) + len(os.listdir(stream.index.folder)))
+        files.append(len(stream.index.read().inputFiles()))
+        want = fact_product_usage(staging.product_events(raw(spark, "product_events", *everything)), users, organizations)
+        assert rows(stream.fact(), *COLUMNS) == rows(want, *COLUMNS)
+    assert max(folders) <= 6 and max(files[2:]) <= 10
