@@ -64,15 +64,28 @@ def safe_integer(c: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("bigint"))
 
 
+# Dates that are not ``yyyy-mm-dd...``: how they are written, in the order they are tried.
+OTHER_DATES = {
+    r"[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}": "yyyy/M/d",
+    r"[0-9]{4}/[0-9]{1,2}/[0-9]{1,2} [0-9]{1,2}:[0-9]{2}:[0-9]{2}": "yyyy/M/d H:mm:ss",
+    r"[0-9]{8}": "yyyyMMdd",
+    r"[0-9]{8}T[0-9]{6}": "yyyyMMdd'T'HHmmss",
+}
+
+
 def safe_timestamp(c: Column) -> Column:
     """FN-09: a timestamp, or NULL.
 
     The cast alone accepts "now" (whose value changes) and "2025", so the text must first look like
-    ``yyyy-mm-dd...``. Plain position tests are used since they are much cheaper than a pattern.
+    ``yyyy-mm-dd...``. Plain position tests are used since they are much cheaper than a pattern; only
+    text that fails them is held against the other ways to write a date.
     """
     text = F.trim(c)
     dated = (F.length(text) >= 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
-    return F.when(dated, text.try_cast("timestamp"))
+    found = F.when(dated, text.try_cast("timestamp"))
+    for shape, written in OTHER_DATES.items():
+        found = found.when(text.rlike(rf"^{shape}\z"), F.try_to_timestamp(text, F.lit(written)))
+    return found
 
 
 def closed_vocabulary(c: Column, allowed: Sequence[str]) -> Column:

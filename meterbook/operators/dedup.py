@@ -27,18 +27,27 @@ def latest_per_key(
     return first_per_key(df, keys, order)
 
 
-def mark_newest(
-    df: DataFrame, key: str, version: str | None, position: Sequence[str], row_id: Sequence[str], flag: str
-) -> DataFrame:
-    """VAL-06: flag the row that wins its key and keep the others, which become rejects.
+def _rank(version: str | None, position: Sequence[str]) -> Column:
+    newest = F.coalesce(F.col(version), F.lit("")) if version else F.lit("")
+    return F.struct(newest.alias("_version"), *position)
+
+
+def newest_of_repeated(df: DataFrame, key: str, version: str | None, position: Sequence[str]) -> DataFrame:
+    """VAL-06: keys that occur twice or more, with the rank of the row that wins: the greatest
+    ``version`` text, the later ``position`` on a tie (or just the later position without a version).
 
-    The winner is the greatest ``version`` text, the later ``position`` on a tie (or just the later
-    position if there is no version). Winners come from an aggregate, which combines before the
-    shuffle, and go back to the rows by ``row_id``, which is unique, so no task ever holds all the
-    copies of a hot key.
+    The aggregate combines before the shuffle, so no task holds all the copies of a hot key.
     """
-    newest = F.coalesce(F.col(version), F.lit("")) if version else F.lit("")
-    rank = F.struct(newest.alias("_version"), *dict.fromkeys([*position, *row_id]))
-    best = df.groupBy(key).agg(F.max(rank).alias("_best"))
-    winners = best.select(*[F.col(f"_best.{c}").alias(c) for c in row_id], F.lit(True).alias("_won"))
-    return df.join(winners, list(row_id), "left").withColumn(flag, F.coalesce("_won", F.lit(False))).drop("_won")
+    found = df.groupBy(key).agg(F.count("*").alias("_n"), F.max(_rank(version, position)).alias("_best"))
+    return found.filter("_n > 1").drop("_n")
+
+
+def mark_newest(
+    df: DataFrame, key: str, version: str | None, position: Sequence[str], flag: str, repeated: DataFrame | None = None
+) -> DataFrame:
+    """VAL-06: flag the row that wins its key; the others become rejects. Only keys that are repeated
+    (``repeated``, from ``newest_of_repeated`` over the same rows) have a partner in the join. ``position``
+    must be stored with the rows and unique, not counted anew with each scan."""
+    repeated = newest_of_repeated(df, key, version, position) if repeated is None else repeated
+    wins = F.col("_best").isNull() | _rank(version, position).eqNullSafe(F.col("_best"))
+    return df.join(repeated, key, "left").withColumn(flag, wins).drop("_best")

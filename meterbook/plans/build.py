@@ -8,7 +8,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from meterbook.functions import month_start
 from meterbook.operators import history, incremental
@@ -17,7 +16,7 @@ from meterbook.plans.warehouse import Warehouse
 from meterbook.session import durable_copy
 from meterbook.sources.ingest import DAY
 from meterbook.sources.key_index import KeyIndex
-from meterbook.sources.merge import merge_by_key
+from meterbook.sources.merge import BUCKETS, bucket_of, merge_by_key
 from meterbook.sources.registry import SOURCES
 from meterbook.sources.store import Store
 from meterbook.sources.touched import days_touched, has_log
@@ -33,6 +32,8 @@ MARTS = (
     "mart_revenue_churn", "mart_customer_ltv", "mart_api_usage",
 )
 MONTH = "issued_month"
+# Partitions of a stored history.
+PART, OPEN, CLOSED = "_part", "open-", "closed-"
 
 
 def refresh_daily_fact(
@@ -100,39 +101,49 @@ def refresh_invoices(
     return store.read(ANALYTICS, table).drop(MONTH)
 
 
-def refresh_history(store: Store, table: str, source: DataFrame, key: str, run_at: datetime) -> DataFrame:
-    """SCD-01..03 stored: versions that close are added to the closed ones, the open ones are rewritten.
+def refresh_history(
+    store: Store, table: str, source: DataFrame, key: str, run_at: datetime, buckets: int = BUCKETS
+) -> DataFrame:
+    """SCD-01..03 stored: one table whose partitions are buckets of open versions and closed versions by run.
 
-    The closed part of a run carries the number of the open version it goes with and counts only
-    once that version is complete. A run that is repeated after a failure overwrites its own part.
+    Hashes of the rows tell which buckets a run changes; only those are rewritten, together with the
+    versions the run closes, in one replacement of partitions. So a run counts as a whole or not at
+    all, and repeating it changes nothing.
     """
-    current = f"{table}_current"
-    version = store.version(SNAPSHOTS, current)
-    if not version:
-        store.replace(history.first_history(source), SNAPSHOTS, current)
+    bucket = F.concat(F.lit(OPEN), bucket_of(key, buckets))
+    if not store.exists(SNAPSHOTS, table):
+        store.replace(history.first_history(source).withColumn(PART, bucket), SNAPSHOTS, table, [PART])
         return read_history(store, table)
-    with durable_copy(history.merge_current(store.read(SNAPSHOTS, current), source, key, run_at)) as merged:
-        closed = merged.filter(F.col(history.TO).isNotNull())
-        closed.write.mode("overwrite").parquet(_closed_part(store, table, version + 1))
-        store.replace(history.current_versions(merged), SNAPSHOTS, current)
+    store.recover(SNAPSHOTS, table)
+    current = store.read(SNAPSHOTS, table).filter(F.col(PART).startswith(OPEN))
+    columns = [c for c in current.columns if c != PART]
+    with durable_copy(history.merge_current(current.drop(PART), source, key, run_at)) as merged:
+        opened = history.current_versions(merged).withColumn(PART, bucket)
+        before, after = (_part_hashes(rows, columns) for rows in (current, opened))
+        differs = ~F.col("before").eqNullSafe(F.col("after"))
+        both = before.withColumnRenamed("rows", "before").join(after.withColumnRenamed("rows", "after"), PART, "full_outer")
+        # At most one row per bucket.
+        changed = [r[PART] for r in both.filter(differs).collect()]
+        if changed:
+            closed = merged.filter(F.col(history.TO).isNotNull()).withColumn(PART, F.lit(_next_closed(store, table)))
+            rows = opened.filter(F.col(PART).isin(changed)).unionByName(closed)
+            store.replace_partitions(rows, SNAPSHOTS, table, PART, changed)
     return read_history(store, table)
 
 
-def _closed_part(store: Store, table: str, version: int) -> str:
-    return f"{store.folder(SNAPSHOTS, table)}_closed/part={version}"
+def _part_hashes(rows: DataFrame, columns: list[str]) -> DataFrame:
+    content = F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("hash"))
+    return rows.groupBy(PART).agg(content.alias("rows"))
+
+
+def _next_closed(store: Store, table: str) -> str:
+    parts = store.partitions(SNAPSHOTS, table)
+    return f"{CLOSED}{1 + sum(name.startswith(f'{PART}={CLOSED}') for name in parts):06d}"
 
 
 def read_history(store: Store, table: str) -> DataFrame:
     """All versions of a stored history."""
-    current = f"{table}_current"
-    version = store.version(SNAPSHOTS, current)
-    versions = store.read(SNAPSHOTS, current)
-    if version > 1:
-        closed = store.spark.read.schema(T.StructType([*versions.schema, T.StructField("part", T.IntegerType())])).parquet(
-            f"{store.folder(SNAPSHOTS, table)}_closed"
-        )
-        versions = versions.unionByName(closed.filter(F.col("part") <= version).drop("part"))
-    return versions
+    return store.read(SNAPSHOTS, table).drop(PART)
 
 
 SUBSCRIPTION_HISTORY = (

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from meterbook.functions import safe_timestamp, time_literal
 from meterbook.operators import validate
-from meterbook.operators.dedup import mark_newest
+from meterbook.operators.dedup import mark_newest, newest_of_repeated
 from meterbook.operators.upsert import upsert_counts
 from meterbook.session import durable_copy
 from meterbook.sources import audit
 from meterbook.sources.merge import BUCKET, bucket_of, merge_by_key, touched_partitions
-from meterbook.sources.readers import POSITION, ROW_ID, read_source
+from meterbook.sources.readers import PLACE, read_source
 from meterbook.sources.registry import INGESTION_ORDER, SOURCES, SourceSpec
 from meterbook.sources.store import Store
 from meterbook.sources.touched import log_days
@@ -35,17 +35,31 @@ def validated(rows: DataFrame, spec: SourceSpec) -> DataFrame:
     return checked.withColumn("_reason", F.coalesce("_parse_error", "_reason"))
 
 
-def settled(checked: DataFrame, spec: SourceSpec) -> DataFrame:
+def repeated_keys(checked: DataFrame, spec: SourceSpec) -> DataFrame:
+    """VAL-06, first step: the keys that a delivery has twice or more, each with the row that wins."""
+    good = checked.filter(F.col("_reason").isNull())
+    return newest_of_repeated(good.select(spec.key, *_ranked_by(spec)), spec.key, spec.version, PLACE)
+
+
+def _ranked_by(spec: SourceSpec) -> list[str]:
+    return [*([spec.version] if spec.version else []), *PLACE]
+
+
+def settled(checked: DataFrame, repeated: DataFrame, spec: SourceSpec) -> DataFrame:
     """VAL-06: rows with ``_kept``. Losing duplicates get a reason and become rejects.
 
     Duplicates are settled over the whole delivery. Settling them in batches, with a later batch
     overwriting an earlier one, could let an older version win; here the newest always wins.
+    ``checked`` is a stored copy: the place of a row is what was written, not counted again.
     """
-    good = checked.filter(F.col("_reason").isNull())
-    bad = checked.filter(F.col("_reason").isNotNull()).withColumn("_kept", F.lit(False))
-    marked = mark_newest(good, spec.key, spec.version, POSITION, ROW_ID, "_kept")
-    marked = marked.withColumn("_reason", F.when(~F.col("_kept"), validate.DUPLICATE))
-    return marked.unionByName(bad)
+    if repeated.isEmpty():
+        return checked.withColumn("_kept", F.col("_reason").isNull())
+    # A rejected row does not compete for its key.
+    competes = checked.withColumn("_key", F.when(F.col("_reason").isNull(), F.col(spec.key)))
+    marked = mark_newest(competes, "_key", spec.version, PLACE, "_wins", repeated.withColumnRenamed(spec.key, "_key"))
+    kept = F.col("_reason").isNull() & F.col("_wins")
+    reason = F.when(F.col("_reason").isNull() & ~F.col("_wins"), validate.DUPLICATE).otherwise(F.col("_reason"))
+    return marked.withColumns({"_kept": kept, "_reason": reason}).drop("_wins", "_key")
 
 
 def status_of(run: audit.Run) -> str:
@@ -71,7 +85,9 @@ def ingest_source(store: Store, spec: SourceSpec, folder: str, now: datetime) ->
 
 def _load(store: Store, spec: SourceSpec, path: str, run: audit.Run, now: datetime) -> None:
     rows = read_source(store.spark, spec, path)
-    with durable_copy(settled(validated(rows, spec), spec)) as outcome:
+    # The delivery is scanned and parsed once; everything after reads the copy.
+    with durable_copy(validated(rows, spec)) as checked, durable_copy(repeated_keys(checked, spec)) as repeated:
+        outcome = settled(checked, repeated, spec)
         landed = outcome.filter("_kept").select(
             *spec.columns,
             time_literal(now).alias("_ingested_at"),

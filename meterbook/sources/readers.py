@@ -1,8 +1,7 @@
 """Scans of the three file formats into text columns.
 
-Each scan adds ``_source_file``, the row's place (``POSITION``: file, block and running number give
-the order of rows in the source; ``ROW_ID``, a scan and its running number, is unique) and
-``_parse_error`` / ``_raw_line`` for lines that are no record.
+Each scan adds ``_source_file``, the row's place (``PLACE``: file, block and running number give the order
+of rows in the source, and with the scan they are unique) and ``_parse_error`` / ``_raw_line`` for lines that are no record.
 """
 
 from __future__ import annotations
@@ -19,8 +18,7 @@ NOT_AN_OBJECT = "line is not a JSON object"
 JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
-POSITION = ("_file", "_block", "_number")
-ROW_ID = ("_scan", "_number")
+PLACE = ("_file", "_block", "_number", "_scan")
 
 
 def _scan_columns(scan: int = 0) -> list[Column]:
@@ -33,7 +31,7 @@ def _scan_columns(scan: int = 0) -> list[Column]:
     ]
 
 
-_PLACE = ("_source_file", "_file", "_block", "_number", "_scan")
+_PLACE = ("_source_file", *PLACE)
 
 
 def _no_errors(df: DataFrame) -> DataFrame:

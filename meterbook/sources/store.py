@@ -110,10 +110,9 @@ class Store:
     ) -> None:
         """Replace the partitions ``df`` has rows for, and empty those of ``replaced`` it has none for.
 
-        ``df`` may read the table itself. Spark replaces a partition by deleting it and moving the new
-        files in. So the new content is written completely beside the version first; if the
-        replacement dies, readers find the content there and the next writer moves it in. A table has
-        one writer at a time.
+        ``df`` may read the table itself. The new content is written completely beside the version
+        first, then its folders are moved in; if that breaks off, readers find the content where it is
+        and the next writer moves the rest. A table has one writer at a time.
         """
         path = self.path(layer, table, self.recover(layer, table))
         _balanced(df, [partition]).write.mode("overwrite").partitionBy(partition).parquet(f"{path}.redo")
@@ -135,20 +134,22 @@ class Store:
     def _redo(self, path: str) -> dict | None:
         return self._note(f"{path}.redo.schema")
 
+    def partitions(self, layer: str, table: str) -> list[str]:
+        """The partition folders of the newest complete version."""
+        return self._partitions(self.path(layer, table, self.version(layer, table)))
+
     def _partitions(self, path: str) -> list[str]:
         files, where = self._files(path)
         return [n for s in files.listStatus(where) if "=" in (n := s.getPath().getName())]
 
     def _move_in(self, path: str) -> None:
+        """Folders are renamed one by one; what is still beside the version is what is left to do."""
         redo = self._redo(path)
-        if self._partitions(f"{path}.redo"):
-            (
-                _balanced(self._read(f"{path}.redo"), [redo["partition"]])
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(redo["partition"])
-                .parquet(path)
-            )
+        for name in self._partitions(f"{path}.redo"):
+            self._delete(f"{path}/{name}")
+            files, where = self._files(f"{path}.redo/{name}")
+            if not files.rename(where, self._files(f"{path}/{name}")[1]):
+                raise OSError(f"cannot move {where}")
         for name in redo["emptied"]:
             self._delete(f"{path}/{name}")
         self._delete(f"{path}.redo.schema")

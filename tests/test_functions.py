@@ -108,3 +108,18 @@ def test_recurring_active_keeps_future_cancellations(spark):
     assert active("canceled", "2024-05-01") is False
     assert active("canceled", None) is None
     assert active("past_due", None) is False
+
+
+def test_other_ways_to_write_a_date(spark):
+    from datetime import datetime as t
+
+    from meterbook.functions import safe_timestamp
+
+    cases = {
+        "2025/01/02": t(2025, 1, 2), " 2025/1/2 ": t(2025, 1, 2), "2025/01/02 3:04:05": t(2025, 1, 2, 3, 4, 5),
+        "20250102": t(2025, 1, 2), "20250102T030405": t(2025, 1, 2, 3, 4, 5), "2025-01-02": t(2025, 1, 2),
+        "20251302": None, "2025/02/30": None, "2025": None, "now": None, "": None, "2025/01/02x": None, None: None,
+    }
+    frame = spark.createDataFrame([(k,) for k in cases], "text string")
+    got = {r[0]: r[1] for r in frame.select("text", safe_timestamp(F.col("text"))).collect()}
+    assert got == cases

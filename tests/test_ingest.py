@@ -271,3 +271,105 @@ def test_an_updated_entity_rewrites_one_bucket(store, tmp_path):
     buckets = landed.filter("user_id in ('u7', 'new')").select("_bucket").distinct().count()
     assert len(before - files()) == buckets and len(before) > 10
     assert rows(landed.filter("status = 'b'"), "user_id") == [("new",), ("u7",)] and landed.count() == 201
+
+
+def test_a_delivery_is_scanned_once_and_only_repeated_keys_are_joined(spark, store, tmp_path, monkeypatch):
+    seen = []
+    settle = ingest.settled
+
+    def watched(checked, repeated, spec):
+        outcome = settle(checked, repeated, spec)
+        seen.append((repeated.count(), outcome._jdf.queryExecution().executedPlan().toString(), checked.inputFiles()))
+        return outcome
+
+    monkeypatch.setattr(ingest, "settled", watched)
+    folder = write(tmp_path / "in", "organizations.csv", ORGANIZATIONS)
+    ingest.ingest_source(store, SOURCES["organizations"], folder, NOW)
+    lines = ORGANIZATIONS.splitlines()
+    ingest.ingest_source(store, SOURCES["organizations"], write(tmp_path / "once", "organizations.csv", "\n".join(lines[:2]) + "\n"), NOW)
+    (repeated, plan, files), (none, simple, _) = seen
+    # The plan reads the stored copy and the list of repeated keys, not the delivery.
+    assert repeated == 1 and plan.count("FileScan parquet") == 2 and "FileScan csv" not in plan
+    assert none == 0 and "Join" not in simple and simple.count("FileScan") == 1
+    assert all("durable" in f for f in files)
+
+
+def test_the_log_finds_days_without_an_aggregate_of_all_rows(spark, store, tmp_path):
+    from meterbook.plans import build
+    from meterbook.sources import touched
+
+    def deliver(name, now, *requests):
+        columns = SOURCES["api_usage"].columns
+        data = [{**dict.fromkeys(columns), "request_id": i, "request_timestamp": t, "organization_id": "o1"} for i, t in requests]
+        frame = spark.createDataFrame([tuple(r[c] for c in columns) for r in data], SOURCES["api_usage"].schema)
+        frame.write.parquet(str(tmp_path / name / "api_usage.parquet"))
+        ingest.ingest_source(store, SOURCES["api_usage"], str(tmp_path / name), now)
+
+    wanted = []
+
+    def refresh():
+        from meterbook.plans import facts, staging
+
+        landed = store.read("raw", "api_usage")
+
+        def days(found):
+            wanted.append(sorted(found))
+            return staging.api_usage(landed.filter(F.col("_day").isin(found)), unique=True)
+
+        organizations = spark.createDataFrame([("o1",)], "organization_id string")
+        fact = build.refresh_daily_fact(
+            store, "fact_api_usage", staging.api_usage(landed, unique=True), "request_timestamp", "request_count",
+            lambda rows: facts.fact_api_usage(rows, organizations), False, days, "api_usage",
+        )
+        return rows(fact, "date_day", "request_count")
+
+    d = lambda n: datetime(2024, 5, n).date()
+    deliver("a", datetime(2024, 6, 1), ("r1", "2024-05-01"), ("r2", "2024-05-02"), ("r3", "2024-05-03"))
+    assert refresh() == [(d(1), 1), (d(2), 1), (d(3), 1)]
+    # one moves and leaves its day empty, one is new on another day
+    deliver("b", datetime(2024, 7, 1), ("r2", "2024-05-09"), ("r4", "2024-05-01"))
+    assert refresh() == [(d(1), 2), (d(3), 1), (d(9), 1)]
+    deliver("c", datetime(2024, 8, 1), ("r5", "2024-05-20"))
+    assert refresh() == [(d(1), 2), (d(20), 1), (d(3), 1), (d(9), 1)]
+    # the lookback takes in the delivery before, not all that ever landed
+    assert wanted == [[d(1), d(2), d(3), d(9)], [d(1), d(2), d(9), d(20)]]
+    days = touched.days_touched(store, "api_usage", datetime(2024, 6, 28))
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(inge" in plan and plan.count("FileScan") == 1
+    scan = staging_plan(spark, store, [d(1)])
+    assert "PartitionFilters: [_day" in scan or "PartitionFilters: [isnotnull(_day" in scan
+
+
+def staging_plan(spark, store, days):
+    from meterbook.plans import staging
+
+    rows = staging.api_usage(store.read("raw", "api_usage").filter(F.col("_day").isin(days)), unique=True)
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_history_run_rewrites_only_buckets_that_change(spark, store, monkeypatch):
+    from meterbook.plans import build
+
+    def source(*changed):
+        rows = [(f"k{i}", "new" if f"k{i}" in changed else "old", datetime(2024, 3 if f"k{i}" in changed else 1, 1)) for i in range(100)]
+        return spark.createDataFrame(rows, "k string, status string, updated_at timestamp")
+
+    def files(part):
+        found = store.read("snapshots", "h").filter(F.col("_part").startswith(part)).select("_metadata.file_path")
+        return {r[0] for r in found.collect()}
+
+    build.refresh_history(store, "h", source(), "k", NOW)
+    first = files("open-")
+    build.refresh_history(store, "h", source(), "k", NOW)
+    assert files("open-") == first and not files("closed-")
+    build.refresh_history(store, "h", source("k7"), "k", NOW)
+    second, closed = files("open-"), files("closed-")
+    assert len(first - second) == 1 and len(closed) == 1
+    build.refresh_history(store, "h", source("k7").filter("k <> 'k9'"), "k", NOW)
+    assert closed < files("closed-") and len(second - files("open-")) == 1
+    versions = build.read_history(store, "h")
+    assert rows(versions.filter("k in ('k7', 'k9')"), "k", "status", "valid_from", "valid_to") == [
+        ("k7", "new", datetime(2024, 3, 1), None), ("k7", "old", datetime(2024, 1, 1), datetime(2024, 3, 1)),
+        ("k9", "old", datetime(2024, 1, 1), NOW),
+    ]
+    assert versions.count() == 101

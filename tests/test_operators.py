@@ -39,9 +39,9 @@ def test_latest_per_key_prunes_before_the_shuffle(spark):
 def test_mark_newest_by_version_then_position(spark):
     data = [("a", "2", 1), ("a", "3", 2), ("a", "3", 3), ("b", None, 4), ("b", "1", 5), ("c", None, 6)]
     df = spark.createDataFrame(data, "k string, version string, pos long")
-    kept = {r["pos"] for r in mark_newest(df, "k", "version", ["pos"], ["pos"], "kept").filter("kept").collect()}
+    kept = {r["pos"] for r in mark_newest(df, "k", "version", ["pos"], "kept").filter("kept").collect()}
     assert kept == {3, 5, 6}
-    last = {r["pos"] for r in mark_newest(df, "k", None, ["pos"], ["pos"], "kept").filter("kept").collect()}
+    last = {r["pos"] for r in mark_newest(df, "k", None, ["pos"], "kept").filter("kept").collect()}
     assert last == {3, 5, 6}
 
 
