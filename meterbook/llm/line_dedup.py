@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
 from meterbook.llm.components import SKETCH_WORDS, components, open_pairs, parity_sketch, sketch_array
-from meterbook.llm.tables import BROADCAST_IDS, join_ids, partitions, written
+from meterbook.llm.tables import BROADCAST_IDS, free_name, join_ids, partitions, written
 
 SIZE = 7
 BANDS, ROWS = 14, 4
@@ -264,21 +264,32 @@ def without_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_colu
     """``docs`` without the lines that aren't kept; a document none of whose lines stays goes.
 
     All columns stay; ``n_chars``, if there, counts the new text. Documents without lines stay as they are.
+    Where an id is null or repeated, rows are told apart by a number of their own instead.
     """
+    ids = docs.groupBy(F.col(id_column).alias("id")).agg(F.count("*").alias("n"))
+    if not ids.where("id is null or n > 1").isEmpty():
+        row = free_name(docs, "_row")
+        numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        return _without(numbered, row, text_column).select(*docs.columns)
+    return _without(docs, id_column, text_column)
+
+
+def _without(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    found_id, gone_lines, stay, rest = (free_name(docs, n) for n in ("_gone_id", "_gone", "_stay", "_rest"))
     gone = written(
         line_classes(docs, id_column, text_column)
-        .groupBy(F.col("doc_id").alias("_gone_id"))
-        .agg(F.collect_set(F.when(~F.col("kept"), F.col("line_no"))).alias("_gone"), F.count_if("kept").alias("_stay"))
-        .where(F.size("_gone") > 0),
+        .groupBy(F.col("doc_id").alias(found_id))
+        .agg(F.collect_set(F.when(~F.col("kept"), F.col("line_no"))).alias(gone_lines), F.count_if("kept").alias(stay))
+        .where(F.size(gone_lines) > 0),
         "gone",
     )
-    small = (gone.agg(F.sum(F.size("_gone"))).first()[0] or 0) <= BROADCAST_IDS
-    joined = docs.join(F.broadcast(gone) if small else gone, docs[id_column].cast("bigint") == gone["_gone_id"], "left")
-    joined = joined.where("_stay is null or _stay > 0")
-    left = F.filter(F.split(text_column, "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    joined = joined.withColumn("_left", F.when(F.col("_gone").isNotNull(), left))
-    text = F.when(F.col("_left").isNull(), F.col(text_column)).otherwise(F.array_join("_left", "\n"))
+    small = (gone.agg(F.sum(F.size(gone_lines))).first()[0] or 0) <= BROADCAST_IDS
+    joined = docs.join(F.broadcast(gone) if small else gone, docs[id_column].cast("bigint") == gone[found_id], "left")
+    joined = joined.where(F.col(stay).isNull() | (F.col(stay) > 0))
+    left = F.filter(F.split(text_column, "\n"), lambda x, i: ~F.array_contains(gone_lines, i))
+    joined = joined.withColumn(rest, F.when(F.col(gone_lines).isNotNull(), left))
+    text = F.when(F.col(rest).isNull(), F.col(text_column)).otherwise(F.array_join(rest, "\n"))
     out = joined.withColumn(text_column, text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_left").isNull(), F.col("n_chars")).otherwise(F.length(text_column).cast("bigint")))
+        out = out.withColumn("n_chars", F.when(F.col(rest).isNull(), F.col("n_chars")).otherwise(F.length(text_column).cast("bigint")))
     return out.select(*docs.columns)

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.tables import partitions, written
+from meterbook.llm.tables import partitions, receive, send, written
 
 SHORTLIST = 1024
 ENDINGS = 255
@@ -200,7 +200,7 @@ def _class_sums(lists):
     """By class: tokens, and the sum of (count + 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, sums = lists.value, np.zeros((2, CLASSES))
+        own, sums = receive(lists), np.zeros((2, CLASSES))
         for batch in batches:
             for h, n, e in _opened(batch):
                 c, _ = own.classes_of(h, e.astype(np.int64))
@@ -290,7 +290,7 @@ def _replica(lists, model):
     """A replica trained over one task's documents, and the number of its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, replica, seen, state = lists.value, LogBilinear(np.zeros(CLASSES)), 0, {}
+        own, replica, seen, state = receive(lists), LogBilinear(np.zeros(CLASSES)), 0, {}
         replica.load(model.value[0])
         replica.noise = model.value[1]
         rng = np.random.Generator(np.random.PCG64(5))
@@ -350,7 +350,7 @@ def _scored(lists, model, buckets: int):
     names = [c.split()[0] for c in ROWS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = lists.value
+        own = receive(lists)
         flat, noise, table, shares = model.value
         lm = LogBilinear(np.zeros(CLASSES))
         lm.load(flat)
@@ -444,7 +444,7 @@ def score(docs: DataFrame) -> DataFrame:
     counted = train.select("text").mapInArrow(_counted(buckets), _PACKED).repartition(width, "bucket").sortWithinPartitions("bucket")
     vocabulary = written(counted.mapInArrow(_vocabulary, _PACKED), "vocabulary")
     lists = lists_of(vocabulary)
-    sent = spark.sparkContext.broadcast(lists)
+    sent = send(spark, lists)
     sums = vocabulary.mapInArrow(_class_sums(sent), "class bigint, n double, share double").groupBy("class").agg(F.sum("n"), F.sum("share"))
     frequencies, shares = np.zeros(CLASSES), np.zeros(CLASSES)
     for c, n, share in sums.collect():  # CLASSES rows
@@ -461,11 +461,10 @@ def score(docs: DataFrame) -> DataFrame:
     entries = scored.where("kind = 1").select("kind", "bucket", "hashes", "a")
     met = vocabulary.select("kind", "bucket", "hashes", "a").unionAll(entries)
     rare = met.repartition(width, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_rare_sums, "row_key bigint, known bigint, logs double")
+    direct = scored.where("kind = 2").select("row_key", "doc_id", "held_out", "n_tokens", "n_known", "base", "model")
+    # Equal rows share a key, and the sums are those of all of them.
     rare = rare.groupBy("row_key").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
-    own = ["row_key", "doc_id", "held_out"]
-    direct = scored.where("kind = 2").groupBy(*own).agg(
-        F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("n_tokens", "n_known", "base", "model")]
-    )
+    rare = rare.join(direct.groupBy("row_key").agg(F.count("*").alias("rows")), "row_key")
     logs = F.coalesce(F.col("logs") / F.col("rows"), F.lit(0.0))
     known = F.coalesce((F.col("known") / F.col("rows")).cast("bigint"), F.lit(0))
     return direct.join(rare, "row_key", "left").select(

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterbook.llm import text as tx
-from meterbook.llm.tables import BROADCAST_IDS, written
+from meterbook.llm.tables import BROADCAST_IDS, free_name, written
 
 BUCKETS = 16384
 # Log weights are told apart in steps of 1/4 between -64 and 64 when the cut is chosen.
@@ -172,8 +172,9 @@ class Resampler:
 
     def selected(self, docs: DataFrame) -> DataFrame:
         """The selected rows of ``docs``, with their columns."""
-        key = F.col("_log_weight") + gumbel("_id")
-        weighed = log_weights(docs.withColumn("_id", F.col("doc_id").cast("bigint")), self.log_ratio, "_log_weight")
+        number, weight = free_name(docs, "_id"), free_name(docs, "_log_weight")
+        key = F.col(weight) + gumbel(number)
+        weighed = log_weights(docs.withColumn(number, F.col("doc_id").cast("bigint")), self.log_ratio, weight)
         return weighed.where(key >= F.lit(self.least)).select(*docs.columns)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +37,20 @@ def join_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
 
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def send(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of an object whose class travels with it: executors need not have this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def receive(sent: Broadcast):
+    return pickle.loads(sent.value)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores in front, so that no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.tables import BROADCAST_IDS, written
+from meterbook.llm.tables import BROADCAST_IDS, receive, send, written
 
 SAMPLE = 8000  # labelled training documents
 LANDMARKS = 48
@@ -369,7 +369,7 @@ class Machine:
 
 def _scored(machine):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = machine.value
+        own = receive(machine)
         reader = Reader(own.landmarks) if own.landmarks else None
         for batch in batches:
             score = own.scores(reader, batch.column(2)) if reader else np.zeros(len(batch))
@@ -395,7 +395,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    machine = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    machine = send(docs.sparkSession, fit(docs, labels))
     base = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(True)).alias("held_out"),

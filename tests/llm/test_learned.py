@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from meterbook.llm import html_extract, lm_score, quality_classifier, toxicity
-from tests.llm.helpers import SCHEMA, corpus, documents, prose, words
+from meterbook.llm.line_dedup import without_repeated_lines
+from tests.llm.helpers import ODD, SCHEMA, corpus, documents, prose, words
 
 
 def test_main_text():
@@ -211,3 +215,31 @@ def test_pipeline_stages(spark, small):
     packed = corpus_pipeline.STAGES[-1][1](spark, last, small)
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in last.collect()}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "line_dedup", "ngram_join", "decontamination", "packing"]
+
+
+def test_every_row_is_scored_also_a_repeated_one(spark):
+    docs = documents(spark, [*ODD, *(prose(i, 60) for i in range(10))])
+    twice = docs.unionAll(docs.where("doc_id % 3 = 0"))
+    got = lm_score.score(twice).collect()
+    assert len(got) == twice.count()
+    assert len({(r["doc_id"], r["base_score"], r["score"], r["n_known"]) for r in got}) == docs.count()
+
+
+def test_objects_travel_to_executors_without_this_package(spark, tmp_path):
+    from meterbook.llm.tables import send
+
+    script = "import pickle, sys; print(type(pickle.loads(sys.stdin.buffer.read())).__name__, 'meterbook' in sys.modules)"
+    done = subprocess.run([sys.executable, "-I", "-c", script], input=send(spark, lm_score.LogBilinear(np.ones(4))).value, capture_output=True, cwd=tmp_path)
+    assert done.stdout.split() == [b"LogBilinear", b"False"], done.stderr
+
+
+def test_columns_of_any_name_and_ids_with_several_texts(spark):
+    rows = [(0, "shared line of some words", 1, 2, 3), (5, "the only copy of it", 1, 2, 3), (5, "shared line of some words", 1, 2, 3), (None, "alone", 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _stay int, _gone int, _log_weight int")
+    kept = without_repeated_lines(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["text"] for r in kept.collect()) == ["alone", "shared line of some words", "the only copy of it"]
+    one = docs.where("doc_id = 0").withColumn("_row", F.lit(1))
+    assert without_repeated_lines(one).count() == 1
+    labels = spark.createDataFrame([(0, 1, 0), (5, 0, 0)], "doc_id bigint, quality int, toxic int")
+    assert quality_classifier.keep_selected(docs.withColumn("_id", F.lit(3)), labels).columns == [*docs.columns, "_id"]
