@@ -28,6 +28,8 @@ HEADLINE = [
     "ingest_reject_reasons",
     "inc_stored_fact_after_late_rows",
     "inc_invoices_after_update",
+    "inc_landed_usage_refreshed",
+    "scd2_subscription_history",
     "stream_daily_usage",
 ]
 

@@ -53,7 +53,7 @@ def _detail(sources: MetricSources, given: dict[str, Any], limit: int) -> DataFr
     w = sources.warehouse
     return reads.customer_detail(
         given["organization_id"], w.dim_organizations, w.fact_subscriptions, w.mart_customer_ltv,
-        w.fact_product_usage, w.fact_api_usage, as_of=w.usage_as_of,
+        w.fact_product_usage, w.fact_api_usage, as_of=w.usage_as_of, window_days=w.window_days,
     )
 
 

@@ -498,10 +498,20 @@ def _customer_details(w: Warehouse) -> DataFrame:
 
 
 def latest_quality_run(b: Bindings) -> DataFrame:
-    """QRY-15, QRY-17."""
+    """QRY-15."""
     _quality(b)
     store = built(b)[0]
-    run = reads.latest_quality_run(store.read(runner.LAYER, runner.RUNS), store.read(runner.LAYER, runner.RESULTS))
+    return _flat_run(reads.latest_quality_run(store.read(runner.LAYER, runner.RUNS), store.read(runner.LAYER, runner.RESULTS)))
+
+
+def quality_run_by_id(b: Bindings) -> DataFrame:
+    """QRY-17: the run with the id that the run itself gave."""
+    run, store = _quality(b), built(b)[0]
+    runs, results = store.read(runner.LAYER, runner.RUNS), store.read(runner.LAYER, runner.RESULTS)
+    return _flat_run(reads.quality_run_detail(runs, results, run.run_id))
+
+
+def _flat_run(run: DataFrame) -> DataFrame:
     flat = run.select("overall_status", "total_checks", F.explode("results").alias("r"))
     return flat.select("overall_status", "total_checks", "r.category", "r.test_name", "r.severity", "r.status",
                        "r.failed_rows", "r.total_rows")
@@ -598,6 +608,7 @@ SCENARIOS: dict[str, Callable[[Bindings], DataFrame]] = {
     "qry_customers_page": _served(lambda w: reads.customers(w.dim_organizations, "enterprise", limit=50, offset=10)),
     "qry_customer_detail": _served(_customer_details),
     "qry_quality_latest": latest_quality_run,
+    "qry_quality_run_by_id": quality_run_by_id,
     "qry_quality_runs": quality_run_list,
     "qry_metric_lookup": metric_lookup,
     "stream_daily_usage": streamed_usage,

@@ -471,6 +471,10 @@ def results(columns_of: dict[str, str]) -> dict[str, tuple[str, str]]:
             "overall_status total_checks category test_name severity status failed_rows total_rows",
             "SELECT * FROM check_results CROSS JOIN (SELECT overall_status, total_checks FROM run_summary)",
         ),
+        "qry_quality_run_by_id": (
+            "overall_status total_checks category test_name severity status failed_rows total_rows",
+            "SELECT * FROM check_results CROSS JOIN (SELECT overall_status, total_checks FROM run_summary)",
+        ),
         "qry_quality_runs": (
             "started_at overall_status total_checks passed_checks warned_checks failed_checks",
             f"SELECT {EVT} AS started_at, * FROM run_summary",
