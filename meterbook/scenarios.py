@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,6 +169,19 @@ def landing_report(b: Bindings) -> DataFrame:
     )
 
 
+def landed_lineage(b: Bindings) -> DataFrame:
+    """SNK-05: landed rows by the run that landed them, and how many of them name a file of the delivery."""
+    store = _landed(b)
+    runs = audit.runs(store).select(F.col("run_id").alias("_run_id"), "source_name", "status")
+    named = F.count_if(F.col("_source_file").startswith("part-")).alias("rows_with_file")
+    landed = [
+        store.read(ingest.RAW, n).groupBy("_run_id", "_ingested_at").agg(F.count("*").alias("rows"), named)
+        for n in SOURCES
+        if store.exists(ingest.RAW, n)
+    ]
+    return reduce(DataFrame.unionByName, landed).join(runs, "_run_id").drop("_run_id")
+
+
 def _upserted(b: Bindings) -> Store:
     """Three deliveries of accounts: those that stayed, all of them, and all of them again."""
 
@@ -554,6 +568,7 @@ SCENARIOS: dict[str, Callable[[Bindings], DataFrame]] = {
     "ingest_landed_events": landed_rows("product_events"),
     "ingest_landed_requests": landed_rows("api_usage"),
     "ingest_report": landing_report,
+    "ingest_lineage": landed_lineage,
     "ingest_upsert_runs": upsert_runs,
     "ingest_upserted_accounts": upserted_accounts,
     "inc_affected_days": affected_days,

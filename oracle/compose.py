@@ -22,7 +22,7 @@ WHOLE = set(
     days_signup_to_paid days_trial_to_paid_conversion year_number quarter_number month_number week_number
     day_of_week_number observed_subscription_count new_user_signups new_organizations cumulative_user_signups
     cumulative_organizations signup_count trial_start_count paid_conversion_count failed_rows total_rows rows
-    violations refreshed_requests rebuilt_requests product_events api_requests total_matching
+    violations rows_with_file refreshed_requests rebuilt_requests product_events api_requests total_matching
     times_run times_failed times_warned total_checks passed_checks warned_checks failed_checks previous_rows
     current_rows k rows_received rows_inserted rows_updated rows_rejected raw_row_count duplicate_keys null_keys versions
     """.split()

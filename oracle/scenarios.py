@@ -310,6 +310,12 @@ def results(columns_of: dict[str, str]) -> dict[str, tuple[str, str]]:
                       n - r AS rows_inserted, 0 AS rows_updated, r AS rows_rejected, 'PARTIAL_SUCCESS' AS status
                FROM received JOIN (SELECT source_name AS source, count(*) AS r FROM rejects GROUP BY 1) USING (source)""",
         ),
+        "ingest_lineage": (
+            "source_name status _ingested_at rows rows_with_file",
+            """SELECT source AS source_name, 'PARTIAL_SUCCESS' AS status, TIMESTAMP '2024-02-01' AS _ingested_at,
+                      n - r AS rows, n - r AS rows_with_file
+               FROM received JOIN (SELECT source_name AS source, count(*) AS r FROM rejects GROUP BY 1) USING (source)""",
+        ),
         "ingest_upsert_runs": (
             "started_at status rows_received rows_inserted rows_updated rows_rejected",
             """SELECT TIMESTAMP '2024-02-01' + to_days(i) AS started_at, 'SUCCESS' AS status,
