@@ -75,6 +75,20 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
 
 
+def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, component`` of ``parts`` after further ``links`` a, b: only the components these touch are worked on."""
+    ends = links
+    for c in ("a", "b"):
+        of = parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
+        ends = ends.join(of, c, "left").withColumn(f"{c}_component", F.coalesce(f"{c}_component", c))
+    moved = written(components(ends.select(F.col("a_component").alias("a"), F.col("b_component").alias("b"))), "moved")
+    if moved.isEmpty():
+        return parts
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = parts.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return written(old.unionAll(moved.join(parts.select("node"), "node", "left_anti").select("node", "component")), "parts")
+
+
 def mixed_groups(stars: DataFrame, parts: DataFrame) -> DataFrame:
     """``sig, doc, component, top`` of the members of groups that are not within one component.
 
@@ -137,8 +151,13 @@ def open_pairs(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested:
     of the largest component, drawn by a hash that differs from group to group: enough to join most sets
     that belong to it, at a cost that follows the members. Without, all of them.
     """
+    return open_pairs_of(mixed_groups(stars, parts), sketches, tested, probes, threshold)
+
+
+def open_pairs_of(mixed: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int]) -> DataFrame:
+    """``open_pairs`` of the members of ``mixed_groups``."""
     slim = sketches.select("doc", "n", folded("sketch").alias("sketch"))
-    sketched = written(mixed_groups(stars, parts).join(slim, "doc"), "mixed")
+    sketched = written(mixed.join(slim, "doc"), "mixed")
     one = sketched.where("component <> top").select("sig", *[F.col(c).alias(f"x_{c}") for c in ("doc", "component", "n", "sketch")])
     other = sketched
     if probes:

@@ -1,6 +1,6 @@
 """Fuzzy deduplication of lines by MinHash (operator 3).
 
-A line's content is its text, trimmed and in lower case; lines of spaces only are never compared and
+A line's content is its text, trimmed and in lower case, character by character; lines of spaces only are never compared and
 always stay. Lines of equal content are one node. Two contents link when the Jaccard similarity of
 their sets of 7-character shingles is at least 0.8 (a shorter content is one shingle). Candidates come
 from MinHash signatures cut into 14 bands of 4 values, which find a pair of similarity 0.8 with
@@ -10,8 +10,8 @@ component by (doc_id, line number) stays.
 
 Contents in one band bucket are not paired with each other: they are compared with one of them, and
 where components still differ, those outside the largest component first with few, then with all of
-the others, unless parity sketches of the shingle sets (a lower bound of their difference) rule it out. Each map batch
-sends one row for a bucket key, so that a very frequent line costs one row per batch.
+the others, unless parity sketches of the shingle sets (a lower bound of their difference) rule it out. A task works
+on 4 MB of text at a time and sends a content once, so that a very frequent line costs one row per task.
 
 Nulls and empty texts have no lines. A document with a null id is neither compared nor changed. Rows
 that repeat a doc_id are one document: equal line numbers stay or go together. Ties in text are broken
@@ -24,37 +24,70 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.components import SKETCH_WORDS, components, open_pairs, parity_sketch, sketch_array
+from meterbook.llm.components import SKETCH_WORDS, components, merged, mixed_groups, open_pairs_of, parity_sketch, sketch_array
 from meterbook.llm.tables import BROADCAST_IDS, free_name, join_ids, partitions, written
 
 SIZE = 7
 BANDS, ROWS = 14, 4
 THRESHOLD = (4, 5)
 PROBES = 2  # of a bucket's largest component, for each content outside it
+STRETCH = 1 << 22  # bytes of text worked on at once; a longer text stands alone
+CHARACTERS = 1 << 18  # hashed at once; a longer content stands alone
+REMEMBERED = 1 << 20  # contents a task knows it has sent already
 
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 
 
-def content(line: str) -> str:
-    return line.strip().lower()
-
-
-def content_hash(text: str) -> int:
-    """A signed 64-bit hash."""
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
+def contents_of(lines: pa.Array) -> pa.Array:
+    return pc.utf8_lower(pc.utf8_trim_whitespace(lines))
 
 
-def band_keys(contents: list[str]) -> np.ndarray:
-    """``BANDS`` 64-bit keys for each content."""
+def content(line: str) -> str:
+    return contents_of(pa.array([line]))[0].as_py()
+
+
+def lines_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]]:
+    """For stretches of whole texts: row and number of each line with a content, its place among the stretch's
+    distinct contents, these, and their signed 64-bit hashes."""
+    _, places = tx.texts(column)
+    for low, high in tx.row_groups(places, STRETCH):
+        split = pc.split_pattern(column.slice(low, high - low), "\n")
+        row = pc.list_parent_indices(split).to_numpy()
+        number = np.arange(len(row)) - np.searchsorted(row, row)
+        found = contents_of(split.flatten())
+        full = pc.greater(pc.binary_length(found), 0)
+        there = full.to_numpy(zero_copy_only=False)
+        if not there.any():
+            continue
+        found = found.filter(full).dictionary_encode()
+        raw = found.dictionary.cast(pa.binary()).to_pylist()
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw)) ^ np.uint64(2**63)
+        yield row[there] + low, number[there], found.indices.to_numpy(), found.dictionary, hashes.view(np.int64)
+
+
+class Sent:
+    """Hashes a task has dealt with; forgets them all where they become many."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.int64)
+
+    def new(self, hashes: np.ndarray) -> np.ndarray:
+        new = ~np.isin(hashes, self.hashes)
+        self.hashes = hashes if len(self.hashes) > REMEMBERED else np.concatenate([self.hashes, hashes[new]])
+        return new
+
+
+def shingle_hashes(contents: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles of all contents, one content after the other, and how many each has."""
     contents = [c.ljust(SIZE, "\0") for c in contents]
     codes = np.frombuffer("".join(contents).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     lengths = np.fromiter(map(len, contents), np.int64, len(contents))
-    windows = lengths - SIZE + 1
     values = np.zeros(len(codes) - SIZE + 1, np.uint64)
     for j in range(SIZE):
         values += codes[j : len(codes) - SIZE + 1 + j] * tx.SHINGLE_VALUE[j]
@@ -62,7 +95,19 @@ def band_keys(contents: list[str]) -> np.ndarray:
     inside = np.ones(len(codes), bool)
     for j in range(1, SIZE):
         inside[ends - j] = False
-    hashes = (tx.mix(values[inside[: len(values)]]) >> np.uint64(32)).astype(np.uint32)
+    return tx.mix(values[inside[: len(values)]]), lengths - SIZE + 1
+
+
+def stretches(contents: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of contents with about ``CHARACTERS`` code points."""
+    ends = np.cumsum(np.fromiter(map(len, contents), np.int64, len(contents)))
+    yield from tx.row_groups(np.concatenate([[0], ends]), CHARACTERS)
+
+
+def band_keys(contents: list[str]) -> np.ndarray:
+    """``BANDS`` 64-bit keys for each content."""
+    hashes, windows = shingle_hashes(contents)
+    hashes = (hashes >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum(windows) - windows
     keys, turned = np.empty((BANDS, len(contents)), np.uint64), np.empty_like(hashes)
     for band in range(BANDS):
@@ -101,41 +146,30 @@ def _first_of_key(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _read_lines(buckets: int):
-    """All lines of a batch, the band keys of its distinct contents, and the star links within the batch."""
+    """All lines, the band keys of distinct contents, and the star links within a stretch of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent, turn = Sent(), 0
         for batch in batches:
-            lines, seen, waiting, keys, nodes, size = [], set(), [], [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for number, line in enumerate((text or "").split("\n")):
-                    line = content(line)
-                    if not line:
-                        continue
-                    h = content_hash(line)
-                    lines.append((h, doc, number))
-                    if h not in seen:
-                        seen.add(h)
-                        nodes.append(h)
-                        waiting.append(line)
-                        size += len(line)
-                        if size > 1 << 18:
-                            keys.append(band_keys(waiting))
-                            waiting, size = [], 0
-            if waiting:
-                keys.append(band_keys(waiting))
-            if not lines:
-                continue
-            every = np.ascontiguousarray(np.array(lines, np.int64).T)
-            yield _packed(LINES, every[0] % buckets, *every)
-            key, node, centre, first = _first_of_key(
-                np.concatenate(keys, axis=1).ravel(), np.tile(np.array(nodes, np.int64), BANDS)
-            )
-            yield _packed(KEYS, (key[first] % np.uint64(buckets)).astype(np.int64), (key[first] >> np.uint64(32)).astype(np.uint32), node[first])
-            rest = ~first
-            if rest.any():
-                at = (key[rest] % np.uint64(buckets)).astype(np.int64)
-                sig = (at << 32) | (key[rest] >> np.uint64(32)).astype(np.int64)
-                yield _packed(STARS, node[rest] % buckets, sig, centre[rest], node[rest])
+            docs = batch.column(0).to_numpy()
+            for row, number, place, contents, hashes in lines_of(batch.column(1)):
+                # Lines and links are only listed: one row for each stretch, dealt over the buckets.
+                turn += 1
+                anywhere = lambda n: np.full(n, (int(docs[row[0]]) + turn) % buckets)  # noqa: E731, B023
+                yield _packed(LINES, anywhere(len(row)), hashes[place], docs[row], number)
+                new = sent.new(hashes)
+                if not new.any():
+                    continue
+                texts, nodes = contents.filter(pa.array(new)).to_pylist(), hashes[new]
+                keys = np.concatenate([band_keys(texts[i:j]) for i, j in stretches(texts)], axis=1)
+                key, node, centre, first = _first_of_key(keys.ravel(), np.tile(nodes, BANDS))
+                at = (key % np.uint64(buckets)).astype(np.int64)
+                key >>= np.uint64(32)
+                yield _packed(KEYS, at[first], key[first].astype(np.uint32), node[first])
+                rest = ~first
+                if rest.any():
+                    sig = (at[rest] << 32) | key[rest].astype(np.int64)
+                    yield _packed(STARS, anywhere(len(sig)), sig, centre[rest], node[rest])
 
     return run
 
@@ -167,14 +201,12 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, content`` of every distinct content of a batch, not of a whole table."""
+    """``node, content`` of the distinct contents of each task, some of them more than once."""
+    sent = Sent()
     for batch in batches:
-        found = {}
-        for text in batch.column(0).to_pylist():
-            for line in (text or "").split("\n"):
-                if line := content(line):
-                    found[content_hash(line)] = line
-        yield pa.record_batch([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["node", "content"])
+        for _, _, _, contents, hashes in lines_of(batch.column(0)):
+            new = sent.new(hashes)
+            yield pa.record_batch([pa.array(hashes[new]), contents.filter(pa.array(new)).cast(pa.string())], ["node", "content"])
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,11 +214,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, sketches = np.zeros(len(batch), np.int64), np.zeros((len(batch), SKETCH_WORDS), np.int64)
         for i, text in enumerate(batch.column(1).to_pylist()):
-            codes = np.frombuffer(text.ljust(SIZE, "\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-            values = np.zeros(len(codes) - SIZE + 1, np.uint64)
-            for j in range(SIZE):
-                values += codes[j : len(codes) - SIZE + 1 + j] * tx.SHINGLE_VALUE[j]
-            values = np.unique(tx.mix(values))
+            values = np.unique(shingle_hashes([text])[0])
             n[i], sketches[i] = len(values), parity_sketch(values)
         yield pa.record_batch([batch.column(0), pa.array(n), sketch_array(sketches)], ["doc", "n", "sketch"])
 
@@ -195,17 +223,37 @@ def shingle_set(text: str) -> set[str]:
     return {text[i : i + SIZE] for i in range(max(1, len(text) - SIZE + 1))}
 
 
+def _laid_out(sets: np.ndarray, begins: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The values of the sets ``which`` side by side, each with its place in ``which`` in front."""
+    count = sizes[which]
+    at = np.repeat(begins[which] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    return sets[at] & _TAIL | np.repeat(np.arange(len(which)).astype(np.uint64) << _PLACE, count)
+
+
+_PLACE, _TAIL = np.uint64(64 - 11), np.uint64(2 ** (64 - 11) - 1)
+ABREAST = 1 << 10  # pairs verified at once, of at most twice as many contents: 11 bits, 53 are left for a shingle
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose whole shingle sets are similar enough; shingles are told apart by 53 bits."""
     up, down = THRESHOLD
     for batch in batches:
-        keep, last, held = [], None, set()
-        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            if a != last:
-                last, held = a, shingle_set(a)
-            other = shingle_set(b)
-            both = len(held & other)
-            keep.append(both * down >= (len(held) + len(other) - both) * up)
-        yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+        size = np.add(*(pc.binary_length(batch.column(i)).to_numpy().astype(np.int64) for i in (2, 3)))
+        for low, high in tx.row_groups(np.concatenate([[0], np.cumsum(size)]), STRETCH):
+            for i in range(low, high, ABREAST):
+                some = batch.slice(i, min(ABREAST, high - i))
+                texts = pa.concat_arrays([some.column(2), some.column(3)]).dictionary_encode()
+                hashes, windows = shingle_hashes(texts.dictionary.to_pylist())
+                place = np.repeat(np.arange(len(windows)).astype(np.uint64) << _PLACE, windows)
+                sets = tx.distinct(place | hashes >> np.uint64(11))
+                begins = np.searchsorted(sets, np.arange(len(windows)).astype(np.uint64) << _PLACE)
+                sizes = np.diff(begins, append=len(sets))
+                a, b = np.split(texts.indices.to_numpy(), 2)
+                both = np.concatenate([_laid_out(sets, begins, sizes, a), _laid_out(sets, begins, sizes, b)])
+                both.sort()
+                shared = np.bincount((both[1:][both[1:] == both[:-1]] >> _PLACE).astype(np.int64), minlength=len(a))
+                keep = shared * down >= (sizes[a] + sizes[b] - shared) * up
+                yield some.filter(pa.array(keep)).select([0, 1])
 
 
 def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -238,11 +286,17 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     contents = written(join_ids(texts, ends, "node", "left_semi").groupBy("node").agg(F.first("content").alias("content")), "contents")
     close = written(_verified(pairs, contents), "close")
     parts = written(components(close), "parts")
-    sketches = written(contents.mapInArrow(_sketches, "doc bigint, n bigint, sketch array<bigint>"), "sketches")
+    sketches = None
     for probes in (PROBES, 0):
-        more = written(open_pairs(stars, parts, sketches, pairs, probes, THRESHOLD), "open")
-        every = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(_verified(more, contents))
-        parts = written(components(every), "parts")
+        mixed = written(mixed_groups(stars, parts), "mixed")
+        if mixed.isEmpty():
+            break
+        if sketches is None:  # groups only close: later rounds need no others
+            members = written(mixed.select(F.col("doc").alias("node")).distinct(), "members")
+            slim = join_ids(contents, members, "node", "left_semi")
+            sketches = written(slim.mapInArrow(_sketches, "doc bigint, n bigint, sketch array<bigint>"), "sketches")
+        more = written(open_pairs_of(mixed, sketches, pairs, probes, THRESHOLD), "open")
+        parts = merged(parts, written(_verified(more, contents), "close"))
         pairs = pairs.unionAll(more)
     firsts = lines.groupBy("node").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     named = firsts.join(parts, "node", "left").select("node", "first", "n", F.coalesce("component", "node").alias("component"))

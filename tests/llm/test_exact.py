@@ -13,7 +13,7 @@ import pytest
 from meterbook.llm import decontaminate, packing, quality_rules, url_filter
 from meterbook.llm import text as tx
 from meterbook.llm.components import components
-from meterbook.llm.line_dedup import content, line_classes, shingle_set, without_repeated_lines
+from meterbook.llm.line_dedup import _similar, content, line_classes, shingle_set, without_repeated_lines
 from meterbook.llm.ngram_join import one_of_each, similar_documents
 from meterbook.llm.queries import tokenizer_file
 from tests.llm.helpers import SCHEMA, close_pairs, corpus, documents, least_of_component, prose, shingles, words
@@ -220,6 +220,38 @@ def test_url_filter(spark):
     assert {got[i, t] for i in (3, 4, 5, 6, 7) for t in (5, 16, 30)} == {"none"}
 
 
+def test_open_groups_of_lines_close(spark):
+    """Families of lines with up to eight edits share buckets without being one component at first."""
+    base = [prose(100 + k, 40).replace("\n", " ") for k in range(6)]
+    lines = {}
+    for k, line in enumerate(base):
+        for e in range(9):
+            for v in range(4):
+                w = line.split(" ")
+                for x in range(e):
+                    w[(x * 5 + v * 7) % len(w)] = f"edit{v}{x}"
+                lines[(k * 100 + e * 10 + v, 0)] = " ".join(w)
+    kinds = {c: i for i, c in enumerate(sorted(set(map(content, lines.values()))))}
+    least = least_of_component(kinds.values(), close_pairs({k: shingle_set(c) for c, k in kinds.items()}))
+    heads = {}
+    for place in sorted(lines):
+        heads.setdefault(least[kinds[content(lines[place])]], place)
+    expected = {(*p, *heads[least[kinds[content(x)]]]) for p, x in lines.items()}
+    docs = spark.createDataFrame([(p[0], x) for p, x in lines.items()], "doc_id bigint, text string").repartition(3)
+    assert {tuple(r)[:4] for r in line_classes(docs).collect()} == expected
+
+
+@pytest.mark.parametrize("n", [1, 700, 1024, 5000])
+def test_similar_lines_are_verified_as_sets(n):
+    """Any number of pairs and of distinct contents at once, the most included."""
+    some = [prose(i, 8).replace("\n", " ") for i in range(2 * n)]
+    pairs = [(i, i + n, some[i], some[i] + "x" if i % 3 == 0 else some[i + n]) for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*pairs, strict=True)], ["a", "b", "content_a", "content_b"])
+    found = [r for b in _similar(iter([batch])) for r in b.column(0).to_pylist()]
+    sets = [(shingle_set(a), shingle_set(b)) for _, _, a, b in pairs]
+    assert found == [i for i, (a, b) in enumerate(sets) if 5 * len(a & b) >= 4 * len(a | b)]
+
+
 @pytest.mark.parametrize("name", ["join", "lines", "items", "pack", "rules", "urls"])
 def test_empty_tables(spark, name):
     docs = spark.createDataFrame([], SCHEMA)
