@@ -438,10 +438,7 @@ def _context(b: Bindings) -> checks.CheckContext:
 def source_freshness(b: Bindings) -> DataFrame:
     """DQ-22: the age of each landed table."""
     found = checks.raw_source_freshness(_context(b), checks.CheckConfig()).details
-    rows = [
-        (t, float(age), "FAIL" if t in found["stale_fail"] else "WARN" if t in found["stale_warn"] else "PASS")
-        for t, age in found["age_hours_by_table"].items()
-    ]
+    rows = [(t, float(age), found["outcomes"][t]) for t, age in found["values"].items()]
     return b.spark.createDataFrame(rows, "source_table string, age_hours double, status string")
 
 
@@ -455,7 +452,7 @@ def watermark_lag(b: Bindings) -> DataFrame:
         return rows.filter(F.col("_last_ingested_at") <= fn.time_literal(LATE_AFTER)) if name in late else rows
 
     found = checks.incremental_fact_watermarks(checks.CheckContext(table, EVENT_AS_OF), checks.CheckConfig()).details
-    rows = [(t, float(lag), t in found["lagging"]) for t, lag in found["lag_hours_by_fact"].items()]
+    rows = [(t, float(lag), found["outcomes"][t] != checks.PASS) for t, lag in found["values"].items()]
     return b.spark.createDataFrame(rows, "fact_table string, lag_hours double, is_lagging boolean")
 
 
@@ -469,13 +466,7 @@ def volume_drop(b: Bindings) -> DataFrame:
 
     context = checks.CheckContext(early, EVENT_AS_OF, lambda test: baseline.details)
     found = checks.row_count_volume_drop(context, checks.CheckConfig()).details
-    rows = [
-        (
-            t, found["previous_row_counts"][t], n,
-            "FAIL" if t in found["drops_fail"] else "WARN" if t in found["drops_warn"] else "PASS",
-        )
-        for t, n in found["row_counts"].items()
-    ]
+    rows = [(t, found["compared_with"][t], n, found["outcomes"][t]) for t, n in found["row_counts"].items()]
     return b.spark.createDataFrame(
         rows, "source_table string, previous_rows bigint, current_rows bigint, status string"
     )
