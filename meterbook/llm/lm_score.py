@@ -409,7 +409,9 @@ def _rare_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
         keys, where = np.unique(keys, return_inverse=True)
         known = np.bincount(where, counts > 0, len(keys)).astype(np.int64)
-        return pa.record_batch([pa.array(keys), pa.array(known), pa.array(np.bincount(where, np.log10(counts + 1.0), len(keys)))], ["row_key", "known", "logs"])
+        logs = np.bincount(where, np.log10(counts + 1.0), len(keys))
+        some = known > 0  # the others would add nothing
+        return pa.record_batch([pa.array(keys[some]), pa.array(known[some]), pa.array(logs[some])], ["row_key", "known", "logs"])
 
     for batch in batches:
         for kind, at, hashes, a in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
