@@ -4,10 +4,13 @@ For every document some counts are taken; those that fail a base rule go. The ot
 characters a word, signs a word, the shares of repeated lines and repeated words. Each measure is
 summed up in KLL quantile sketches by language and source. Sketches merge, so map tasks build their own
 and one huge source costs no more than its sketches, and the sketches of a language, or of all
-documents, are those of its sources merged: they stand in for groups of fewer than 50 documents. The
-thresholds of a group lie as far above its median (below too, for characters a word) as 8 times the
-distance from median to quartile, or a least distance if that is more. Documents are joined with their
-group's thresholds and filtered.
+documents, are those of its sources merged: they stand in for groups of fewer than 50 documents. A
+group's threshold lies a multiple of the distance from its median to an outer quantile above the median,
+and below it too for characters a word. Characters a word spread in every group, and the quartile is safe
+from bad documents up to a quarter. The other measures are 0 in most documents, so their quantiles lie
+further out: 0.9 for signs, which bad documents have, and 0.98 for repeats, which good documents have too.
+Where the outer quantile equals the median there is no spread to go by, and a small distance stands in.
+Documents are joined with their group's thresholds and filtered.
 
 All of it is DataFrame functions. Null and empty texts have no words and fail the base rule. Nulls in
 lang and source form groups of their own. Repeated rows are rows like others. An empty table gives an
@@ -25,11 +28,9 @@ from meterbook.llm.tables import written
 
 SKETCH_K = 1024  # a sketch of fewer values is exact
 LEAST_ROWS = 50
-QUARTILES = (0.25, 0.5, 0.75)
-REACH = 8
 BROADCAST_GROUPS = 100_000
-# Measures with the least distance of a threshold from the median.
-MEASURES = {"word_length": 4.0, "symbol_rate": 0.25, "dup_line_rate": 0.5, "repeat_rate": 0.2}
+# Outer quantile, multiple of its distance from the median, and the threshold's distance without spread.
+MEASURES = {"word_length": (0.75, 10, 0.25), "symbol_rate": (0.9, 2, 0.05), "dup_line_rate": (0.98, 4, 0.1), "repeat_rate": (0.98, 4, 0.05)}
 TWO_SIDED = ("word_length",)
 
 
@@ -129,16 +130,16 @@ def thresholds(parts: DataFrame) -> DataFrame:
     chosen = chosen.join(F.broadcast(every), F.col("own.n") * 0 == F.col("key"))
     enough = lambda c: F.col(f"{c}.n") >= LEAST_ROWS
     sketch = F.when(enough("own"), F.col("own")).when(enough("of_lang"), F.col("of_lang")).otherwise(F.col("of_all"))
-    ranks = F.array(*[F.lit(q) for q in QUARTILES])
+    ranks = {m: F.array(F.lit(1 - outer), F.lit(0.5), F.lit(outer)) for m, (outer, _, _) in MEASURES.items()}
     chosen = chosen.select("lang", "source", sketch.alias("s")).select(
-        "lang", "source", *[F.kll_sketch_get_quantile_double(F.col(f"s.{m}"), ranks).alias(m) for m in MEASURES]
+        "lang", "source", *[F.kll_sketch_get_quantile_double(F.col(f"s.{m}"), ranks[m]).alias(m) for m in MEASURES]
     )
     bounds = []
-    for m, least in MEASURES.items():
+    for m, (_, reach, least) in MEASURES.items():
         low, middle, high = (F.col(m)[i] for i in range(3))
-        bounds.append((middle + F.greatest(REACH * (high - middle), F.lit(least))).alias(f"{m}_max"))
+        bounds.append((middle + F.when(high > middle, reach * (high - middle)).otherwise(least)).alias(f"{m}_max"))
         if m in TWO_SIDED:
-            bounds.append((middle - F.greatest(REACH * (middle - low), F.lit(least))).alias(f"{m}_min"))
+            bounds.append((middle - F.when(middle > low, reach * (middle - low)).otherwise(least)).alias(f"{m}_min"))
     return chosen.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *bounds)
 
 
@@ -190,22 +191,24 @@ WITH base AS (
          word_chars / n_words AS word_length, n_symbols / n_words AS symbol_rate,
          n_dup_lines / n_lines AS dup_line_rate, n_repeat_words / n_words AS repeat_rate
   FROM counts
-), quartiles AS (
+), quantiles AS (
   SELECT lang, source, GROUPING(lang, source) AS level, count(*) AS n,
-         quantile_disc(word_length, [0.25, 0.5, 0.75]) AS wl, quantile_disc(symbol_rate, [0.25, 0.5, 0.75]) AS sy,
-         quantile_disc(dup_line_rate, [0.25, 0.5, 0.75]) AS dl, quantile_disc(repeat_rate, [0.25, 0.5, 0.75]) AS rp
+         quantile_disc(word_length, [0.25, 0.5, 0.75]) AS wl, quantile_disc(symbol_rate, [0.5, 0.9]) AS sy,
+         quantile_disc(dup_line_rate, [0.5, 0.98]) AS dl, quantile_disc(repeat_rate, [0.5, 0.98]) AS rp
   FROM judged WHERE NOT base_failed GROUP BY GROUPING SETS ((lang, source), (lang), ())
 ), chosen AS (
   SELECT j.*, q.* EXCLUDE (lang, source, n, level)
-  FROM judged j JOIN quartiles q ON NOT base_failed AND (
+  FROM judged j JOIN quantiles q ON NOT base_failed AND (
        (q.level = 0 AND q.n >= 50 AND q.lang IS NOT DISTINCT FROM j.lang AND q.source IS NOT DISTINCT FROM j.source)
     OR (q.level = 1 AND q.n >= 50 AND q.lang IS NOT DISTINCT FROM j.lang)
     OR q.level = 3)
   QUALIFY row_number() OVER (PARTITION BY j.doc_id ORDER BY q.level) = 1
 ), verdicts AS (
-  SELECT doc_id, word_length <= wl[2] + greatest(8 * (wl[3] - wl[2]), 4.0) AND word_length >= wl[2] - greatest(8 * (wl[2] - wl[1]), 4.0)
-     AND symbol_rate <= sy[2] + greatest(8 * (sy[3] - sy[2]), 0.25) AND dup_line_rate <= dl[2] + greatest(8 * (dl[3] - dl[2]), 0.5)
-     AND repeat_rate <= rp[2] + greatest(8 * (rp[3] - rp[2]), 0.2) AS fine
+  SELECT doc_id, word_length <= wl[2] + CASE WHEN wl[3] > wl[2] THEN 10 * (wl[3] - wl[2]) ELSE 0.25 END
+     AND word_length >= wl[2] - CASE WHEN wl[2] > wl[1] THEN 10 * (wl[2] - wl[1]) ELSE 0.25 END
+     AND symbol_rate <= sy[1] + CASE WHEN sy[2] > sy[1] THEN 2 * (sy[2] - sy[1]) ELSE 0.05 END
+     AND dup_line_rate <= dl[1] + CASE WHEN dl[2] > dl[1] THEN 4 * (dl[2] - dl[1]) ELSE 0.1 END
+     AND repeat_rate <= rp[1] + CASE WHEN rp[2] > rp[1] THEN 4 * (rp[2] - rp[1]) ELSE 0.05 END AS fine
   FROM chosen
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(fine, false) AS kept

@@ -201,6 +201,37 @@ def test_rules_follow_the_source(spark):
     assert {i for i, k in got.items() if not k} == {70, 71, 72}
 
 
+def test_thresholds_come_from_the_sketches(spark):
+    """Every measure with spread has its own threshold in each source, however small; repeats can fail below the base rule's share."""
+
+    def text(i, sign=0, same=0, again=0):
+        w = prose(i, 120).split()
+        w[:sign] = [x + "%" for x in w[:sign]]
+        lines = [" ".join(w[k : k + 6]) for k in range(0, 120, 6)]
+        return "\n".join(lines + ["another line"] * (same + 1) + [" ".join(w[: 5 + again])] * (again > 0))
+
+    w = prose(201, 480).split()
+    many = "\n".join([" ".join(w[k : k + 24]) for k in range(0, 480, 24)] + ["x"] * 60)
+    rows = [(i, text(i, i % 3, i % 2, i % 4 * (i % 5 == 0)), "en", "forum") for i in range(80)]
+    rows += [(100 + i, text(100 + i), "en", "news") for i in range(80)]
+    rows += [(200, text(200, again=12), "en", "forum"), (201, many, "en", "forum"), (202, text(202, sign=60), "en", "forum")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    counts = quality_rules.counted(docs)
+    found = {r["t_source"]: r for r in quality_rules.thresholds(quality_rules.sketches(quality_rules.measured(counts))).collect()}
+    values = {s: [r for r in quality_rules.measured(counts).collect() if r["source"] == s] for s in found}
+    for s, r in found.items():
+        for m, (outer, reach, least) in quality_rules.MEASURES.items():
+            x = sorted(v[m] for v in values[s])
+            at = lambda q, x=x: x[max(-int(-q * len(x) // 1), 1) - 1]
+            spread = at(outer) - at(0.5)
+            assert r[f"{m}_max"] == pytest.approx(at(0.5) + (reach * spread if spread > 0 else least))
+    assert all(found["forum"][f"{m}_max"] != found["news"][f"{m}_max"] for m in quality_rules.MEASURES)
+    assert found["news"]["repeat_rate_max"] < 0.2
+    got = {r["doc_id"]: r for r in quality_rules.apply_rules(docs).collect()}
+    assert (got[202]["kept"], got[201]["kept"], got[201]["base_failed"]) == (False, False, False)
+    assert all(got[i]["kept"] for i in range(100, 180))
+
+
 def test_url_filter(spark):
     entries = spark.createDataFrame(
         [("block", "domain", "a.com", "add", 10), ("block", "domain", "a.com", "add", 12), ("block", "domain", "a.com", "remove", 20),
