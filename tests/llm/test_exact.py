@@ -110,12 +110,16 @@ def test_contained_items(spark):
     items = [prose(50 + i, n) for i, n in enumerate((5, 6, 9, 13, 14, 30, 33, 70))]
     texts = [*corpus(), *[prose(200 + i, 400) + " " + t.upper() + " " + prose(300 + i, 90) for i, t in enumerate(items)]]
     texts += [prose(7, 30) + " " + " ".join(t.split()[: int(len(t.split()) * f)]) for t in items[3:] for f in (0.75, 0.85, 0.9)]
-    benchmark = spark.createDataFrame([*enumerate(items), (90, None), (91, "too few words"), (None, items[0])], "item_id bigint, text string")
+    benchmark = spark.createDataFrame([*enumerate(items), (90, None), (91, "too few words"), (92, "Words"), (93, "hold in common here"), (94, " "), (None, items[0])], "item_id bigint, text string")
+    texts += ["a text of TOO few\twords", "too few", "too few words"]
     sets = {i: shingles((t or "").lower()) for i, t in enumerate(texts)}
     expected = set()
     for j, item in enumerate(items):
         s = shingles(item)
         expected |= {(i, j, len(s), len(s & x)) for i, x in sets.items() if len(s & x) * 5 >= len(s) * 4}
+    for j, item in ((91, "too few words"), (92, "words"), (93, "hold in common here")):
+        expected |= {(i, j, 1, 1) for i, x in enumerate(texts) if f" {item} " in f" {' '.join(words(x))} "}
+    assert {92, 93} < {e[1] for e in expected} and sum(e[1] == 91 for e in expected) == 2
     docs = documents(spark, texts)
     assert {tuple(r)[:4] for r in decontaminate.contained_items(docs, benchmark).collect()} == expected
     clean = decontaminate.clean_documents(docs, benchmark)
