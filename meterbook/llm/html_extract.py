@@ -5,6 +5,8 @@ their length, the share of their characters inside links and the density of stop
 elements that by name, role, class or id are menus, page headers and footers, sidebars, notices,
 adverts, forms or reader comments are boilerplate, and if the page marks an article (or main part) with
 a fair share of the text, what lies outside it is boilerplate and what lies inside needs no stop words.
+There a class or id other than those of adverts, cookies and comments counts only if it says nothing else
+(``share-box``, not ``share-price``), and a teaser is text. On a page none of whose blocks has the stop words of a listed language, length and links decide.
 The second pass gives blocks that are too short or too mixed to decide the label of the nearest block
 decided by length, links and stop words, one in the same container if there is any, or else in the
 innermost container around that holds one; between two at the same distance that differ, sentences count
@@ -66,6 +68,11 @@ BAD_NAMES = frozenset(
     "pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup "
     "skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget".split()
 )
+# What a class name or id may say besides, inside an article.
+NEUTRAL_NAMES = frozenset(
+    "area articles bar block body bottom box btn button buttons card cards container content form icons inner item items links list "
+    "media module posts section slot stories top unit wrap wrapper".split()
+)
 GOOD_NAMES = frozenset("article articlebody content entry main post story text".split())
 ALWAYS_BAD_NAMES = frozenset("comment comments commentlist disqus ad ads advert advertisement cookie cookies".split())
 
@@ -103,9 +110,16 @@ class Block:
     parent: Container
 
 
-def _names(attrs: dict[str, str]) -> set[str]:
-    shown = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}")
-    return set(re.split(r"[^a-z]+", shown.lower()))
+def _names(attrs: dict[str, str]) -> list[set[str]]:
+    """The parts of each class name and id."""
+    shown = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
+    return [set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", x).lower())) for x in shown]
+
+
+def _only_bad(names: list[set[str]]) -> bool:
+    """Whether a name is that of an advert, a cookie notice or comments, or says boilerplate and nothing else."""
+    bad = BAD_NAMES - {"teaser"}
+    return any(x & ALWAYS_BAD_NAMES or x & bad and x <= bad | NEUTRAL_NAMES for x in names)
 
 
 def _judge(tag: str, source: str, inside: bool) -> tuple[bool, bool]:
@@ -119,8 +133,11 @@ def _judge(tag: str, source: str, inside: bool) -> tuple[bool, bool]:
         return True, False
     if tag == "header" and not inside:
         return True, False
-    names = _names(attrs)
-    if not inside and names & {"header"} and not names & GOOD_NAMES:
+    every = _names(attrs)
+    names = set().union(*every)
+    if inside:
+        return _only_bad(every), main and not _only_bad(every)
+    if names & {"header"} and not names & GOOD_NAMES:
         return True, False
     bad = bool(names & ALWAYS_BAD_NAMES) or bool(names & BAD_NAMES and not names & GOOD_NAMES and not main)
     return bad, main and not bad
@@ -259,8 +276,10 @@ def _first_pass(found: list[Block]) -> list[bool | None]:
     """True: text; False: boilerplate; None: not decided."""
     shown = sum(len(b.text) for b in found if not b.bad)
     marked = sum(len(b.text) for b in found if b.inside and not b.bad) * 4 >= shown > 0
+    density = [0.0 if marked or b.bad or b.heading or len(b.text) < SHORT else _stop_density(b.text) for b in found]
+    listed = any(x >= SOME_STOPS for x in density)
     out: list[bool | None] = []
-    for b in found:
+    for b, stops in zip(found, density, strict=True):
         n = len(b.text)
         if b.bad or (marked and not b.inside) or b.linked > LINKED * n and (n >= SHORT or b.linked == n) and not b.heading:
             out.append(False)
@@ -268,8 +287,9 @@ def _first_pass(found: list[Block]) -> list[bool | None]:
             out.append(True)
         elif n < SHORT or b.heading:
             out.append(None)
+        elif not listed:
+            out.append(True)
         else:
-            stops = _stop_density(b.text)
             out.append(True if stops >= MANY_STOPS or (n >= LONG and stops >= SOME_STOPS) else None if stops >= SOME_STOPS else False)
     if marked and not any(out):
         # An article of short blocks only: they decide each other.

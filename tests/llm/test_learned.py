@@ -59,6 +59,20 @@ def test_short_blocks_beside_excluded_ones():
             assert html_extract.main_text(f"{start}<p>{FOX}</p>{between}<p>{HILL}</p>{end}") == f"{FOX} {text} {HILL}"
 
 
+def test_names_inside_an_article_and_unlisted_languages():
+    for inner, text in (
+        (f'<p class="teaser">{HILL}</p>', HILL), (f'<p class="share-price">{HILL}</p>', HILL), (f'<div class="search-results"><p>{HILL}</p></div>', HILL),
+        (f'<div class="ad-box"><p>{HILL}</p></div>', ""), (f'<div id="related"><p>{HILL}</p></div>', ""), (f'<div class="wide shareButtons">{HILL}</div>', ""),
+        (f'<section class="comment-thread"><p>{HILL}</p></section>', ""), (f'<div class="related-articles"><p>{HILL}</p></div>', ""),
+    ):
+        assert html_extract.main_text(f"<article><p>{FOX}</p>{inner}</article>") == f"{FOX} {text}".strip(), inner
+    finnish = "Kettu juoksi eilen puutarhan halki joelle, jonka toisella puolella asuvat ihmiset katselivat hiljaa ikkunoistaan sateista maisemaa."
+    chinese = "昨天傍晚狐狸穿过花园跑向河边，" * 6
+    for words in (finnish, chinese):
+        page = f'<body><ul id="menu"><li><a href=a>One</a></ul><div><p>{words}</p><p>Lyhyt.</p><p>{words}</p></div><footer><p>{words}</p></footer></body>'
+        assert html_extract.main_text(page) == f"{words} Lyhyt. {words}"
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<article><p>x y</p></article>", 5), (1, "u", "<article><p>x y</p></article>", 5), (None, None, None, 5)]
     got = html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")).collect()
