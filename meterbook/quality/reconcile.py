@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,65 +14,76 @@ from meterbook.operators.lookup import lookup
 from meterbook.quality.rules import ERROR, WARN
 
 Tables = Callable[[str], DataFrame]
-
-
-def totals(table: Tables, name: str, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Two one-row frames with ``total``, side by side."""
-    return left.select(F.lit(name).alias("test"), F.col("total").alias("left_total")).withColumn(
-        "right_total", right.scalar()
-    )
-
-
-def _rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").cast("decimal(38,2)").alias("total"))
-
-
-def _sum(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.coalesce(F.sum(column), F.lit(0)).cast("decimal(38,2)").alias("total"))
-
-
-# DQ-10 and DQ-11: both sides must give the same total.
-TOTALS: dict[str, Callable[[Tables], tuple[DataFrame, DataFrame]]] = {
-    "fact_invoices_rows": lambda t: (_rows(t("fact_invoices")), _rows(t("int_customer_revenue"))),
-    "fact_subscriptions_rows": lambda t: (_rows(t("fact_subscriptions")), _rows(t("int_user_subscription_history"))),
-    "int_customer_revenue_rows": lambda t: (_rows(t("int_customer_revenue")), _rows(t("stg_invoices"))),
-    "int_user_subscription_history_rows": lambda t: (
-        _rows(t("int_user_subscription_history")),
-        _rows(t("stg_subscriptions")),
-    ),
-    "fact_api_usage_requests": lambda t: (
-        _sum(t("fact_api_usage"), "request_count"),
-        _sum(t("int_api_usage_by_customer"), "request_count"),
-    ),
-    "fact_product_usage_events": lambda t: (
-        _sum(t("fact_product_usage"), "event_count"),
-        _sum(t("int_daily_product_usage"), "event_count"),
-    ),
-    "int_customer_revenue_billed": lambda t: (
-        _sum(t("int_customer_revenue"), "billed_amount"),
-        _sum(t("stg_invoices"), "total_amount"),
-    ),
-    "int_daily_product_usage_events": lambda t: (
-        _sum(t("int_daily_product_usage"), "event_count"),
-        _rows(t("stg_product_events").filter(~F.col("is_event_timestamp_missing"))),
-    ),
-    "int_api_usage_by_customer_requests": lambda t: (
-        _sum(t("int_api_usage_by_customer"), "request_count"),
-        _rows(t("stg_api_usage").filter(F.col("request_timestamp").isNotNull())),
-    ),
-}
+SIDES = ("left_total", "right_total")
+
+
+@dataclass(frozen=True)
+class Total:
+    model: str
+    value: Column
+
+    @property
+    def shown(self) -> Column:
+        return F.coalesce(self.value, F.lit(0)).cast("decimal(38,2)")
+
+
+def _rows(model: str, where: Column | None = None) -> Total:
+    return Total(model, F.count("*") if where is None else F.count_if(where))
+
+
+def _sum(model: str, column: str) -> Total:
+    return Total(model, F.sum(column))
+
+
+def _totals() -> dict[str, tuple[Total, Total]]:
+    """DQ-10 and DQ-11: both sides must give the same total."""
+    return {
+        "fact_invoices_rows": (_rows("fact_invoices"), _rows("int_customer_revenue")),
+        "fact_subscriptions_rows": (_rows("fact_subscriptions"), _rows("int_user_subscription_history")),
+        "int_customer_revenue_rows": (_rows("int_customer_revenue"), _rows("stg_invoices")),
+        "int_user_subscription_history_rows": (_rows("int_user_subscription_history"), _rows("stg_subscriptions")),
+        "fact_api_usage_requests": (
+            _sum("fact_api_usage", "request_count"),
+            _sum("int_api_usage_by_customer", "request_count"),
+        ),
+        "fact_product_usage_events": (
+            _sum("fact_product_usage", "event_count"),
+            _sum("int_daily_product_usage", "event_count"),
+        ),
+        "int_customer_revenue_billed": (
+            _sum("int_customer_revenue", "billed_amount"),
+            _sum("stg_invoices", "total_amount"),
+        ),
+        "int_daily_product_usage_events": (
+            _sum("int_daily_product_usage", "event_count"),
+            _rows("stg_product_events", ~F.col("is_event_timestamp_missing")),
+        ),
+        "int_api_usage_by_customer_requests": (
+            _sum("int_api_usage_by_customer", "request_count"),
+            _rows("stg_api_usage", F.col("request_timestamp").isNotNull()),
+        ),
+    }
 
 
 def reconciliation(table: Tables) -> DataFrame:
-    """DQ-10, DQ-11: one row per pair of totals: ``test, left_total, right_total, agrees``."""
+    """DQ-10, DQ-11: one row per pair of totals: ``test, left_total, right_total, agrees``.
+
+    All totals of a model come from one pass over it, however many pairs it is part of.
+    """
+    wanted = [(name, side, total) for name, sides in _totals().items() for side, total in zip(SIDES, sides)]
     parts = []
-    for name, sides in TOTALS.items():
-        left, right = sides(table)
-        parts.append(totals(table, name, left, right))
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part)
-    return combined.withColumn("agrees", F.col("left_total") == F.col("right_total"))
+    for model in dict.fromkeys(total.model for _, _, total in wanted):
+        own = [(name, side, total.shown) for name, side, total in wanted if total.model == model]
+        counted = table(model).agg(*[shown.alias(f"t{i}") for i, (_, _, shown) in enumerate(own)])
+        listed = [
+            F.struct(F.lit(name).alias("test"), F.lit(side).alias("side"), F.col(f"t{i}").alias("total"))
+            for i, (name, side, _) in enumerate(own)
+        ]
+        parts.append(counted.select(F.inline(F.array(*listed))))
+    pairs = reduce(DataFrame.unionByName, parts).groupBy("test").agg(
+        *[F.max(F.when(F.col("side") == side, F.col("total"))).alias(side) for side in SIDES]
+    )
+    return pairs.withColumn("agrees", F.col("left_total") == F.col("right_total"))
 
 
 def invoice_paid_before_issued(table: Tables) -> DataFrame:
