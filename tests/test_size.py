@@ -83,3 +83,13 @@ def test_derived_columns_are_added_after_rows_have_moved(spark, tmp_path):
     got = store.replace(spark.range(10).selectExpr("id", "id % 2 as part"), "x", "t", ["part"], finish)
     assert got.count() == 10 and "hashed" in got.columns and store.read("x", "t").columns == got.columns
     assert re.search("[Rr]ebalance", seen[0])
+
+
+def test_rules_on_the_same_columns_share_one_grouping(spark):
+    from meterbook.quality import rules as quality
+
+    df = spark.sql("select * from values ('a'), ('a'), (null), (null), ('b') t(k)")
+    declared = [quality.Rule("m", "unique", ("k",)), quality.Rule("m", "unique_combination", ("k",))]
+    counted = quality.count_violations(declared, lambda name: df)
+    assert sorted((r["rule"], r["violations"]) for r in counted.collect()) == [("unique", 1), ("unique_combination", 2)]
+    assert plan(quality.count_violations(declared, lambda name: df.repartition(2))).count("hashpartitioning(k") == 1
