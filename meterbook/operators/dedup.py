@@ -41,13 +41,23 @@ def settle_repeated(
     is scanned three times, so it should be stored or cheap to derive. The list that is sent around is
     bounded: if it would be longer than ``LISTED_HASHES``, ``settle`` gets everything.
     """
+    marked, ranked = _maybe_repeated(rows, key)
+    return settle(marked.filter(ranked).drop("_hash")).unionByName(rest(marked.filter(~ranked).drop("_hash")))
+
+
+def maybe_repeated(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of all keys that occur twice or more, and few others: what ``settle_repeated`` would rank."""
+    marked, ranked = _maybe_repeated(rows, key)
+    return marked.filter(ranked).drop("_hash")
+
+
+def _maybe_repeated(rows: DataFrame, key: str) -> tuple[DataFrame, Column]:
     hashed = rows.select(F.xxhash64(key).alias("_hash"))
     repeated = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("_hash")
     listed = repeated.limit(LISTED_HASHES + 1)
     too_many = listed.agg(F.count("*") > LISTED_HASHES).scalar()
     marked = rows.join(F.broadcast(listed), F.xxhash64(rows[key]) == listed["_hash"], "left")
-    ranked = F.col("_hash").isNotNull() | too_many
-    return settle(marked.filter(ranked).drop("_hash")).unionByName(rest(marked.filter(~ranked).drop("_hash")))
+    return marked, F.col("_hash").isNotNull() | too_many
 
 
 def _rank(version: str | None, position: Sequence[str]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterbook.functions import safe_timestamp, time_literal
 from meterbook.operators import validate
-from meterbook.operators.dedup import mark_newest, newest_of_repeated
+from meterbook.operators.dedup import mark_newest, maybe_repeated, newest_of_repeated
 from meterbook.operators.upsert import upsert_counts
 from meterbook.session import durable_copy
 from meterbook.sources import audit
@@ -37,8 +37,9 @@ def validated(rows: DataFrame, spec: SourceSpec) -> DataFrame:
 
 def repeated_keys(checked: DataFrame, spec: SourceSpec) -> DataFrame:
     """VAL-06, first step: the keys that a delivery has twice or more, each with the row that wins."""
-    good = checked.filter(F.col("_reason").isNull())
-    return newest_of_repeated(good.select(spec.key, *_ranked_by(spec)), spec.key, spec.version, PLACE)
+    good = checked.filter(F.col("_reason").isNull()).select(spec.key, *_ranked_by(spec))
+    # Places are long texts: only those of keys that may be repeated are compared.
+    return newest_of_repeated(maybe_repeated(good, spec.key), spec.key, spec.version, PLACE)
 
 
 def _ranked_by(spec: SourceSpec) -> list[str]:

@@ -93,3 +93,18 @@ def test_rules_on_the_same_columns_share_one_grouping(spark):
     counted = quality.count_violations(declared, lambda name: df)
     assert sorted((r["rule"], r["violations"]) for r in counted.collect()) == [("unique", 1), ("unique_combination", 2)]
     assert plan(quality.count_violations(declared, lambda name: df.repartition(2))).count("hashpartitioning(k") == 1
+
+
+def test_a_delivery_compares_places_of_repeated_keys_only(spark, tmp_path):
+    from meterbook.sources import ingest
+    from meterbook.sources.readers import PLACE
+    from meterbook.sources.registry import SOURCES
+
+    spec = SOURCES["product_events"]
+    keys = spark.sql("select explode(array('a', 'b', 'b', 'c', null)) event_id")
+    places = {c: f"monotonically_increasing_id() as {c}" for c in PLACE}
+    keys.selectExpr("event_id", *places.values(), "cast(null as string) _reason").write.parquet(str(tmp_path / "c"))
+    found = ingest.repeated_keys(spark.read.parquet(str(tmp_path / "c")), spec)
+    assert [r["event_id"] for r in found.collect()] == ["b"]
+    text = plan(found)
+    assert "xxhash64(event_id" in text and "BroadcastHashJoin" in text
