@@ -255,11 +255,13 @@ def invoices_after_update(b: Bindings) -> DataFrame:
     w, store = b.warehouse(), _new_store(b, "invoices")
 
     def rebuild(rows: DataFrame) -> DataFrame:
-        return facts.fact_invoices(intermediate.customer_revenue(rows, w.stg_subscriptions), w.stg_organizations)
+        revenue = intermediate.customer_revenue(rows, w.stg_subscriptions)
+        return facts.matched_organization(revenue, w.stg_organizations, "customer_id")
 
     early = b.invoices().filter(F.col("_ingested_at") <= fn.time_literal(INVOICES_AFTER))
-    build.refresh_invoices(store, early, staging.invoices, rebuild)
-    return build.refresh_invoices(store, b.invoices(), staging.invoices, rebuild)
+    for landed in (early, b.invoices()):
+        fact = build.refresh_invoices(store, landed, staging.invoices, rebuild, finish=facts.keyed_invoices)
+    return fact
 
 
 def _requests_in_two_deliveries(b: Bindings) -> tuple[Store, DataFrame]:
