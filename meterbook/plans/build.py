@@ -168,7 +168,7 @@ ACCOUNT_HISTORY = (
 )
 
 
-def _together(writes: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+def together(writes: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
     """Start independent writes at once, so that small ones fill the cluster beside big ones."""
     with ThreadPoolExecutor(max_workers=CONCURRENT_WRITES) as pool:
         running = {name: pool.submit(write) for name, write in writes.items()}
@@ -193,7 +193,7 @@ def build(store: Store, lazy: Warehouse, full_refresh: bool = False) -> Warehous
     def whole(warehouse: Warehouse, layer: str, names) -> dict[str, Callable[[], DataFrame]]:
         return {n: lambda n=n: store.replace(warehouse.table(n), layer, n) for n in names}
 
-    staged = lazy.with_stored(_together(whole(lazy, STAGING, STORED_STAGING)))
+    staged = lazy.with_stored(together(whole(lazy, STAGING, STORED_STAGING)))
     users, organizations, subscriptions = staged.stg_users, staged.stg_organizations, staged.stg_subscriptions
 
     def invoice_rows(rows: DataFrame) -> DataFrame:
@@ -228,9 +228,9 @@ def build(store: Store, lazy: Warehouse, full_refresh: bool = False) -> Warehous
         ),
     }
     # Marts read the stored tables instead of computing them again; one mart reads two others.
-    stored = staged.with_stored(_together(base))
-    first = stored.with_stored(_together(whole(stored, ANALYTICS, [m for m in MARTS if m != "mart_customer_ltv"])))
-    return first.with_stored(_together(whole(first, ANALYTICS, ["mart_customer_ltv"])))
+    stored = staged.with_stored(together(base))
+    first = stored.with_stored(together(whole(stored, ANALYTICS, [m for m in MARTS if m != "mart_customer_ltv"])))
+    return first.with_stored(together(whole(first, ANALYTICS, ["mart_customer_ltv"])))
 
 
 def landed_warehouse(store: Store, as_of: datetime) -> Warehouse:

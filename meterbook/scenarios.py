@@ -360,10 +360,11 @@ def built(b: Bindings) -> tuple[Store, Warehouse]:
 
     def make() -> tuple[Store, Warehouse]:
         store = _new_store(b, "warehouse")
-        landed = {}
-        for name, rows in b.raw().items():
-            run = audit.start_run(store, name, SOURCES[name].file_name, LANDED_AT)
-            landed[name] = store.replace(rows(), build.RAW, name)
+        raw = b.raw()
+        runs = [audit.start_run(store, name, SOURCES[name].file_name, LANDED_AT) for name in raw]
+        # The log of runs has one writer at a time; the tables do not share one.
+        landed = build.together({name: lambda n=name, r=rows: store.replace(r(), build.RAW, n) for name, rows in raw.items()})
+        for run in runs:
             audit.finish_run(store, run, audit.SUCCESS, LANDED_AT)
         lazy = Warehouse(
             landed, SUBSCRIPTION_AS_OF, EVENT_AS_OF, EVENT_WINDOW_DAYS, activity=b.order_activity(), reread_raw=True

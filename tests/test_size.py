@@ -1,13 +1,18 @@
 """What keeps the stored build in proportion to its input."""
 
 import re
+import threading
 
 import pytest
 
+from meterbook import scenarios
 from meterbook.operators import dedup
-from meterbook.plans import staging
+from meterbook.plans import build, staging
 from meterbook.plans.warehouse import Warehouse
 from meterbook.quality import reconcile
+from meterbook.sources import audit
+from meterbook.sources.bindings import Bindings
+from meterbook.sources.registry import SOURCES
 from meterbook.sources.store import Store
 from tests.helpers import AS_OF, event, raw, rows, sub
 
@@ -108,3 +113,40 @@ def test_a_delivery_compares_places_of_repeated_keys_only(spark, tmp_path):
     assert [r["event_id"] for r in found.collect()] == ["b"]
     text = plan(found)
     assert "xxhash64(event_id" in text and "BroadcastHashJoin" in text
+
+def test_landing_copies_are_written_together(spark, tmp_path, monkeypatch):
+    """Each copy waits for the others to be begun; one after the other they would wait for ever."""
+    begun = threading.Barrier(len(SOURCES), timeout=60)
+    replace = Store.replace
+
+    def waiting(self, df, layer, table, *more):
+        if layer == build.RAW:
+            begun.wait()
+        return replace(self, df, layer, table, *more)
+
+    monkeypatch.setattr(Store, "replace", waiting)
+    monkeypatch.setattr(build, "build", lambda store, lazy: lazy)
+    folder = str(tmp_path / "few")
+    for name in ("orders", "customer", "supplier", "lineitem", "events"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(20).write.parquet(f"{folder}/{name}.parquet")
+    store, _ = scenarios.built(Bindings(spark, folder))
+    assert all(store.exists(build.RAW, name) for name in SOURCES)
+    assert {r["status"] for r in audit.runs(store).collect()} == {audit.SUCCESS}
+
+
+def test_small_partitions_are_joined_by_hash(spark, small):
+    """Joins whose partitions turn out small after the shuffle need not sort their sides."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = Bindings(spark, small).warehouse().fact_invoices
+        assert fact.count() > 0
+        fact.collect()
+        run, planned = plan(fact).split("Initial Plan")
+        assert "ShuffledHashJoin" in run and run.count("SortMergeJoin") < planned.count("SortMergeJoin")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark):
+    """The JVM interprets methods of more than 8,000 bytes, as staging of subscriptions has in one piece."""
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
