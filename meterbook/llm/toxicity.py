@@ -82,26 +82,33 @@ def codes_of(units: list[str]) -> np.ndarray:
     return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(units), width)
 
 
+KERNEL_ROWS = 1 << 13  # units compared at once
+
+
+def _decay(n: int) -> np.ndarray:
+    """``DECAY`` to the power of the distance from each place to the places before it."""
+    apart = np.arange(n)[:, None] - np.arange(n)
+    return np.where(apart > 0, np.float32(DECAY) ** np.maximum(apart, 0), 0).astype(np.float32)
+
+
 def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """The subsequence kernel of each row of ``s`` with the same row of ``t`` (or its only one)."""
+    """The subsequence kernel of each row of ``s`` with the same row of ``t`` (or its only one).
+
+    What a common subsequence weighs up to a pair of places is the sum over all pairs before it, decayed by the
+    distance: a product with a triangular matrix from either side, the same for all rows.
+    """
+    if len(s) > KERNEL_ROWS:
+        cuts = range(0, len(s), KERNEL_ROWS)
+        return np.concatenate([kernel(s[i : i + KERNEL_ROWS], t if len(t) == 1 else t[i : i + KERNEL_ROWS]) for i in cuts])
     n, rows, columns = len(s), s.shape[1], t.shape[1]
-    same = [[(s[:, j] == t[:, k]) & (s[:, j] > 0) for k in range(columns)] for j in range(rows)]
-    before = [[np.ones(n, np.float32)] * (columns + 1) for _ in range(rows + 1)]
+    by_place = np.ascontiguousarray(s.T)[:, :, None]
+    same = ((by_place == t[None]) & (by_place > 0)).astype(np.float32)
+    down, across = _decay(rows), _decay(columns).T
+    met = same
     for _ in range(1, LENGTH):
-        zero = np.zeros(n, np.float32)
-        now = [[zero] * (columns + 1)]
-        for j in range(rows):
-            open_match, line = zero, [zero]
-            for k in range(columns):
-                open_match = DECAY * (open_match + DECAY * same[j][k] * before[j][k])
-                line.append(DECAY * now[j][k + 1] + open_match)
-            now.append(line)
-        before = now
-    total = np.zeros(n, np.float32)
-    for j in range(rows):
-        for k in range(columns):
-            total += same[j][k] * before[j][k]
-    return total * np.float32(DECAY * DECAY)
+        before = (met.reshape(rows * n, columns) @ across).reshape(rows, n * columns)
+        met = (down @ before).reshape(rows, n, columns) * same
+    return met.sum(axis=(0, 2)) * np.float32(DECAY * DECAY)
 
 
 PAIRS = 1 << 12

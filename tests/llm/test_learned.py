@@ -257,3 +257,27 @@ def test_columns_of_any_name_and_ids_with_several_texts(spark):
     assert without_repeated_lines(one).count() == 1
     labels = spark.createDataFrame([(0, 1, 0), (5, 0, 0)], "doc_id bigint, quality int, toxic int")
     assert quality_classifier.keep_selected(docs.withColumn("_id", F.lit(3)), labels).columns == [*docs.columns, "_id"]
+
+
+def test_kernel_does_the_same_few_steps_for_long_units(monkeypatch):
+    """Array operations over all places at once, not one for each pair of places."""
+
+    def steps(width: int) -> int:
+        units, count = toxicity.codes_of(["ab" * (width // 2)]), 0
+
+        def seen(frame, event, arg):
+            nonlocal count
+            count += event == "c_call"
+
+        sys.setprofile(seen)
+        try:
+            toxicity.kernel(units, units)
+        finally:
+            sys.setprofile(None)
+        return count
+
+    assert steps(24) == steps(4)
+    s, t = (toxicity.codes_of([a + b + c for a in "abx" for b in letters for c in "byz"]) for letters in ("bc", "cb"))
+    whole = toxicity.kernel(s, t), toxicity.kernel(s, t[:1])
+    monkeypatch.setattr(toxicity, "KERNEL_ROWS", 4)
+    assert np.array_equal(whole, (toxicity.kernel(s, t), toxicity.kernel(s, t[:1])))
