@@ -50,6 +50,7 @@ ROUNDS = 2
 RATE = 0.1
 BATCH = 2048
 FOLDS, HELD_OUT = 7, 2
+DOCUMENT_BUCKETS = 1024  # in which sums of rare tokens go back to their documents: rows for each task, whatever its documents
 
 CLASSES = SHORTLIST + ENDINGS + 1
 BEGIN = CLASSES  # context class before the first token
@@ -396,44 +397,74 @@ def _scored(lists, model, buckets: int):
     return run
 
 
-def _rare_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rare_sums(buckets: int):
     """For documents: known tokens and the sum of log10(count + 1) of tokens that aren't frequent.
 
-    The rows come sorted by bucket, the vocabulary (kind 0) before the entries (kind 1).
+    The rows come sorted by bucket, the vocabulary (kind 0) before the entries (kind 1). What a task has of its
+    documents leaves packed by a bucket of the document, a row for each and not one for each document.
     """
-    h, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size, bucket = 0, None
-
-    def close() -> pa.RecordBatch:
-        keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-        keys, where = np.unique(keys, return_inverse=True)
-        known = np.bincount(where, counts > 0, len(keys)).astype(np.int64)
-        logs = np.bincount(where, np.log10(counts + 1.0), len(keys))
-        some = known > 0  # the others would add nothing
-        return pa.record_batch([pa.array(keys[some]), pa.array(known[some]), pa.array(logs[some])], ["row_key", "known", "logs"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size, bucket = 0, None
+
+        def close() -> pa.RecordBatch:
+            keys, known, logs = _added_up(held)
+            return _pack(3, keys % buckets, keys, known, logs)
+
+        for batch in batches:
+            for kind, at, hashes, a in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if at != bucket:
+                    h, n, bucket = np.zeros(0, np.uint64), np.zeros(0, np.int64), at
+                hashes, a = np.frombuffer(hashes, np.uint64), np.frombuffer(a, np.int64)
+                if kind == 0:
+                    h, n = hashes, a
+                    continue
+                place = np.searchsorted(h, hashes)
+                inside = np.flatnonzero(place < len(h))
+                same = inside[h[place[inside]] == hashes[inside]]
+                if not len(same):  # unknown tokens would add nothing
+                    continue
+                found = n[place[same]]
+                held.append((a[same], (found > 0).astype(np.int64), np.log10(found + 1.0)))
+                size += len(same)
+                if size > 1 << 20:
+                    yield close()
+                    held, size = [], 0
+        if held:
+            yield close()
+
+    return run
+
+
+def _added_up(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys with the sums of their two values."""
+    keys, known, logs = (np.concatenate(x) for x in zip(*held, strict=True))
+    keys, where = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(where, known, len(keys)).astype(np.int64), np.bincount(where, logs, len(keys))
+
+
+def _sums_by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document out of the packed sums, which come sorted by bucket."""
+
+    def close(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(x) for x in _added_up(held)], ["row_key", "known", "logs"])
+
+    bucket, held, size = None, [], 0
     for batch in batches:
-        for kind, at, hashes, a in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            if at != bucket:
-                h, n, bucket = np.zeros(0, np.uint64), np.zeros(0, np.int64), at
-            hashes, a = np.frombuffer(hashes, np.uint64), np.frombuffer(a, np.int64)
-            if kind == 0:
-                h, n = hashes, a
-                continue
-            place = np.searchsorted(h, hashes)
-            found = np.zeros(len(hashes), np.int64)
-            inside = place < len(h)
-            same = inside.copy()
-            same[inside] = h[place[inside]] == hashes[inside]
-            found[same] = n[place[same]]
-            held.append((a, found))
-            size += len(a)
-            if size > 1 << 20:
-                yield close()
+        for _, at, *cells in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            if at != bucket and held:
+                yield close(held)
                 held, size = [], 0
+            bucket = at
+            held.append(tuple(np.frombuffer(c, k) for c, k in zip(cells, (np.int64, np.int64, np.float64), strict=True)))
+            size += len(held[-1][0])
+            if size > 1 << 20:
+                held = [_added_up(held)]
+                size = 0
     if held:
-        yield close()
+        yield close(held)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -462,10 +493,11 @@ def score(docs: DataFrame) -> DataFrame:
     scored = written(rows.mapInArrow(_scored(sent, full, buckets), ROWS), "scored")
     entries = scored.where("kind = 1").select("kind", "bucket", "hashes", "a")
     met = vocabulary.select("kind", "bucket", "hashes", "a").unionAll(entries)
-    rare = met.repartition(width, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_rare_sums, "row_key bigint, known bigint, logs double")
+    packed = met.repartition(width, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_rare_sums(DOCUMENT_BUCKETS), _PACKED)
+    packed = packed.repartition(width, "bucket").sortWithinPartitions("bucket")
+    rare = packed.mapInArrow(_sums_by_document, "row_key bigint, known bigint, logs double")
     direct = scored.where("kind = 2").select("row_key", "doc_id", "held_out", "n_tokens", "n_known", "base", "model")
     # Equal rows share a key, and the sums are those of all of them.
-    rare = rare.groupBy("row_key").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
     rare = rare.join(direct.groupBy("row_key").agg(F.count("*").alias("rows")), "row_key")
     logs = F.coalesce(F.col("logs") / F.col("rows"), F.lit(0.0))
     known = F.coalesce((F.col("known") / F.col("rows")).cast("bigint"), F.lit(0))

@@ -281,3 +281,18 @@ def test_kernel_does_the_same_few_steps_for_long_units(monkeypatch):
     whole = toxicity.kernel(s, t), toxicity.kernel(s, t[:1])
     monkeypatch.setattr(toxicity, "KERNEL_ROWS", 4)
     assert np.array_equal(whole, (toxicity.kernel(s, t), toxicity.kernel(s, t[:1])))
+
+
+def test_sums_of_rare_tokens_leave_packed():
+    """A row for each bucket of documents; every document has one row with its whole sum in the end."""
+    vocabulary = [lm_score._pack(0, np.full(2, b), np.array([10 + b, 20 + b], np.uint64), np.array([9, 0])) for b in (0, 1)]
+    documents = np.arange(-500, 500)
+    entries = [lm_score._pack(1, np.full(1000, b), np.full(1000, 10 + b, np.uint64), documents) for b in (0, 1)]
+    entries += [lm_score._pack(1, np.full(1, 1), np.full(1, 99, np.uint64), np.full(1, 7000))]  # not in the vocabulary
+    batches = [vocabulary[0], entries[0], vocabulary[1], *entries[1:]]
+    packed = list(lm_score._rare_sums(8)(iter(batches)))
+    assert sum(map(len, packed)) == 8
+    table = pa.Table.from_batches(packed).sort_by("bucket")
+    rows = [r for b in lm_score._sums_by_document(iter(table.to_batches())) for r in b.to_pylist()]
+    assert sorted(r["row_key"] for r in rows) == documents.tolist()
+    assert {(r["known"], r["logs"]) for r in rows} == {(2, 2.0)}
