@@ -136,12 +136,12 @@ def may_link(n: str, sketch: str, other_n: str, other_sketch: str, threshold: tu
     return sizes & (apart * (up + down) <= (F.col(n) + F.col(other_n)) * (down - up))
 
 
-def plausible(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Those pairs ``a, b`` that may link by their sketches ``doc, n, sketch``."""
+def plausible(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int], words: int = SKETCH_WORDS) -> DataFrame:
+    """Those pairs ``a, b`` that may link by their sketches ``doc, n, sketch`` of so many words."""
     of_a = sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     of_b = sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     both = pairs.join(of_a, "a").join(of_b, "b")
-    return both.where(may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold)).select("a", "b").distinct()
+    return both.where(may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold, words)).select("a", "b").distinct()
 
 
 def open_pairs(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int]) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.components import SKETCH_WORDS, components, open_pairs, parity_sketch, plausible, sketch_array
+from meterbook.llm.components import SKETCH_WORDS, components, folded, open_pairs, parity_sketch, plausible, sketch_array
 from meterbook.llm.tables import join_ids, partitions, written
 
 WORDS = 5
@@ -298,7 +298,10 @@ def similar_documents(
         "stars",
     )
     sketches = digests.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
-    pairs = written(plausible(stars.select("a", "b").distinct(), sketches, threshold), "pairs")
+    # Sketches of a quarter of the size travel with all pairs, whole ones with those that are left.
+    slim = sketches.select("doc", "n", folded("sketch").alias("sketch"))
+    near = written(plausible(stars.select("a", "b").distinct(), slim, threshold, SKETCH_WORDS // 4), "near")
+    pairs = written(plausible(near, sketches, threshold), "pairs")
     close = written(_verified(pairs, _shingles_of(pairs, base, words), threshold), "close")
     parts = written(components(close.unionAll(alike) if alike is not None else close), "parts")
     for probes in (PROBES, 0):

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from meterbook.llm import decontaminate, packing, quality_rules, url_filter
+from meterbook.llm import decontaminate, ngram_join, packing, quality_rules, url_filter
 from meterbook.llm import text as tx
 from meterbook.llm.components import components
 from meterbook.llm.line_dedup import _similar, content, line_classes, shingle_set, without_repeated_lines
@@ -302,3 +302,21 @@ def test_empty_tables(spark, name):
         ),
     }[name]
     assert nothing().count() == 0
+
+
+def test_whole_sketches_meet_only_pairs_that_small_ones_leave(spark, monkeypatch):
+    """Most pairs that share a signature are far apart, and their rows should be short until that is known."""
+    met, plausible = [], ngram_join.plausible
+
+    def counted(pairs, sketches, threshold, words=ngram_join.SKETCH_WORDS):
+        met.append((words, pairs.count()))
+        return plausible(pairs, sketches, threshold, words)
+
+    monkeypatch.setattr(ngram_join, "plausible", counted)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{passage} " + " ".join(f"d{d}w{i}" for i in range(60)) for d in range(12)]
+    texts += [texts[0] + " end"]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_documents(documents(spark, texts)).collect()}
+    assert got == {**{i: i for i in range(12)}, 12: 0}
+    (few, before), (whole, after) = met
+    assert few * 4 == whole and after < before
