@@ -89,14 +89,24 @@ def merged(parts: DataFrame, links: DataFrame) -> DataFrame:
     return written(old.unionAll(moved.join(parts.select("node"), "node", "left_anti").select("node", "component")), "parts")
 
 
-def mixed_groups(stars: DataFrame, parts: DataFrame) -> DataFrame:
-    """``sig, doc, component, top`` of the members of groups that are not within one component.
+def group_members(stars: DataFrame) -> DataFrame:
+    """``sig, doc`` of the members of groups with two links or more.
 
-    ``stars`` has links ``sig, a, b`` from one member of a group to each other; ``top`` is the group's
-    largest component. Comparing each member outside it with the members of other components leaves no
-    pair of the group open: all other pairs are within one component already.
+    ``stars`` has links ``sig, a, b`` from one member of a group to each other. A group with a single link has
+    one pair only, the link itself: where all links are compared, nothing of that group is left.
+    """
+    several = stars.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
+    held = stars.join(several, "sig", "left_semi")
+    return held.select("sig", F.explode(F.array("a", "b")).alias("doc")).distinct()
+
+
+def mixed_groups(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """``sig, doc, component, top`` of the members ``sig, doc`` of groups that are not within one component.
+
+    ``top`` is the group's largest component. Comparing each member outside it with the members of other
+    components leaves no pair of the group open: all other pairs are within one component already. Groups
+    only close, so the members found here are all that a later round needs.
     """
-    members = stars.select("sig", F.col("a").alias("doc")).unionAll(stars.select("sig", F.col("b").alias("doc"))).distinct()
     named = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
         "sig", "doc", F.coalesce("component", "doc").alias("component")
     )
@@ -110,13 +120,21 @@ def mixed_groups(stars: DataFrame, parts: DataFrame) -> DataFrame:
 SKETCH_WORDS = 32  # 64-bit words of a parity sketch
 
 
-def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+def parity_sketch(hashes: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
     """Bit i is the parity of the hashes that fall on i: bits that differ bound differing hashes from below."""
-    bits = 64 * SKETCH_WORDS
+    bits = 64 * words
     odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
+def wide_sketch(hashes: np.ndarray) -> np.ndarray | None:
+    """A parity sketch with a bit or two for each hash, of sets for which the fixed size is too small to tell."""
+    words = SKETCH_WORDS
+    while 64 * words < len(hashes):
+        words *= 2
+    return parity_sketch(hashes, words) if words > SKETCH_WORDS else None
+
+
 def sketch_array(sketches: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(len(sketches) + 1, dtype=np.int32) * SKETCH_WORDS, sketches.ravel())
 
@@ -136,26 +154,44 @@ def may_link(n: str, sketch: str, other_n: str, other_sketch: str, threshold: tu
     return sizes & (apart * (up + down) <= (F.col(n) + F.col(other_n)) * (down - up))
 
 
-def plausible(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Those pairs ``a, b`` that may link by their sketches ``doc, n, sketch``."""
-    of_a = sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    of_b = sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    both = pairs.join(of_a, "a").join(of_b, "b")
-    return both.where(may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold)).select("a", "b").distinct()
+def _wide_apart(a: str, b: str) -> Column:
+    """Bits that differ of two wide sketches; null if one is missing or their sizes are too far apart."""
 
+    def halved(sketch: str) -> Column:
+        half = (F.size(sketch) / 2).cast("int")
+        return F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
 
-def open_pairs(stars: DataFrame, parts: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs ``a, b`` that share a group, lie in different components and were not compared yet.
+    x = F.when(F.size(a) > F.size(b), halved(a)).otherwise(F.col(a))
+    y = F.when(F.size(b) > F.size(a), halved(b)).otherwise(F.col(b))
+    counts = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+
+
+def plausible(pairs: DataFrame, sketches: DataFrame, threshold: tuple[int, int], wide: DataFrame | None = None) -> DataFrame:
+    """Those pairs ``a, b`` that may link by their sketches ``doc, n, sketch``, and by the wide ones ``doc, n, wide`` of large sets."""
+    up, down = threshold
+    of_a = sketches.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    of_b = sketches.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    both = pairs.join(of_a, "a").join(of_b, "b").where(may_link("n_a", "sketch_a", "n_b", "sketch_b", threshold))
+    if wide is not None:
+        both = both.select("a", "b", "n_a", "n_b")
+        for c in ("a", "b"):
+            of = wide.select(F.col("doc").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}"))
+            both = both.join(of, [c, f"n_{c}"], "left")
+        close = _wide_apart("wide_a", "wide_b") * (up + down) <= (F.col("n_a") + F.col("n_b")) * (down - up)
+        both = both.where(F.coalesce(close, F.lit(True)))
+    return both.select("a", "b").distinct()
+
+
+def open_pairs(
+    mixed: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int], wide: DataFrame | None = None
+) -> DataFrame:
+    """Pairs ``a, b`` of ``mixed_groups`` that lie in different components and were not compared yet.
 
     ``sketches`` has ``doc, n, sketch`` of every member. With ``probes``, only pairs with so many members
     of the largest component, drawn by a hash that differs from group to group: enough to join most sets
     that belong to it, at a cost that follows the members. Without, all of them.
     """
-    return open_pairs_of(mixed_groups(stars, parts), sketches, tested, probes, threshold)
-
-
-def open_pairs_of(mixed: DataFrame, sketches: DataFrame, tested: DataFrame, probes: int, threshold: tuple[int, int]) -> DataFrame:
-    """``open_pairs`` of the members of ``mixed_groups``."""
     slim = sketches.select("doc", "n", folded("sketch").alias("sketch"))
     sketched = written(mixed.join(slim, "doc"), "mixed")
     one = sketched.where("component <> top").select("sig", *[F.col(c).alias(f"x_{c}") for c in ("doc", "component", "n", "sketch")])
@@ -171,4 +207,4 @@ def open_pairs_of(mixed: DataFrame, sketches: DataFrame, tested: DataFrame, prob
         .select(F.least("doc", "x_doc").alias("a"), F.greatest("doc", "x_doc").alias("b"))
         .distinct()
     )
-    return plausible(pairs.join(tested, ["a", "b"], "left_anti"), sketches, threshold)
+    return plausible(pairs.join(tested, ["a", "b"], "left_anti"), sketches, threshold, wide)

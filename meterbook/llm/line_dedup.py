@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.components import SKETCH_WORDS, components, merged, mixed_groups, open_pairs_of, parity_sketch, sketch_array
+from meterbook.llm.components import SKETCH_WORDS, components, group_members, merged, mixed_groups, open_pairs, parity_sketch, sketch_array
 from meterbook.llm.tables import BROADCAST_IDS, free_name, join_ids, partitions, written
 
 SIZE = 7
@@ -286,18 +286,18 @@ def line_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     contents = written(join_ids(texts, ends, "node", "left_semi").groupBy("node").agg(F.first("content").alias("content")), "contents")
     close = written(_verified(pairs, contents), "close")
     parts = written(components(close), "parts")
-    sketches = None
+    members, sketches = group_members(stars), None
     for probes in (PROBES, 0):
-        mixed = written(mixed_groups(stars, parts), "mixed")
+        mixed = written(mixed_groups(members, parts), "mixed")
         if mixed.isEmpty():
             break
         if sketches is None:  # groups only close: later rounds need no others
-            members = written(mixed.select(F.col("doc").alias("node")).distinct(), "members")
-            slim = join_ids(contents, members, "node", "left_semi")
+            nodes = written(mixed.select(F.col("doc").alias("node")).distinct(), "members")
+            slim = join_ids(contents, nodes, "node", "left_semi")
             sketches = written(slim.mapInArrow(_sketches, "doc bigint, n bigint, sketch array<bigint>"), "sketches")
-        more = written(open_pairs_of(mixed, sketches, pairs, probes, THRESHOLD), "open")
+        more = written(open_pairs(mixed, sketches, pairs, probes, THRESHOLD), "open")
         parts = merged(parts, written(_verified(more, contents), "close"))
-        pairs = pairs.unionAll(more)
+        pairs, members = pairs.unionAll(more), mixed.select("sig", "doc")
     firsts = lines.groupBy("node").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     named = firsts.join(parts, "node", "left").select("node", "first", "n", F.coalesce("component", "node").alias("component"))
     heads = named.groupBy("component").agg(F.min("first").alias("head"), F.sum("n").alias("lines"))

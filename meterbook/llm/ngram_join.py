@@ -19,7 +19,7 @@ are not paired with each other: each map batch keeps one row for a signature and
 by star links, and so do the batches' rows after the shuffle. Verified star links make components. Only
 where members of one signature are still in different components, the sets outside the signature's
 largest component are paired first with few, then (those still outside) with all of its other members, after a parity sketch (a lower bound of the
-number of differing shingles) has removed pairs that can't link. Every pair that shares a signature
+number of differing shingles, with more bits for large sets) has removed pairs that can't link. Every pair that shares a signature
 has then been compared, or lies in one component already.
 
 Nulls, empty texts and texts of spaces have empty sets and link with nothing. Rows with a null id are
@@ -38,7 +38,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterbook.llm import text as tx
-from meterbook.llm.components import SKETCH_WORDS, components, open_pairs, parity_sketch, plausible, sketch_array
+from meterbook.llm.components import (
+    SKETCH_WORDS,
+    components,
+    group_members,
+    merged,
+    mixed_groups,
+    open_pairs,
+    parity_sketch,
+    plausible,
+    sketch_array,
+    wide_sketch,
+)
 from meterbook.llm.tables import join_ids, partitions, written
 
 WORDS = 5
@@ -81,19 +92,26 @@ def _batch_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]
 
 
 def _digests(words: int):
-    """Size, two hashes and the parity sketch of each set."""
+    """Size, two hashes and the parity sketch of each set, and the wide one of a large set."""
     salt = np.uint64(0xD6E8FEB86659FD93)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, h = np.zeros(len(batch), np.int64), np.zeros((2, len(batch)), np.uint64)
-            sketches = np.zeros((len(batch), SKETCH_WORDS), np.int64)
+            sketches, wide = np.zeros((len(batch), SKETCH_WORDS), np.int64), [None] * len(batch)
             for i, s in _batch_sets(batch.column(1), words):
-                sketches[i] = parity_sketch(s)
+                sketches[i], wide[i] = parity_sketch(s), wide_sketch(s)
                 n[i], h[0, i], h[1, i] = len(s), s.sum(dtype=np.uint64), tx.mix(s ^ salt).sum(dtype=np.uint64)
             yield pa.record_batch(
-                [batch.column(0), pa.array(n), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), sketch_array(sketches)],
-                ["doc_id", "n_shingles", "h1", "h2", "sketch"],
+                [
+                    batch.column(0),
+                    pa.array(n),
+                    pa.array(h[0].view(np.int64)),
+                    pa.array(h[1].view(np.int64)),
+                    sketch_array(sketches),
+                    pa.array(wide, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "n_shingles", "h1", "h2", "sketch", "wide"],
             )
 
     return run
@@ -274,7 +292,7 @@ def similar_documents(
     base = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text")).where(
         F.col("doc_id").isNotNull()
     )
-    kind = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sketch array<bigint>"
+    kind = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sketch array<bigint>, wide array<bigint>"
     digests = written(base.mapInArrow(_digests(words), kind), "digests")
     some = digests.where("n_shingles > 0")
     heads = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("head"))
@@ -298,15 +316,18 @@ def similar_documents(
         "stars",
     )
     sketches = digests.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
-    pairs = written(plausible(stars.select("a", "b").distinct(), sketches, threshold), "pairs")
+    wide = digests.where("wide is not null").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "wide")
+    pairs = written(plausible(stars.select("a", "b").distinct(), sketches, threshold, wide), "pairs")
     close = written(_verified(pairs, _shingles_of(pairs, base, words), threshold), "close")
     parts = written(components(close.unionAll(alike) if alike is not None else close), "parts")
+    members = group_members(stars)
     for probes in (PROBES, 0):
-        more = written(open_pairs(stars, parts, sketches, pairs, probes, threshold), "open")
-        close = _verified(more, _shingles_of(more, base, words), threshold)
-        every = parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionAll(close)
-        parts = written(components(every), "parts")
-        pairs = pairs.unionAll(more)
+        mixed = written(mixed_groups(members, parts), "mixed")
+        if mixed.isEmpty():
+            break
+        more = written(open_pairs(mixed, sketches, pairs, probes, threshold, wide), "open")
+        parts = merged(parts, written(_verified(more, _shingles_of(more, base, words), threshold), "close"))
+        pairs, members = pairs.unionAll(more), mixed.select("sig", "doc")
     parts = parts.withColumnRenamed("node", "head")
     return (
         digests.join(copies, "doc_id", "left")

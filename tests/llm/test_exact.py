@@ -12,7 +12,7 @@ import pytest
 
 from meterbook.llm import decontaminate, packing, quality_rules, url_filter
 from meterbook.llm import text as tx
-from meterbook.llm.components import components
+from meterbook.llm.components import components, group_members, parity_sketch, plausible, wide_sketch
 from meterbook.llm.line_dedup import _similar, content, line_classes, shingle_set, without_repeated_lines
 from meterbook.llm.ngram_join import one_of_each, similar_documents
 from meterbook.llm.queries import tokenizer_file
@@ -75,6 +75,36 @@ def test_similar_documents_of_ids_with_several_texts(spark):
     assert {(r["doc_id"], r["component_id"]) for r in got} == set(least.items())
 
 
+def test_large_sets_are_told_apart_by_wide_sketches(spark):
+    """Sets too large for the fixed sketch: unrelated ones go, similar ones stay, also where the sizes of their sketches differ."""
+    pool = np.random.default_rng(7).integers(0, 1 << 63, 40_000, np.uint64)
+    sets = {1: pool[:6000], 2: pool[5000:11_000], 3: pool[20_000:24_000], 4: pool[20_000:24_200], 5: pool[:5900], 6: pool[30_000:30_500]}
+    rows = [(i, len(s), parity_sketch(s).tolist(), x if (x := wide_sketch(s)) is None else x.tolist()) for i, s in sets.items()]
+    assert {i: x and len(x) for i, _, _, x in rows} == {1: 128, 2: 128, 3: 64, 4: 128, 5: 128, 6: None}
+    digests = spark.createDataFrame(rows, "doc bigint, n bigint, sketch array<bigint>, wide array<bigint>")
+    pairs = spark.createDataFrame([(1, 2), (3, 4), (1, 5), (2, 5), (6, 6)], "a bigint, b bigint")
+    wide = digests.where("wide is not null").select("doc", "n", "wide")
+    found = plausible(pairs, digests.select("doc", "n", "sketch"), (4, 5), wide)
+    assert {tuple(r) for r in found.collect()} == {(3, 4), (1, 5), (6, 6)}
+
+
+def test_groups_of_one_link_are_not_compared_again(spark):
+    stars = spark.createDataFrame([(1, 1, 2), (2, 1, 2), (2, 1, 3), (3, 4, 5)], "sig bigint, a bigint, b bigint")
+    assert {tuple(r) for r in group_members(stars).collect()} == {(2, 1), (2, 2), (2, 3)}
+
+
+def test_long_similar_documents(spark):
+    base = [prose(i, 4600).split() for i in range(6)]
+    texts = [" ".join(w) for w in base]
+    texts += [" ".join(base[0][:4100]), " ".join(base[1][:3000]), " ".join([*base[2][:2300], *base[3][2300:]])]
+    texts += [" ".join("edit" if i % 61 == 0 else x for i, x in enumerate(base[4])), " ".join("edit" if i % 29 == 0 else x for i, x in enumerate(base[5]))]
+    sets = {i: shingles(t) for i, t in enumerate(texts)}
+    least = least_of_component(sets, close_pairs(sets))
+    assert (least[6], least[7], least[8], least[9], least[10]) == (0, 7, 8, 4, 10)
+    got = {tuple(r) for r in similar_documents(documents(spark, texts).repartition(3)).collect()}
+    assert got == {(i, len(sets[i]), least[i]) for i in sets}
+
+
 def test_one_of_each_keeps_columns(spark):
     docs = documents(spark, ["a b c d e f"] * 3 + [None])
     kept = one_of_each(docs)
