@@ -269,7 +269,8 @@ def _requests_in_two_deliveries(b: Bindings) -> tuple[Store, DataFrame]:
     requests, some under a wrong day; the second has the others, and corrects those."""
 
     def make() -> tuple[Store, DataFrame]:
-        store, organizations = _new_store(b, "deliveries"), b.warehouse().stg_organizations
+        # Every refresh joins the organizations: they are staged once.
+        store, organizations = _new_store(b, "deliveries"), durable(b.warehouse().stg_organizations)
         whole, n = b.api_usage().select(*SOURCES["api_usage"].columns), _number("request_id")
         wrong = F.date_format(F.col("request_timestamp").try_cast("timestamp") - F.expr("interval 40 days"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
         first = whole.filter(n % 3 > 0).withColumn("request_timestamp", F.when(n % 50 == 1, wrong).otherwise(F.col("request_timestamp")))

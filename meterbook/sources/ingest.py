@@ -119,7 +119,7 @@ def _write(store: Store, spec: SourceSpec, landed: DataFrame, run: audit.Run, no
     there = store.exists(RAW, spec.name)
     touched = None
     if partition == DAY:
-        held = store.read(RAW, spec.name) if there and replaces else landed
+        held = store.read(RAW, spec.name) if there and replaces else None
         touched = touched_partitions(held, landed, spec.key, DAY)
         log_days(store, spec.name, run.run_id, now, touched)
     if not there:

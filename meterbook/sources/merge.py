@@ -17,14 +17,15 @@ def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def touched_partitions(target: DataFrame, incoming: DataFrame, key: str, partition: str) -> list:
+def touched_partitions(target: DataFrame | None, incoming: DataFrame, key: str, partition: str) -> list:
     """The partitions that hold a row of an incoming key now or will hold one.
 
     Finding them reads the key column only, of all partitions, unless the partition follows from the
-    key. ``partition`` is a calendar column or a bucket, so the list is short.
+    key. ``target`` is None where it holds none of the keys. ``partition`` is a calendar column or a bucket,
+    so the list is short.
     """
     touched = incoming.select(partition)
-    if partition != BUCKET:
+    if partition != BUCKET and target is not None:
         touched = touched.union(target.join(incoming.select(key), key, "left_semi").select(partition))
     return [r[partition] for r in touched.distinct().collect()]
 

@@ -373,3 +373,25 @@ def test_a_history_run_rewrites_only_buckets_that_change(spark, store, monkeypat
         ("k9", "old", datetime(2024, 1, 1), NOW),
     ]
     assert versions.count() == 101
+
+
+def test_first_delivery_is_not_joined_with_itself(store, tmp_path, monkeypatch):
+    """The days of a table's first rows follow from these rows; a replacing delivery looks up the days it leaves."""
+    targets, find = [], ingest.touched_partitions
+
+    def recorded(target, *rest):
+        targets.append(target)
+        return find(target, *rest)
+
+    monkeypatch.setattr(ingest, "touched_partitions", recorded)
+    requests = SOURCES["api_usage"]
+    for i, day in enumerate(("2024-01-01", "2024-01-02")):
+        folder = tmp_path / str(i)
+        folder.mkdir()
+        row = {c: None for c in requests.columns} | {"request_id": "r1", "request_timestamp": f"{day}T00:00:00Z"}
+        pq.write_table(pa.table({c: pa.array([v], pa.string()) for c, v in row.items()}), str(folder / requests.file_name))
+        ingest.ingest_source(store, requests, str(folder), NOW)
+    assert [t is None for t in targets] == [True, False]
+    logged = {(r["run_id"], str(r["day"])) for r in store.read("monitoring", "touched_days").collect()}
+    assert sorted(d for _, d in logged) == ["2024-01-01", "2024-01-01", "2024-01-02"]
+    assert [str(r["_day"]) for r in store.read("raw", "api_usage").collect()] == ["2024-01-02"]

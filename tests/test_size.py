@@ -150,3 +150,13 @@ def test_small_partitions_are_joined_by_hash(spark, small):
 def test_generated_methods_are_small_enough_to_be_compiled(spark):
     """The JVM interprets methods of more than 8,000 bytes, as staging of subscriptions has in one piece."""
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_refreshes_share_the_staged_organizations(spark, small, monkeypatch):
+    """Both deliveries join a stored copy; the landed tables behind the organizations are read once."""
+    seen, refresh = [], scenarios._refresh_requests
+    monkeypatch.setattr(scenarios, "_refresh_requests", lambda store, organizations: seen.append(organizations) or refresh(store, organizations))
+    monkeypatch.setattr(scenarios, "_shared", {})
+    scenarios.landed_usage_refreshed(Bindings(spark, small))
+    plans = [o._jdf.queryExecution().optimizedPlan().toString() for o in seen]
+    assert len(plans) == 2 and not any("Join" in p or "Aggregate" in p for p in plans)
