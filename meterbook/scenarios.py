@@ -551,7 +551,9 @@ def streamed_usage(b: Bindings) -> DataFrame:
     folder = scratch_folder(b.spark, "stream")
     b.product_events().repartition(4, "event_id").write.parquet(f"{folder}/arrivals")
     w = b.warehouse()
-    stream = daily_usage.UsageStream(b.spark, folder, w.stg_users, w.stg_organizations)
+    # The fact looks up whether these keys are there. Staged once, not again with every batch.
+    users, organizations = durable(w.stg_users.select("user_id")), durable(w.stg_organizations.select("organization_id"))
+    stream = daily_usage.UsageStream(b.spark, folder, users, organizations)
     arrivals = (
         b.spark.readStream.schema(daily_usage.LANDED).option("maxFilesPerTrigger", 2).parquet(f"{folder}/arrivals")
     )

@@ -39,10 +39,12 @@ class BatchTable:
     def of_batch(self, batch_id: int) -> DataFrame:
         return self._read([f"{self.folder}/{BATCH}={batch_id}"])
 
-    def read(self) -> DataFrame:
+    def read(self, before: int | None = None) -> DataFrame:
+        """All rows, or those of the batches before one."""
         base, batches = self._folders()
         paths = [f"{self.folder}/{GATHERED}={base}"] if base is not None else []
-        return self._read([*paths, *(f"{self.folder}/{BATCH}={i}" for i in batches)])
+        wanted = [i for i in batches if before is None or i < before]
+        return self._read([*paths, *(f"{self.folder}/{BATCH}={i}" for i in wanted)])
 
     def gather(self, before: int, after: int, keep: Callable[[DataFrame], DataFrame]) -> None:
         """Gathers the batches before this one, once there are ``after`` of them; ``keep`` drops what is not needed."""
@@ -59,7 +61,10 @@ class BatchTable:
 
     def _read(self, paths: list[str]) -> DataFrame:
         found = [self.spark.read.schema(self.schema).parquet(path) for path in paths]
-        return reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], self.schema)
+        if found:
+            return reduce(DataFrame.unionByName, found)
+        # Known to be empty when the plan is made, so joins with it go and no Python worker starts.
+        return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]).where("false")
 
     def _folders(self) -> tuple[int | None, list[int]]:
         """The last gathered batch and the batches after it; a folder counts once it is complete."""
