@@ -23,7 +23,7 @@ from meterbook.functions.cleaning import (  # noqa: F401
     safe_numeric,
     safe_timestamp,
 )
-from meterbook.functions.keys import surrogate_key  # noqa: F401
+from meterbook.functions.keys import packed_key, surrogate_key, unpacked_key  # noqa: F401
 from meterbook.functions.subscriptions import (  # noqa: F401
     active_at,
     is_paid_plan,

@@ -4,13 +4,15 @@ import re
 import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterbook import scenarios
-from meterbook.operators import dedup
-from meterbook.plans import build, staging
+from meterbook.operators import dedup, lookup
+from meterbook.plans import build, facts, staging
 from meterbook.plans.warehouse import Warehouse
 from meterbook.quality import reconcile
 from meterbook.sources import audit
+from meterbook.sources import store as store_module
 from meterbook.sources.bindings import Bindings
 from meterbook.sources.registry import SOURCES
 from meterbook.sources.store import Store
@@ -160,3 +162,89 @@ def test_refreshes_share_the_staged_organizations(spark, small, monkeypatch):
     scenarios.landed_usage_refreshed(Bindings(spark, small))
     plans = [o._jdf.queryExecution().optimizedPlan().toString() for o in seen]
     assert len(plans) == 2 and not any("Join" in p or "Aggregate" in p for p in plans)
+
+
+@pytest.mark.parametrize("listed", [2_000_000, 0])
+def test_known_finds_what_a_lookup_finds(spark, monkeypatch, listed):
+    """With the list of keys without a partner and, where it would be too long, without it."""
+    monkeypatch.setattr(dedup, "LISTED_HASHES", listed)
+    rows_ = spark.sql("select * from values (1, 'a', 'x'), (2, 'b', 'x'), (3, null, 'y'), (4, 'a', null), (5, 'c', 'z') t(n, u, o)")
+    users, organizations = spark.sql("select 'a' user_id"), spark.sql("select 'x' id union all select 'q'")
+    got = lookup.known(rows_, {"_u": ("u", users, "user_id"), "_o": ("o", organizations, "id")})
+    assert rows(got, "n", "u", "o", "_u", "_o") == [
+        (1, "a", "x", True, True), (2, "b", "x", False, True), (3, None, "y", False, False),
+        (4, "a", None, True, False), (5, "c", "z", False, False),
+    ]
+
+
+def test_stored_subscriptions_do_not_move_to_be_looked_up(spark, small, tmp_path):
+    w = Bindings(spark, small).warehouse()
+    paths = {}
+    for name in ("stg_subscriptions", "stg_users", "stg_organizations"):
+        w.table(name).write.parquet(str(tmp_path / name))
+        paths[name] = spark.read.parquet(str(tmp_path / name))
+    fact = facts.stored_subscriptions(*paths.values(), w.as_of)
+    assert rows(fact) == rows(w.fact_subscriptions.select(*fact.columns))
+    rest = plan(fact).rsplit("Union", 1)[1]
+    assert "BroadcastHashJoin" in rest and "xxhash64(user_id" in rest
+
+
+def test_packed_keys_are_told_apart_like_keys(spark):
+    from meterbook import functions as fn
+
+    keys = ["0123456789abcdef0123456789abcdef", "0123456789ABCDEF0123456789ABCDEF", "0123456789abcdef", "", "ü", "x" * 32, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").withColumn("p", fn.packed_key(F.col("k")))
+    got = df.select("k", "p", fn.unpacked_key(F.col("p")).alias("back"), F.length("p").alias("n")).collect()
+    assert all(r["k"] == r["back"] for r in got) and len({r["p"] and bytes(r["p"]) for r in got}) == len(keys)
+    assert [r["n"] for r in got if r["k"] == keys[0]] == [16]
+
+
+def test_rows_of_a_large_table_are_written_where_they_are(spark, tmp_path):
+    store, seen = Store(spark, str(tmp_path)), []
+
+    def finish(df):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    source = spark.range(0, 10, 1, 2).selectExpr("id", "id % 2 as part")
+    got = store.replace(source, "x", "t", ["part"], finish, in_place=True)
+    assert rows(got) == rows(source) and not re.search("[Rr]ebalance", seen[0])
+    assert len(got.inputFiles()) == 4
+
+
+def test_partitions_are_rewritten_in_groups(spark, tmp_path, monkeypatch):
+    """A partition that loses all its rows goes, a new one comes, the others stay as they are."""
+    monkeypatch.setattr(store_module, "REWRITTEN", 1)
+    store = Store(spark, str(tmp_path))
+    table = store.replace(spark.sql("select id, id % 4 as part from range(8)"), "x", "t", ["part"])
+    asked = []
+
+    def content(values):
+        asked.append(list(values))
+        kept = store.read("x", "t").filter(F.col("part").isin(values)).filter("part = 0 and id = 0")
+        return kept.union(spark.sql(f"select 100L, {values[0]}L")) if values[0] in (0, 9) else kept
+
+    untouched = {f for f in table.inputFiles() if "part=2" in f or "part=3" in f}
+    store.rewrite_partitions("x", "t", "part", [0, 1, 9], content)
+    after = store.read("x", "t")
+    assert rows(after, "id", "part") == sorted([(0, 0), (100, 0), (2, 2), (6, 2), (3, 3), (7, 3), (100, 9)], key=str)
+    assert untouched <= set(after.inputFiles()) and sorted(asked) == [[0], [1], [9]]
+    store.rewrite_partitions("x", "t", "part", [], content)
+    assert store.read("x", "t").count() == 7
+
+
+def test_invoices_are_merged_by_month_without_moving_the_others(spark, small, monkeypatch):
+    """Large tables, written in place and rewritten a month at a time, hold the same rows as small ones."""
+    usual = rows(scenarios.invoices_after_update(Bindings(spark, small)))
+    monkeypatch.setattr(store_module, "LARGE", 0)
+    monkeypatch.setattr(store_module, "REWRITTEN", 100_000)
+    seen, rewrite = [], Store.rewrite_partitions
+
+    def recorded(self, layer, table, partition, replaced, content):
+        seen.append((table, plan(content(list(replaced)[:1]))))
+        return rewrite(self, layer, table, partition, replaced, content)
+
+    monkeypatch.setattr(Store, "rewrite_partitions", recorded)
+    assert rows(scenarios.invoices_after_update(Bindings(spark, small))) == usual
+    merged = dict(seen)["fact_invoices"]
+    assert "BroadcastHashJoin" in merged and "hashpartitioning" not in merged
