@@ -26,8 +26,9 @@ REWRITTEN = 128 * 1024 * 1024
 CONCURRENT_REWRITES = 4
 
 
-# Stored bytes that one task reads, and more of which are many tasks' work.
-LARGE = 24 * 1024 * 1024
+# Stored bytes that one task reads, and more of which are many tasks' work. What is not stored has no known size:
+# Spark takes it for the largest there is.
+LARGE, UNKNOWN = 24 * 1024 * 1024, 2**60
 
 
 class MissingTable(LookupError):
@@ -36,7 +37,7 @@ class MissingTable(LookupError):
 
 def is_large(stored: DataFrame) -> bool:
     """Whether rows read from stored tables are more than one task reads, going by the size of the files."""
-    return int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > LARGE
+    return LARGE < int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < UNKNOWN
 
 
 def _as_it_is(df: DataFrame) -> DataFrame:
